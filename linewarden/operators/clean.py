@@ -12,9 +12,9 @@ KEYS = ("outage_id", "province")
 MAX_DURATION_MIN = 14_400
 
 
-def missing_key() -> Column:
-    """True for a record the cleaning drops."""
-    return F.col(KEYS[0]).isNull() | F.col(KEYS[1]).isNull()
+def has_keys() -> Column:
+    """True for a record the cleaning keeps."""
+    return F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()
 
 
 def clean_outages(raw: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def clean_outages(raw: DataFrame) -> DataFrame:
         "onset_dt": times.parse_timestamp,
         "duration_min": lambda minutes: numbers.clip_upper(minutes, MAX_DURATION_MIN),
     }
-    kept = raw.filter(~missing_key()).select(
+    kept = raw.filter(has_keys()).select(
         *[
             cleaners[name](F.col(name)).alias(name) if name in cleaners else F.col(name)
             for name in raw.columns

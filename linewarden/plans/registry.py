@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linewarden import lens
+from linewarden.functions.times import minutes_between
 from linewarden.operators.clean import clean_outages
 from linewarden.operators.extract import build_extract, longest_outages
 from linewarden.operators.logs import parse_logs
-from linewarden.plans import outage_reports
+from linewarden.plans import dashboard, network_reports, outage_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +64,112 @@ def monthly_trend(spark, sf_dir):
 def top10_longest_outages(spark, sf_dir):
     longest = longest_outages(outages(spark, sf_dir), logs(spark, sf_dir), 10)
     return outage_reports.top10_longest_outages(longest)
+
+
+@query
+def incident_duration(spark, sf_dir):
+    """Stored-duration rule on incidents whose resolution is seconds off a full minute."""
+    incidents = lens.outage_incident(spark, sf_dir)
+    seconds = F.expr("(incident_id % 60) * interval '1' second")
+    resolved = F.col("resolved_at") + seconds
+    return incidents.select(
+        "incident_id",
+        "reported_at",
+        resolved.alias("resolved_at"),
+        minutes_between(F.col("reported_at"), resolved).alias("duration_min"),
+    )
+
+
+@query
+def incidents_by_province(spark, sf_dir):
+    return network_reports.incidents_by_province(
+        lens.outage_incident(spark, sf_dir), lens.tower(spark, sf_dir)
+    )
+
+
+@query
+def engineer_workload_top10(spark, sf_dir):
+    return network_reports.engineer_workload_top10(
+        lens.engineer(spark, sf_dir),
+        lens.incident_assignment(spark, sf_dir),
+        lens.outage_incident(spark, sf_dir),
+    )
+
+
+@query
+def engineer_workload(spark, sf_dir):
+    return network_reports.engineer_workload(
+        lens.engineer(spark, sf_dir),
+        lens.incident_assignment(spark, sf_dir),
+        lens.outage_incident(spark, sf_dir),
+    )
+
+
+@query
+def sla_compliance_all(spark, sf_dir):
+    return network_reports.sla_compliance_all(lens.outage_incident(spark, sf_dir))
+
+
+@query
+def sla_compliance_resolved(spark, sf_dir):
+    return network_reports.sla_compliance_resolved(lens.outage_incident(spark, sf_dir))
+
+
+@query
+def incident_summary(spark, sf_dir):
+    return network_reports.incident_summary(
+        lens.outage_incident(spark, sf_dir), lens.tower(spark, sf_dir)
+    )
+
+
+@query
+def linked_incidents(spark, sf_dir):
+    return network_reports.linked_incidents(
+        lens.extract_link(spark, sf_dir),
+        lens.outage_incident(spark, sf_dir),
+        lens.tower(spark, sf_dir),
+    )
+
+
+@query
+def extract_link_join(spark, sf_dir):
+    return network_reports.extract_link_join(
+        lens.extract_link(spark, sf_dir),
+        lens.outage_incident(spark, sf_dir),
+        lens.tower(spark, sf_dir),
+    )
+
+
+@query
+def escalated_incidents(spark, sf_dir):
+    return network_reports.escalated_incidents(lens.outage_incident(spark, sf_dir))
+
+
+@query
+def panel_province(spark, sf_dir):
+    return dashboard.panel_province(outages_by_province(spark, sf_dir))
+
+
+@query
+def panel_type_duration(spark, sf_dir):
+    return dashboard.panel_type_duration(worst_outage_types(spark, sf_dir))
+
+
+@query
+def panel_escalation(spark, sf_dir):
+    return dashboard.panel_escalation(escalation_rate_by_carrier(spark, sf_dir))
+
+
+@query
+def panel_trend(spark, sf_dir):
+    return dashboard.panel_trend(monthly_trend(spark, sf_dir))
+
+
+@query
+def key_metrics(spark, sf_dir):
+    return dashboard.key_metrics(extract(spark, sf_dir))
+
+
+@query
+def metric_cards(spark, sf_dir):
+    return dashboard.metric_cards(key_metrics(spark, sf_dir))

@@ -67,3 +67,146 @@ oracle(
     FROM extract_ ORDER BY duration_min DESC NULLS LAST, outage_id LIMIT 10
     """,
 )
+
+oracle(
+    "incident_duration",
+    ("outage_incident",),
+    """
+    SELECT incident_id, reported_at, resolved_at,
+           cast(round((epoch(resolved_at) - epoch(reported_at)) / 60.0) AS integer)
+               AS duration_min
+    FROM (SELECT incident_id, reported_at,
+                 resolved_at + (incident_id % 60) * INTERVAL '1' SECOND AS resolved_at
+          FROM outage_incident)
+    """,
+)
+oracle(
+    "incidents_by_province",
+    ("outage_incident", "tower"),
+    """
+    SELECT t.province_code, count(*) AS incidents,
+           round(avg(i.duration_min), 1) AS avg_duration_min,
+           cast(sum(i.customers_affected) AS bigint) AS customers_hit
+    FROM outage_incident i JOIN tower t ON t.tower_id = i.tower_id
+    GROUP BY t.province_code
+    """,
+)
+
+WORKLOAD_TABLES = ("engineer", "incident_assignment", "outage_incident")
+oracle(
+    "engineer_workload_top10",
+    WORKLOAD_TABLES,
+    """
+    SELECT full_name, specialisation, incidents, customers_handled
+    FROM (SELECT e.engineer_id, e.full_name, e.specialisation, count(a.incident_id) AS incidents,
+                 cast(sum(i.customers_affected) AS bigint) AS customers_handled
+          FROM engineer e JOIN incident_assignment a ON a.engineer_id = e.engineer_id
+          JOIN outage_incident i ON i.incident_id = a.incident_id
+          GROUP BY ALL)
+    ORDER BY incidents DESC, engineer_id LIMIT 10
+    """,
+)
+oracle(
+    "engineer_workload",
+    WORKLOAD_TABLES,
+    """
+    SELECT e.employee_no, e.full_name, e.specialisation, count(a.incident_id) AS total_incidents,
+           count(*) FILTER (a.role = 'LEAD') AS led_incidents,
+           cast(sum(i.customers_affected) AS bigint) AS total_customers_handled,
+           round(avg(i.duration_min), 1) AS avg_resolution_min
+    FROM engineer e JOIN incident_assignment a ON a.engineer_id = e.engineer_id
+    JOIN outage_incident i ON i.incident_id = a.incident_id
+    GROUP BY e.engineer_id, e.employee_no, e.full_name, e.specialisation
+    """,
+)
+for sla_name, label, total, where in (
+    ("sla_compliance_all", "label", "total", ""),
+    ("sla_compliance_resolved", "severity", "total_incidents", "WHERE i.resolved_at IS NOT NULL"),
+):
+    oracle(
+        sla_name,
+        ("outage_incident", "severity_"),
+        f"""
+        SELECT s.label AS {label}, s.sla_resolve_min, count(*) AS {total},
+               count(*) FILTER (i.duration_min <= s.sla_resolve_min) AS within_sla,
+               round(100.0::double * count(*) FILTER (i.duration_min <= s.sla_resolve_min)
+                     / count(*), 1) AS sla_pct
+        FROM outage_incident i JOIN severity_ s ON s.severity_id = i.severity_id {where}
+        GROUP BY s.severity_id, s.label, s.sla_resolve_min
+        """,
+    )
+oracle(
+    "incident_summary",
+    ("outage_incident", "tower", "carrier_", "outage_type_", "severity_"),
+    """
+    SELECT i.incident_ref, t.tower_code, t.city, t.province_code, c.carrier_name,
+           o.type_code AS outage_type, s.label AS severity, i.reported_at, i.resolved_at,
+           i.duration_min, i.customers_affected, i.is_escalated
+    FROM outage_incident i JOIN tower t USING (tower_id) JOIN carrier_ c USING (carrier_id)
+    JOIN outage_type_ o USING (outage_type_id) JOIN severity_ s USING (severity_id)
+    """,
+)
+LINK_SQL = """
+    SELECT l.outage_id, i.incident_ref, t.tower_code, t.city, o.type_code AS outage_type,
+           i.duration_min, i.customers_affected
+    FROM extract_link l JOIN outage_incident i USING (incident_id)
+    JOIN tower t USING (tower_id) JOIN outage_type_ o USING (outage_type_id)
+    """
+LINK_TABLES = ("extract_link", "outage_incident", "tower", "outage_type_")
+oracle("linked_incidents", LINK_TABLES, LINK_SQL)
+oracle("extract_link_join", LINK_TABLES, LINK_SQL + "ORDER BY l.outage_id LIMIT 10")
+oracle(
+    "escalated_incidents", ("outage_incident",), "SELECT * FROM outage_incident WHERE is_escalated"
+)
+
+oracle(
+    "panel_province",
+    ("extract_",),
+    "SELECT province, count(*) AS total_outages FROM extract_ GROUP BY province",
+)
+oracle(
+    "panel_type_duration",
+    ("extract_",),
+    """
+    SELECT *, avg_duration_min = max(avg_duration_min) OVER () AS is_max
+    FROM (SELECT outage_type, round(avg(duration_min), 1) AS avg_duration_min
+          FROM extract_ GROUP BY outage_type)
+    """,
+)
+oracle(
+    "panel_escalation",
+    ("extract_",),
+    """
+    SELECT carrier, round(100.0::double * count(*) FILTER (is_escalation) / count(*), 1)
+               AS escalation_pct
+    FROM extract_ GROUP BY carrier
+    """,
+)
+oracle(
+    "panel_trend",
+    ("extract_",),
+    """
+    SELECT strftime(make_date(year, month, 1), '%Y-%m') AS period, count(*) AS outages
+    FROM extract_ GROUP BY year, month
+    """,
+)
+METRICS_SQL = """
+    SELECT (SELECT count(*) FROM extract_) AS total_outages,
+           (SELECT cast(sum(customers_affected) AS bigint) FROM extract_) AS total_customers,
+           (SELECT avg(m) FROM (SELECT round(avg(duration_min), 1) AS m
+                                FROM extract_ GROUP BY outage_type)) AS avg_duration_min,
+           (SELECT province FROM extract_ GROUP BY province
+            ORDER BY count(*) DESC, province LIMIT 1) AS worst_province
+    """
+oracle("key_metrics", ("extract_",), METRICS_SQL)
+oracle(
+    "metric_cards",
+    ("extract_",),
+    f"""
+    SELECT unnest(['Total outages', 'Customers affected', 'Avg duration',
+                   'Most affected province']) AS label,
+           unnest([format('{{:,}}', total_outages), format('{{:,}}', total_customers),
+                   format('{{:.0f}} min', avg_duration_min), worst_province]) AS value
+    FROM ({METRICS_SQL})
+    """,
+)
