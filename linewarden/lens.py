@@ -228,3 +228,80 @@ def extract_link(spark: SparkSession, sf_dir: str) -> DataFrame:
         outage_id(event).alias("outage_id"),
         (1 + event % row_count(spark, sf_dir, "orders")).alias("incident_id"),
     )
+
+
+# Tables with planted rule faults.
+
+
+def bad_incident(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents with missing, repeated and dangling keys and broken values."""
+    key, tower_key = F.col("incident_id"), F.col("tower_id")
+    return outage_incident(spark, sf_dir).select(
+        F.when(key % 997 == 5, F.lit(None))
+        .when(key % 499 == 3, key - 1)
+        .otherwise(key)
+        .alias("incident_id"),
+        F.when(key % 211 == 4, 1000000 + tower_key)
+        .when(key % 307 == 2, F.lit(None))
+        .otherwise(tower_key)
+        .alias("tower_id"),
+        "severity_id",
+        "reported_at",
+        F.when(key % 401 == 1, F.col("reported_at"))
+        .otherwise(F.col("resolved_at"))
+        .alias("resolved_at"),
+        F.when(key % 53 == 2, F.col("duration_min") + 1)
+        .otherwise(F.col("duration_min"))
+        .alias("duration_min"),
+        F.when(key % 301 == 9, -F.col("customers_affected"))
+        .otherwise(F.col("customers_affected"))
+        .alias("customers_affected"),
+    )
+
+
+def bad_engineer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engineers with repeated numbers and e-mails, unknown provinces and long phone numbers."""
+    key = F.col("c_custkey")
+    mail_key = F.when(key % 301 == 7, key - 1).otherwise(key)
+    return table(spark, sf_dir, "customer").select(
+        (key + 1).alias("engineer_id"),
+        padded_code("EMP-", F.when(key % 401 == 3, key).otherwise(key + 1), 9).alias("employee_no"),
+        _null_when(key % 83 == 11, F.col("c_name")).alias("full_name"),
+        _null_when(
+            key % 59 == 4, F.concat(F.lit("e"), mail_key.cast("string"), F.lit("@example.org"))
+        ).alias("email"),
+        F.concat("c_name", F.lit("-"), F.col("c_nationkey").cast("string")).alias("phone"),
+        F.when(key % 71 == 6, F.lit("ZZ"))
+        .when(key % 73 == 8, F.lit(None))
+        .otherwise(pick(PROVINCE_CODES, F.col("c_nationkey") % 10))
+        .alias("province_code"),
+    )
+
+
+def bad_tower(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Towers with unknown site types, missing cities and impossible coordinates."""
+    key = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        (key + 1).alias("tower_id"),
+        F.when(key % 9 == 4, F.lit("ROOF_MAST"))
+        .when(key % 31 == 2, F.lit(None))
+        .otherwise(pick(SITE_TYPES, key % 4))
+        .alias("site_type"),
+        _null_when(key % 17 == 3, F.col("s_name")).alias("city"),
+        F.col("s_acctbal").alias("latitude"),
+        (F.col("s_acctbal") / 10).alias("longitude"),
+    )
+
+
+def bad_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assignments before any repeat of an incident and engineer pair is dropped."""
+    engineers = row_count(spark, sf_dir, "customer")
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") + 1).alias("incident_id"),
+        (1 + F.col("l_partkey") % engineers).alias("engineer_id"),
+        F.when(F.col("l_linenumber") == 1, "LEAD")
+        .when(F.col("l_linenumber") == 7, "OBSERVER")
+        .otherwise("SUPPORT")
+        .alias("role"),
+        F.col("l_shipdate").alias("assigned_at"),
+    )

@@ -377,6 +377,11 @@ _LOOKUP_ROWS = {
 LOOKUPS = tuple(_LOOKUP_ROWS)
 
 
+def lookup_keys(name: str) -> list[int | str]:
+    """The primary keys of a lookup table."""
+    return [row[0] for row in _LOOKUP_ROWS[name]]
+
+
 def lookup(spark: SparkSession, name: str) -> DataFrame:
     """A lookup table as a local relation."""
     names = [c.name for c in TABLES[name].columns][: len(_LOOKUP_ROWS[name][0])]

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewarden import lens
+from linewarden import lens, model
 from linewarden.functions.times import minutes_between
+from linewarden.operators import metrics, quality
 from linewarden.operators.clean import clean_outages
 from linewarden.operators.extract import build_extract, longest_outages
 from linewarden.operators.logs import parse_logs
@@ -173,3 +174,219 @@ def key_metrics(spark, sf_dir):
 @query
 def metric_cards(spark, sf_dir):
     return dashboard.metric_cards(key_metrics(spark, sf_dir))
+
+
+def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All tables of the model: lookups as they are, the others through the lens."""
+    tables = {name: model.lookup(spark, name) for name in model.LOOKUPS}
+    for name in (
+        "tower",
+        "engineer",
+        "outage_incident",
+        "incident_assignment",
+        "resolution_log",
+        "extract_link",
+    ):
+        tables[name] = getattr(lens, name)(spark, sf_dir)
+    return tables
+
+
+@query
+def dq_primary_key(spark, sf_dir):
+    keys = {
+        "bad_incident": "incident_id",
+        "resolution_log": "log_id",
+        "tower": "tower_id",
+        "engineer": "engineer_id",
+    }
+    return quality.union_all(
+        [
+            quality.check_keys(getattr(lens, name)(spark, sf_dir), name, primary_key=key)
+            for name, key in keys.items()
+        ]
+    )
+
+
+@query
+def dq_unique(spark, sf_dir):
+    keys = {
+        "bad_engineer": (("employee_no",), ("email",)),
+        "tower": (("tower_code",),),
+        "outage_incident": (("incident_ref",),),
+        "extract_link": (("outage_id",),),
+    }
+    return quality.union_all(
+        [
+            quality.check_keys(getattr(lens, name)(spark, sf_dir), name, unique=unique)
+            for name, unique in keys.items()
+        ]
+    )
+
+
+@query
+def dq_composite_unique(spark, sf_dir):
+    keys = {
+        "bad_assignment": (("incident_id", "engineer_id"),),
+        "resolution_log": (("incident_id", "action_id"),),
+    }
+    return quality.union_all(
+        [
+            quality.check_keys(getattr(lens, name)(spark, sf_dir), name, unique=unique)
+            for name, unique in keys.items()
+        ]
+    )
+
+
+@query
+def dq_not_null(spark, sf_dir):
+    required = {
+        "bad_incident": (
+            "incident_id",
+            "tower_id",
+            "severity_id",
+            "reported_at",
+            "customers_affected",
+        ),
+        "bad_engineer": ("engineer_id", "employee_no", "full_name", "email"),
+        "bad_tower": ("tower_id", "site_type", "city"),
+    }
+    return quality.union_all(
+        [
+            quality.check_rows(
+                getattr(lens, name)(spark, sf_dir), name, [quality.not_null(c) for c in columns]
+            )
+            for name, columns in required.items()
+        ]
+    )
+
+
+@query
+def dq_foreign_key(spark, sf_dir):
+    incidents = lens.bad_incident(spark, sf_dir)
+    assignments = lens.incident_assignment(spark, sf_dir)
+    references = [
+        (incidents, "bad_incident", "tower_id", lens.tower(spark, sf_dir), "tower_id"),
+        (
+            incidents,
+            "bad_incident",
+            "severity_id",
+            model.lookup(spark, "severity_level"),
+            "severity_id",
+        ),
+        (
+            lens.bad_engineer(spark, sf_dir),
+            "bad_engineer",
+            "province_code",
+            model.lookup(spark, "province"),
+            "province_code",
+        ),
+        (assignments, "incident_assignment", "incident_id", incidents, "incident_id"),
+        (
+            assignments,
+            "incident_assignment",
+            "engineer_id",
+            lens.engineer(spark, sf_dir),
+            "engineer_id",
+        ),
+    ]
+    return quality.union_all([quality.check_reference(*reference) for reference in references])
+
+
+@query
+def dq_domain(spark, sf_dir):
+    return quality.union_all(
+        [
+            quality.check_rows(
+                lens.bad_tower(spark, sf_dir),
+                "bad_tower",
+                [quality.in_domain("site_type", model.SITE_TYPES)],
+            ),
+            quality.check_rows(
+                lens.bad_assignment(spark, sf_dir),
+                "bad_assignment",
+                [quality.in_domain("role", model.ROLES)],
+            ),
+        ]
+    )
+
+
+def _incident_check(spark, sf_dir, name):
+    rule = quality.holds(name, model.OUTAGE_INCIDENT.checks[name])
+    return quality.check_rows(lens.bad_incident(spark, sf_dir), "bad_incident", [rule])
+
+
+@query
+def dq_range(spark, sf_dir):
+    return _incident_check(spark, sf_dir, "customers_not_negative")
+
+
+@query
+def dq_temporal(spark, sf_dir):
+    return _incident_check(spark, sf_dir, "resolved_after_reported")
+
+
+@query
+def dq_length(spark, sf_dir):
+    lengths = model.ENGINEER.lengths
+    rules = [
+        quality.max_length(c, lengths[c]) for c in ("employee_no", "full_name", "email", "phone")
+    ]
+    return quality.check_rows(lens.bad_engineer(spark, sf_dir), "bad_engineer", rules)
+
+
+@query
+def dq_decimal(spark, sf_dir):
+    rules = [quality.fits_decimal(c, model.COORDINATE) for c in ("latitude", "longitude")]
+    return quality.check_rows(lens.bad_tower(spark, sf_dir), "bad_tower", rules)
+
+
+@query
+def dq_derived(spark, sf_dir):
+    derived = model.OUTAGE_INCIDENT.derived["duration_min"]()
+    return quality.check_rows(
+        lens.bad_incident(spark, sf_dir),
+        "bad_incident",
+        [quality.equals_derived("duration_min", derived)],
+    )
+
+
+@query
+def dq_model(spark, sf_dir):
+    """Every declared rule over every table of the model."""
+    return quality.validate_model(model_tables(spark, sf_dir))
+
+
+@query
+def dq_offending_rows(spark, sf_dir):
+    """The incidents that break a single-row rule, with the rules they break."""
+    incidents = lens.bad_incident(spark, sf_dir)
+    rules = quality.row_rules(model.OUTAGE_INCIDENT, incidents.columns)
+    return quality.offending_rows(incidents, rules)
+
+
+@query
+def dq_repeated_rows(spark, sf_dir):
+    """The assignments that share their incident and engineer with another one."""
+    return quality.repeated_rows(
+        lens.bad_assignment(spark, sf_dir), ("incident_id", "engineer_id")
+    )
+
+
+@query
+def dq_orphan_rows(spark, sf_dir):
+    """The incidents whose tower does not exist."""
+    return quality.orphan_rows(
+        lens.bad_incident(spark, sf_dir), "tower_id", lens.tower(spark, sf_dir), "tower_id"
+    )
+
+
+@query
+def extract_metrics(spark, sf_dir):
+    return metrics.extract_metrics(
+        lens.outage_raw(spark, sf_dir), lens.incident_logs(spark, sf_dir), extract(spark, sf_dir)
+    )
+
+
+@query
+def table_row_counts(spark, sf_dir):
+    return metrics.row_counts(model_tables(spark, sf_dir))

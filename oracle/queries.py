@@ -210,3 +210,377 @@ oracle(
     FROM ({METRICS_SQL})
     """,
 )
+
+
+# Data-quality rules: one SELECT per rule, put together with UNION ALL.
+
+
+def failing(table: str, rule: str, subject: str, condition: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{subject}' AS subject, "
+        f"count(*) AS violations FROM {table} WHERE {condition}"
+    )
+
+
+def null_rule(table: str, column: str) -> str:
+    return failing(table, "not_null", column, f"{column} IS NULL")
+
+
+def length_rule(table: str, column: str, limit: int) -> str:
+    return failing(table, "length", column, f"length({column}) > {limit}")
+
+
+def repeat_rule(table: str, rule: str, key: str) -> str:
+    return (
+        f"SELECT '{table}', '{rule}', '{key}', count(*) FROM (SELECT {key} FROM {table} "
+        f"WHERE ({' AND '.join(c + ' IS NOT NULL' for c in key.split(', '))}) "
+        f"GROUP BY {key} HAVING count(*) > 1)"
+    )
+
+
+def key_rules(table: str, key: str) -> list[str]:
+    return [
+        failing(table, "primary_key_null", key, f"{key} IS NULL"),
+        repeat_rule(table, "primary_key_duplicate", key),
+    ]
+
+
+def parent_rule(table: str, column: str, parent: str, parent_column: str) -> str:
+    return failing(
+        table,
+        "foreign_key",
+        column,
+        f"{column} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {parent} p WHERE p.{parent_column} = {table}.{column})",
+    )
+
+
+def dq(name: str, tables: tuple[str, ...], rules: list[str]) -> None:
+    body = "\nUNION ALL\n".join(rules)
+    oracle(name, tables, f"SELECT * FROM ({body}) AS t(table_name, rule, subject, violations)")
+
+
+NEGATIVE = "NOT (customers_affected >= 0)"
+TOO_EARLY = "resolved_at IS NOT NULL AND NOT (resolved_at > reported_at)"
+WRONG_DURATION = (
+    "duration_min IS DISTINCT FROM "
+    "cast(round((epoch(resolved_at) - epoch(reported_at)) / 60.0) AS integer)"
+)
+SITES = "('CELL_TOWER', 'EXCHANGE', 'DATA_CENTRE', 'FIBRE_NODE')"
+ROLE_NAMES = "('LEAD', 'SUPPORT', 'ESCALATION')"
+
+dq(
+    "dq_primary_key",
+    ("bad_incident", "resolution_log", "tower", "engineer"),
+    key_rules("bad_incident", "incident_id")
+    + key_rules("resolution_log", "log_id")
+    + key_rules("tower", "tower_id")
+    + key_rules("engineer", "engineer_id"),
+)
+dq(
+    "dq_unique",
+    ("bad_engineer", "tower", "outage_incident", "extract_link"),
+    [
+        repeat_rule("bad_engineer", "unique", "employee_no"),
+        repeat_rule("bad_engineer", "unique", "email"),
+        repeat_rule("tower", "unique", "tower_code"),
+        repeat_rule("outage_incident", "unique", "incident_ref"),
+        repeat_rule("extract_link", "unique", "outage_id"),
+    ],
+)
+dq(
+    "dq_composite_unique",
+    ("bad_assignment", "resolution_log"),
+    [
+        repeat_rule("bad_assignment", "unique", "incident_id, engineer_id"),
+        repeat_rule("resolution_log", "unique", "incident_id, action_id"),
+    ],
+)
+dq(
+    "dq_not_null",
+    ("bad_incident", "bad_engineer", "bad_tower"),
+    [
+        null_rule("bad_incident", c)
+        for c in ("incident_id", "tower_id", "severity_id", "reported_at", "customers_affected")
+    ]
+    + [null_rule("bad_engineer", c) for c in ("engineer_id", "employee_no", "full_name", "email")]
+    + [null_rule("bad_tower", c) for c in ("tower_id", "site_type", "city")],
+)
+dq(
+    "dq_foreign_key",
+    (
+        "bad_incident",
+        "tower",
+        "severity_",
+        "bad_engineer",
+        "province_",
+        "incident_assignment",
+        "engineer",
+    ),
+    [
+        parent_rule("bad_incident", "tower_id", "tower", "tower_id"),
+        parent_rule("bad_incident", "severity_id", "severity_", "severity_id"),
+        parent_rule("bad_engineer", "province_code", "province_", "province_code"),
+        parent_rule("incident_assignment", "incident_id", "bad_incident", "incident_id"),
+        parent_rule("incident_assignment", "engineer_id", "engineer", "engineer_id"),
+    ],
+)
+dq(
+    "dq_domain",
+    ("bad_tower", "bad_assignment"),
+    [
+        failing("bad_tower", "domain", "site_type", f"site_type NOT IN {SITES}"),
+        failing("bad_assignment", "domain", "role", f"role NOT IN {ROLE_NAMES}"),
+    ],
+)
+dq(
+    "dq_range",
+    ("bad_incident",),
+    [failing("bad_incident", "check", "customers_not_negative", NEGATIVE)],
+)
+dq(
+    "dq_temporal",
+    ("bad_incident",),
+    [failing("bad_incident", "check", "resolved_after_reported", TOO_EARLY)],
+)
+dq(
+    "dq_length",
+    ("bad_engineer",),
+    [
+        length_rule("bad_engineer", "employee_no", 20),
+        length_rule("bad_engineer", "full_name", 120),
+        length_rule("bad_engineer", "email", 150),
+        length_rule("bad_engineer", "phone", 20),
+    ],
+)
+dq(
+    "dq_decimal",
+    ("bad_tower",),
+    [
+        failing("bad_tower", "decimal", c, f"{c} IS NOT NULL AND try_cast({c} AS decimal(9,6)) IS NULL")
+        for c in ("latitude", "longitude")
+    ],
+)
+dq(
+    "dq_derived",
+    ("bad_incident",),
+    [failing("bad_incident", "derived", "duration_min", WRONG_DURATION)],
+)
+
+# The lookup tables are literals that break no rule.
+LOOKUP_RULES = {
+    "province": {
+        "not_null": ("province_code", "province_name"),
+        "length": ("province_code", "province_name"),
+        "primary_key_null": ("province_code",),
+        "primary_key_duplicate": ("province_code",),
+    },
+    "outage_type": {
+        "not_null": ("outage_type_id", "type_code"),
+        "length": ("type_code",),
+        "primary_key_null": ("outage_type_id",),
+        "primary_key_duplicate": ("outage_type_id",),
+        "unique": ("type_code",),
+    },
+    "severity_level": {
+        "not_null": ("severity_id", "label", "sla_response_min", "sla_resolve_min"),
+        "length": ("label",),
+        "primary_key_null": ("severity_id",),
+        "primary_key_duplicate": ("severity_id",),
+        "unique": ("label",),
+    },
+    "resolution_action": {
+        "not_null": ("action_id", "action_code"),
+        "length": ("action_code",),
+        "primary_key_null": ("action_id",),
+        "primary_key_duplicate": ("action_id",),
+        "unique": ("action_code",),
+    },
+    "carrier": {
+        "not_null": ("carrier_id", "carrier_name"),
+        "length": ("carrier_name", "ticker_symbol", "hq_province"),
+        "primary_key_null": ("carrier_id",),
+        "primary_key_duplicate": ("carrier_id",),
+        "unique": ("carrier_name",),
+        "foreign_key": ("hq_province",),
+    },
+}
+dq(
+    "dq_model",
+    (
+        "province_",
+        "carrier_",
+        "outage_type_",
+        "severity_",
+        "tower",
+        "engineer",
+        "outage_incident",
+        "incident_assignment",
+        "resolution_log",
+        "extract_link",
+    ),
+    [
+        f"SELECT '{table}', '{rule}', '{subject}', 0"
+        for table, rules in LOOKUP_RULES.items()
+        for rule, subjects in rules.items()
+        for subject in subjects
+    ]
+    + [
+        null_rule("tower", c)
+        for c in ("tower_id", "tower_code", "carrier_id", "site_type", "city", "province_code")
+    ]
+    + [failing("tower", "domain", "site_type", f"site_type NOT IN {SITES}")]
+    + [
+        length_rule("tower", c, limit)
+        for c, limit in (("tower_code", 20), ("site_type", 30), ("city", 100), ("province_code", 2))
+    ]
+    + key_rules("tower", "tower_id")
+    + [
+        repeat_rule("tower", "unique", "tower_code"),
+        parent_rule("tower", "carrier_id", "carrier_", "carrier_id"),
+        parent_rule("tower", "province_code", "province_", "province_code"),
+    ]
+    + [
+        null_rule("engineer", c) for c in ("engineer_id", "employee_no", "full_name", "is_oncall")
+    ]
+    + [
+        length_rule("engineer", c, limit)
+        for c, limit in (
+            ("employee_no", 20),
+            ("full_name", 120),
+            ("specialisation", 60),
+            ("province_code", 2),
+        )
+    ]
+    + key_rules("engineer", "engineer_id")
+    + [
+        repeat_rule("engineer", "unique", "employee_no"),
+        parent_rule("engineer", "province_code", "province_", "province_code"),
+    ]
+    + [
+        null_rule("outage_incident", c)
+        for c in (
+            "incident_id",
+            "incident_ref",
+            "tower_id",
+            "outage_type_id",
+            "severity_id",
+            "reported_at",
+            "customers_affected",
+            "is_escalated",
+        )
+    ]
+    + [
+        failing("outage_incident", "check", "customers_not_negative", NEGATIVE),
+        failing("outage_incident", "check", "resolved_after_reported", TOO_EARLY),
+        length_rule("outage_incident", "incident_ref", 20),
+        failing("outage_incident", "derived", "duration_min", WRONG_DURATION),
+    ]
+    + key_rules("outage_incident", "incident_id")
+    + [
+        repeat_rule("outage_incident", "unique", "incident_ref"),
+        parent_rule("outage_incident", "tower_id", "tower", "tower_id"),
+        parent_rule("outage_incident", "outage_type_id", "outage_type_", "outage_type_id"),
+        parent_rule("outage_incident", "severity_id", "severity_", "severity_id"),
+    ]
+    + [null_rule("incident_assignment", c) for c in ("incident_id", "engineer_id", "role")]
+    + [
+        failing("incident_assignment", "domain", "role", f"role NOT IN {ROLE_NAMES}"),
+        length_rule("incident_assignment", "role", 20),
+        repeat_rule("incident_assignment", "unique", "incident_id, engineer_id"),
+        parent_rule("incident_assignment", "incident_id", "outage_incident", "incident_id"),
+        parent_rule("incident_assignment", "engineer_id", "engineer", "engineer_id"),
+    ]
+    + [
+        null_rule("resolution_log", c)
+        for c in ("log_id", "incident_id", "action_id", "performed_by", "performed_at")
+    ]
+    + key_rules("resolution_log", "log_id")
+    + [
+        repeat_rule("resolution_log", "unique", "incident_id, action_id"),
+        parent_rule("resolution_log", "incident_id", "outage_incident", "incident_id"),
+        failing("resolution_log", "foreign_key", "action_id", "action_id NOT BETWEEN 1 AND 8"),
+        parent_rule("resolution_log", "performed_by", "engineer", "engineer_id"),
+    ]
+    + [
+        null_rule("extract_link", "outage_id"),
+        length_rule("extract_link", "outage_id", 20),
+        repeat_rule("extract_link", "unique", "outage_id"),
+        parent_rule("extract_link", "incident_id", "outage_incident", "incident_id"),
+    ],
+)
+oracle(
+    "dq_offending_rows",
+    ("bad_incident",),
+    "\nUNION ALL\n".join(
+        f"SELECT *, '{rule}' AS rule, '{subject}' AS subject FROM bad_incident WHERE {condition}"
+        for rule, subject, condition in [
+            ("check", "customers_not_negative", NEGATIVE),
+            ("check", "resolved_after_reported", TOO_EARLY),
+            ("derived", "duration_min", WRONG_DURATION),
+        ]
+        + [
+            ("not_null", c, f"{c} IS NULL")
+            for c in ("incident_id", "tower_id", "severity_id", "reported_at", "customers_affected")
+        ]
+    ),
+)
+oracle(
+    "dq_repeated_rows",
+    ("bad_assignment",),
+    """
+    SELECT incident_id, engineer_id, role, assigned_at
+    FROM (SELECT *, count(*) OVER (PARTITION BY incident_id, engineer_id) AS held_by
+          FROM bad_assignment)
+    WHERE held_by > 1
+    """,
+)
+oracle(
+    "dq_orphan_rows",
+    ("bad_incident", "tower"),
+    """
+    SELECT b.* FROM bad_incident b LEFT JOIN tower t ON t.tower_id = b.tower_id
+    WHERE b.tower_id IS NOT NULL AND t.tower_id IS NULL
+    """,
+)
+oracle(
+    "extract_metrics",
+    ("outage_raw", "incident_logs", "extract_"),
+    """
+    SELECT 'outages' AS step, 'rows_loaded' AS metric, count(*) AS value FROM outage_raw
+    UNION ALL
+    SELECT 'outages', 'rows_dropped', count(*) FROM outage_raw
+    WHERE outage_id IS NULL OR province IS NULL
+    UNION ALL SELECT 'logs', 'rows_loaded', count(*) FROM incident_logs
+    UNION ALL
+    SELECT 'logs', 'escalations_flagged', count(*) FROM incident_logs
+    WHERE regexp_matches(log_text, 'escalat', 'i')
+    UNION ALL SELECT 'extract', 'rows', count(*) FROM extract_
+    UNION ALL SELECT 'extract', 'columns', 15
+    """,
+)
+oracle(
+    "table_row_counts",
+    (
+        "tower",
+        "engineer",
+        "outage_incident",
+        "incident_assignment",
+        "resolution_log",
+        "extract_link",
+    ),
+    "SELECT 'province' AS name, 13 AS row_count UNION ALL SELECT 'outage_type', 6 "
+    "UNION ALL SELECT 'severity_level', 4 UNION ALL SELECT 'resolution_action', 8 "
+    "UNION ALL SELECT 'carrier', 6 UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT '{t}', count(*) FROM {t}"
+        for t in (
+            "tower",
+            "engineer",
+            "outage_incident",
+            "incident_assignment",
+            "resolution_log",
+            "extract_link",
+        )
+    ),
+)
