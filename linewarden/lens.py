@@ -1,7 +1,7 @@
 """The model's tables derived from the TPC-H-like test tables.
 
 Each function reads whole tables. The modulo rules only choose values and plant
-faults (a record without a date, an outage without a log); they never thin the input.
+faults, such as a record without a date or an outage without a log.
 """
 
 from __future__ import annotations
@@ -11,17 +11,18 @@ from pyspark.sql import functions as F
 
 from linewarden.functions.text import fill, padded_code, pick
 from linewarden.functions.times import clock_text, timestamp_text
+from linewarden.model import SITE_TYPES
+from linewarden.vocabulary import (
+    ALERT_LOG,
+    CARRIER_NAMES,
+    CAUSES,
+    ESCALATION_LOG,
+    FIELD_LOG,
+    ISSUES,
+    PROVINCE_CODES,
+    TECHNICIAN_LOG,
+)
 
-PROVINCE_CODES = ["MB", "ON", "BC", "AB", "QC", "SK", "NS", "NB", "NL", "PE"]
-CAUSES = [
-    "Fibre cut",
-    "Power failure",
-    "Hardware fault",
-    "Software bug",
-    "Weather",
-    "Planned maintenance",
-]
-CARRIER_NAMES = ["Rogers", "Bell", "Telus", "Shaw", "Videotron", "SaskTel"]
 ENGINEERS = [
     "Anna Smith",
     "Luc Roy",
@@ -31,34 +32,8 @@ ENGINEERS = [
     "Cher",
     "Dr. Ann Lee",
 ]
-ISSUES = [
-    "fibre cut on main trunk",
-    "battery backup exhausted",
-    "firmware update loop",
-    "water ingress in cabinet",
-    "power surge from lightning strike",
-    "misconfigured routing table",
-]
-SITE_TYPES = ["CELL_TOWER", "EXCHANGE", "DATA_CENTRE", "FIBRE_NODE"]
 SITE_CODES = ["CEL", "EXC", "DAT", "FIB"]
 
-TECHNICIAN_LOG = (
-    "Technician {name} attended site at {time}. Issue: {issue}. "
-    "Resolution: replaced UPS unit. Customers restored after {mins} minutes."
-)
-ESCALATION_LOG = (
-    "ESCALATION – {name} – outage ref {ref}. Root cause identified as {issue}. "
-    "Crew dispatched. Full service restored at {time}."
-)
-ALERT_LOG = (
-    "Automated alert triggered at {time}. {issue} detected on node NODE-{node}. "
-    "On-call engineer {name} paged. Resolved in {mins} min."
-)
-FIELD_LOG = (
-    "Field report by {name}: attended City exchange. {issue}. "
-    "Temporary fix applied at {time}; permanent repair scheduled."
-)
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -110,7 +85,9 @@ def incident_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "issue": pick(ISSUES, event % 6),
         "mins": 30 + event % 451,
         "ref": outage_id(event),
-        "node": 100 + event % 900,
+        "fix": F.lit("replaced UPS unit"),
+        "node": F.concat(F.lit("NODE-"), (100 + event % 900).cast("string")),
+        "city": F.lit("City"),
     }
     log_text = (
         F.when(event % 4 == 0, fill(TECHNICIAN_LOG, **fields))
@@ -133,7 +110,7 @@ def tower(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key + 1).alias("tower_id"),
         padded_code(prefix, key + 1).alias("tower_code"),
         (1 + key % 6).cast("int").alias("carrier_id"),
-        pick(SITE_TYPES, key % 4).alias("site_type"),
+        pick(list(SITE_TYPES), key % 4).alias("site_type"),
         F.concat(F.lit("City-"), (key % 7).cast("string")).alias("city"),
         province.alias("province_code"),
     )
@@ -285,7 +262,7 @@ def bad_tower(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key + 1).alias("tower_id"),
         F.when(key % 9 == 4, F.lit("ROOF_MAST"))
         .when(key % 31 == 2, F.lit(None))
-        .otherwise(pick(SITE_TYPES, key % 4))
+        .otherwise(pick(list(SITE_TYPES), key % 4))
         .alias("site_type"),
         _null_when(key % 17 == 3, F.col("s_name")).alias("city"),
         F.col("s_acctbal").alias("latitude"),

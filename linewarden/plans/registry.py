@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from linewarden import lens, model
 from linewarden.functions.times import minutes_between
-from linewarden.operators import metrics, quality
+from linewarden.operators import generate, metrics, quality
 from linewarden.operators.clean import clean_outages
 from linewarden.operators.extract import build_extract, longest_outages
 from linewarden.operators.logs import parse_logs
 from linewarden.plans import dashboard, network_reports, outage_reports
+from linewarden.session import materialize, scratch_path
+from linewarden.sources import catalog, inserts, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -390,3 +392,185 @@ def extract_metrics(spark, sf_dir):
 @query
 def table_row_counts(spark, sf_dir):
     return metrics.row_counts(model_tables(spark, sf_dir))
+
+
+def _database(spark: SparkSession) -> tuple[str, str]:
+    """Name and folder of a database of this run's own."""
+    folder = scratch_path(spark, "database")
+    return "linewarden_" + folder.split("/")[-2], folder
+
+
+@query
+def csv_source(spark, sf_dir):
+    """Outage records written as CSV with a header and read back by column name."""
+    path = scratch_path(spark, "outages_csv")
+    lens.outage_raw(spark, sf_dir).write.csv(
+        path,
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    return readers.read_csv(spark, path)
+
+
+@query
+def source_fallback(spark, sf_dir):
+    """A primary source that does not exist, and the fallback used in its place."""
+    missing = scratch_path(spark, "missing_csv")
+    df, source = readers.load_or_else(
+        lambda: readers.read_csv(spark, missing), lambda: lens.outage_raw(spark, sf_dir)
+    )
+    return df.withColumn("source", F.lit(source))
+
+
+@query
+def table_round_trip(spark, sf_dir):
+    """The extract written as parquet and as a table, read back from the table."""
+    database, folder = _database(spark)
+    current = spark.catalog.currentDatabase()
+    catalog.create_database(spark, database, folder)
+    spark.catalog.setCurrentDatabase(current)
+    tables = writers.persist_extract(
+        extract(spark, sf_dir), lens.incident_logs(spark, sf_dir), f"{folder}/extract", database
+    )
+    return tables["outage_events"]
+
+
+@query
+def incident_layout(spark, sf_dir):
+    """Incidents written by month in report order, read back."""
+    return writers.write_incidents(
+        lens.outage_incident(spark, sf_dir), scratch_path(spark, "incidents")
+    )
+
+
+@query
+def named_views(spark, sf_dir):
+    """Row counts of the model's views, through SQL."""
+    views = network_reports.network_views(model_tables(spark, sf_dir))
+    catalog.register_views(views)
+    return spark.sql(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS view_name, count(*) AS row_count FROM {name}" for name in views
+        )
+    )
+
+
+def _assignment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One assignment per line item, with the columns that order the lines."""
+    engineers = lens.row_count(spark, sf_dir, "customer")
+    line = F.col("l_linenumber")
+    return lens.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") + 1).alias("incident_id"),
+        (1 + F.col("l_partkey") % engineers).alias("engineer_id"),
+        F.when(line == 1, "LEAD").otherwise("SUPPORT").alias("role"),
+        F.col("l_shipdate").alias("assigned_at"),
+        F.col("l_linestatus").alias("batch"),
+        line.alias("line"),
+    )
+
+
+@query
+def insert_ignore(spark, sf_dir):
+    """Assignments of finished lines, then an insert of all lines on top of them."""
+    key, arrival = [("incident_id", "engineer_id")], ["line"]
+    rows = _assignment_rows(spark, sf_dir)
+    finished = rows.filter(F.col("batch") == "F")
+    stored = inserts.insert_or_ignore(rows.limit(0), finished, key, arrival)
+    stored = materialize(stored, "assignments")
+    added = inserts.insert_or_ignore(stored, rows, key, arrival)
+    return stored.unionByName(added)
+
+
+@query
+def insert_ignore_two_keys(spark, sf_dir):
+    """Resolutions from all line items under a primary key and a unique pair at once."""
+    engineers = lens.row_count(spark, sf_dir, "customer")
+    rows = lens.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_linenumber") + 10 * (F.col("l_orderkey") + 1)).alias("log_id"),
+        (F.col("l_orderkey") + 1).alias("incident_id"),
+        (1 + F.col("l_partkey") % 8).cast("int").alias("action_id"),
+        (1 + F.col("l_suppkey") % engineers).alias("performed_by"),
+        F.col("l_shipdate").alias("performed_at"),
+    )
+    return inserts.insert_or_ignore(
+        rows.limit(0),
+        rows,
+        model.RESOLUTION_LOG.unique_keys,
+        ["performed_at", "log_id", "action_id", "performed_by"],
+    )
+
+
+@query
+def key_lookup(spark, sf_dir):
+    """Tower ids found again by tower code for every incident of the summary."""
+    summary = incident_summary(spark, sf_dir).select("incident_ref", "tower_code")
+    return inserts.key_of(summary, lens.tower(spark, sf_dir), ("tower_code",), "tower_id")
+
+
+@query
+def default_columns(spark, sf_dir):
+    """Incidents without the optional columns, completed with the declared defaults."""
+    bare = lens.outage_incident(spark, sf_dir).drop("customers_affected", "is_escalated")
+    full = catalog.with_defaults(bare, model.OUTAGE_INCIDENT)
+    return full.withColumn("created_at", F.col("created_at").isNotNull())
+
+
+# Generators, sized by the test tables.
+
+
+def _ids(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    return lens.table(spark, sf_dir, name).select((F.col(key) + 1).alias("id"))
+
+
+@query
+def gen_outages(spark, sf_dir):
+    return generate.outage_records(_ids(spark, sf_dir, "events", "event_id"))
+
+
+@query
+def gen_logs(spark, sf_dir):
+    return generate.incident_logs(gen_outages(spark, sf_dir))
+
+
+@query
+def gen_towers(spark, sf_dir):
+    towers = generate.towers(_ids(spark, sf_dir, "supplier", "s_suppkey"))
+    coordinates = {c: F.col(c).cast("double") for c in ("latitude", "longitude")}
+    return towers.withColumns(coordinates)
+
+
+@query
+def gen_engineers(spark, sf_dir):
+    return generate.engineers(_ids(spark, sf_dir, "customer", "c_custkey"))
+
+
+@query
+def gen_incidents(spark, sf_dir):
+    return generate.incidents(
+        _ids(spark, sf_dir, "orders", "o_orderkey"), lens.row_count(spark, sf_dir, "supplier")
+    )
+
+
+@query
+def gen_assignments(spark, sf_dir):
+    return generate.assignments(
+        _ids(spark, sf_dir, "orders", "o_orderkey"), lens.row_count(spark, sf_dir, "customer")
+    )
+
+
+@query
+def gen_resolutions(spark, sf_dir):
+    return generate.resolutions(
+        _ids(spark, sf_dir, "orders", "o_orderkey"), lens.row_count(spark, sf_dir, "customer")
+    )
+
+
+@query
+def gen_links(spark, sf_dir):
+    return generate.links(
+        _ids(spark, sf_dir, "events", "event_id"),
+        lens.row_count(spark, sf_dir, "orders"),
+        linked_at="2025-01-01",
+    )

@@ -584,3 +584,100 @@ oracle(
         )
     ),
 )
+
+oracle(
+    "csv_source",
+    ("outage_raw",),
+    "SELECT * REPLACE (try_cast(onset_dt AS timestamp) AS onset_dt) FROM outage_raw",
+)
+oracle("source_fallback", ("outage_raw",), "SELECT *, 'fallback' AS source FROM outage_raw")
+oracle("table_round_trip", ("extract_",), f"SELECT {EXTRACT_COLUMNS} FROM extract_")
+oracle(
+    "incident_layout",
+    ("outage_incident",),
+    """
+    SELECT *, cast(year(reported_at) AS integer) AS reported_year,
+           cast(month(reported_at) AS integer) AS reported_month
+    FROM outage_incident
+    """,
+)
+oracle(
+    "named_views",
+    (*WORKLOAD_TABLES, "severity_"),
+    """
+    SELECT 'v_incident_summary' AS view_name, count(*) AS row_count FROM outage_incident
+    UNION ALL SELECT 'v_engineer_workload', count(DISTINCT engineer_id) FROM incident_assignment
+    UNION ALL SELECT 'v_sla_compliance', count(DISTINCT severity_id) FROM outage_incident
+              WHERE resolved_at IS NOT NULL
+    UNION ALL SELECT 'v_escalated_incidents', count(*) FROM outage_incident WHERE is_escalated
+    """,
+)
+oracle(
+    "insert_ignore",
+    (),
+    """
+    SELECT incident_id, engineer_id, role, assigned_at, batch, line
+    FROM (
+        SELECT *, row_number() OVER (PARTITION BY incident_id, engineer_id
+                                     ORDER BY if(batch = 'F', 0, 1), line, role, assigned_at) AS turn
+        FROM (
+            SELECT l_orderkey + 1 AS incident_id,
+                   1 + l_partkey % (SELECT count(*) FROM customer) AS engineer_id,
+                   if(l_linenumber = 1, 'LEAD', 'SUPPORT') AS role,
+                   l_shipdate AS assigned_at, l_linestatus AS batch, l_linenumber AS line
+            FROM lineitem))
+    WHERE turn = 1
+    """,
+)
+# One insert after the other, for all incidents side by side: a step takes each incident's
+# next row and keeps it if neither its id nor its action was kept before. Both keys
+# contain the incident, so incidents never clash with each other.
+oracle(
+    "insert_ignore_two_keys",
+    (),
+    """
+    WITH RECURSIVE turns AS (
+        SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY
+                                     performed_at, log_id, action_id, performed_by) AS turn
+        FROM (
+            SELECT l_linenumber + 10 * (l_orderkey + 1) AS log_id, l_orderkey + 1 AS incident_id,
+                   cast(1 + l_partkey % 8 AS integer) AS action_id,
+                   1 + l_suppkey % (SELECT count(*) FROM customer) AS performed_by,
+                   l_shipdate AS performed_at
+            FROM lineitem)
+    ), steps AS (
+        SELECT *, [log_id] AS used_ids, [action_id] AS used_actions, true AS kept
+        FROM turns WHERE turn = 1
+        UNION ALL
+        SELECT t.*,
+               if(list_contains(s.used_ids, t.log_id)
+                  OR list_contains(s.used_actions, t.action_id),
+                  s.used_ids, list_append(s.used_ids, t.log_id)),
+               if(list_contains(s.used_ids, t.log_id)
+                  OR list_contains(s.used_actions, t.action_id),
+                  s.used_actions, list_append(s.used_actions, t.action_id)),
+               NOT (list_contains(s.used_ids, t.log_id)
+                    OR list_contains(s.used_actions, t.action_id))
+        FROM steps s JOIN turns t ON t.incident_id = s.incident_id AND t.turn = s.turn + 1
+    )
+    SELECT log_id, incident_id, action_id, performed_by, performed_at FROM steps WHERE kept
+    """,
+)
+oracle(
+    "key_lookup",
+    ("outage_incident", "tower"),
+    """
+    SELECT i.incident_ref, t.tower_code, t.tower_id
+    FROM outage_incident i JOIN tower t ON t.tower_id = i.tower_id
+    """,
+)
+oracle(
+    "default_columns",
+    ("outage_incident",),
+    """
+    SELECT incident_id, incident_ref, tower_id, outage_type_id, severity_id, reported_at,
+           resolved_at, duration_min, cast(0 AS bigint) AS customers_affected,
+           false AS is_escalated, cast(NULL AS varchar) AS root_cause_notes, true AS created_at
+    FROM outage_incident
+    """,
+)
