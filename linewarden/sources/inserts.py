@@ -110,6 +110,8 @@ def _first_per_keys(rows: DataFrame, keys: list[Key], arrival: list[str]) -> Dat
             "insert_winners",
         )
         accepted.append(winners)
+        if winners.count() == undecided.count():
+            break
         rest = undecided.filter(~keyless)
         for key in keys:
             rest = rest.join(_complete(winners, key).select(*key), list(key), "left_anti")

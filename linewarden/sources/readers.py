@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,6 @@ def load_or_else(
         if not absent:
             df.take(1)
             return df, "primary"
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         pass
     return fallback(), "fallback"
