@@ -15,45 +15,34 @@ from linewarden.operators.clean import has_keys
 from linewarden.operators.quality import union_all
 
 
-def _rows(step: str, counts: DataFrame, values: dict[str, Column]) -> DataFrame:
+def _rows(df: DataFrame, step: str, counted: dict[str, Column]) -> DataFrame:
+    """One row per named aggregate."""
+    counts = df.agg(
+        *[F.coalesce(total, F.lit(0)).cast("bigint").alias(name) for name, total in counted.items()]
+    )
+    rows = ", ".join(f"'{step}', '{name}', {name}" for name in counted)
     return counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(step).alias("step"),
-                        F.lit(metric).alias("metric"),
-                        value.cast("bigint").alias("value"),
-                    )
-                    for metric, value in values.items()
-                ]
-            )
-        )
+        F.expr(f"stack({len(counted)}, {rows})").alias("step", "metric", "value")
     )
 
 
 def load_metrics(raw: DataFrame) -> DataFrame:
     """Records loaded, and records the cleaning drops for missing keys."""
-    counts = raw.agg(F.count("*").alias("n"), count_if(~has_keys()).alias("dropped"))
-    dropped = F.coalesce(F.col("dropped"), F.lit(0))
-    return _rows("outages", counts, {"rows_loaded": F.col("n"), "rows_dropped": dropped})
+    return _rows(
+        raw, "outages", {"rows_loaded": F.count("*"), "rows_dropped": count_if(~has_keys())}
+    )
 
 
 def log_metrics(logs: DataFrame) -> DataFrame:
     """Logs read, and logs that speak of an escalation."""
-    counts = logs.agg(
-        F.count("*").alias("n"), count_if(mentions_escalation(F.col("log_text"))).alias("flagged")
-    )
-    flagged = F.coalesce(F.col("flagged"), F.lit(0))
-    return _rows("logs", counts, {"rows_loaded": F.col("n"), "escalations_flagged": flagged})
+    flagged = count_if(mentions_escalation(F.col("log_text")))
+    return _rows(logs, "logs", {"rows_loaded": F.count("*"), "escalations_flagged": flagged})
 
 
 def extract_shape(extract: DataFrame) -> DataFrame:
     """Rows and columns of the extract."""
-    counts = extract.agg(F.count("*").alias("n"))
-    return _rows(
-        "extract", counts, {"rows": F.col("n"), "columns": F.lit(len(extract.columns))}
-    )
+    width = F.max(F.lit(len(extract.columns)))
+    return _rows(extract, "extract", {"rows": F.count("*"), "columns": width})
 
 
 def extract_metrics(raw: DataFrame, logs: DataFrame, extract: DataFrame) -> DataFrame:

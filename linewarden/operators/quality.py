@@ -70,16 +70,25 @@ def row_rules(table: model.Table, columns: list[str]) -> list[RowRule]:
     return rules
 
 
-def check_rows(df: DataFrame, table_name: str, rules: list[RowRule]) -> DataFrame:
-    """Violations of any number of row rules, counted in one pass."""
+def _summary(
+    df: DataFrame, table_name: str, counted: list[tuple[str, str, Column]]
+) -> DataFrame:
+    """One row per (rule, subject, aggregate of violations)."""
     counts = df.agg(
-        *[F.coalesce(count_if(r.failed), F.lit(0)).alias(f"rule_{i}") for i, r in enumerate(rules)]
+        *[F.coalesce(total, F.lit(0)).alias(f"rule_{i}") for i, (_, _, total) in enumerate(counted)]
+    )
+    rows = ", ".join(
+        f"'{table_name}', '{rule}', '{subject}', rule_{i}"
+        for i, (rule, subject, _) in enumerate(counted)
     )
-    rows = [
-        _summary_struct(table_name, r.rule, r.subject, F.col(f"rule_{i}"))
-        for i, r in enumerate(rules)
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+    return counts.select(
+        F.expr(f"stack({len(counted)}, {rows})").alias("table_name", "rule", "subject", "violations")
+    )
+
+
+def check_rows(df: DataFrame, table_name: str, rules: list[RowRule]) -> DataFrame:
+    """Violations of any number of row rules, counted in one pass."""
+    return _summary(df, table_name, [(r.rule, r.subject, count_if(r.failed)) for r in rules])
 
 
 def offending_rows(df: DataFrame, rules: list[RowRule]) -> DataFrame:
@@ -95,15 +104,6 @@ def offending_rows(df: DataFrame, rules: list[RowRule]) -> DataFrame:
     return df.select("*", F.inline(broken))
 
 
-def _summary_struct(table_name: str, rule: str, subject: str, violations: Column) -> Column:
-    return F.struct(
-        F.lit(table_name).alias("table_name"),
-        F.lit(rule).alias("rule"),
-        F.lit(subject).alias("subject"),
-        violations.alias("violations"),
-    )
-
-
 def check_keys(
     df: DataFrame,
     table_name: str,
@@ -122,13 +122,7 @@ def check_keys(
         F.count("*").alias("held_by"), F.grouping_id().alias("key_set")
     )
 
-    counts, rows = [], []
-
-    def count(rule: str, key: tuple[str, ...], violations: Column) -> None:
-        name = f"rule_{len(rows)}"
-        counts.append(F.coalesce(violations, F.lit(0)).alias(name))
-        rows.append(_summary_struct(table_name, rule, ", ".join(key), F.col(name)))
-
+    counted = []
     for number, key in enumerate(keys):
         # Bit of a column, first column highest: set when the column is not in the key.
         key_set = sum(2 ** (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in key)
@@ -136,11 +130,12 @@ def check_keys(
         complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
         repeated = count_if(of_key & complete & (F.col("held_by") > 1))
         if primary_key and number == 0:
-            count("primary_key_null", key, F.sum(F.when(of_key & ~complete, F.col("held_by"))))
-            count("primary_key_duplicate", key, repeated)
+            nulls = F.sum(F.when(of_key & ~complete, F.col("held_by")))
+            counted.append(("primary_key_null", primary_key, nulls))
+            counted.append(("primary_key_duplicate", primary_key, repeated))
         else:
-            count("unique", key, repeated)
-    return groups.agg(*counts).select(F.inline(F.array(*rows)))
+            counted.append(("unique", ", ".join(key), repeated))
+    return _summary(groups, table_name, counted)
 
 
 def repeated_keys(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
@@ -171,11 +166,8 @@ def check_reference(
     child: DataFrame, table_name: str, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
     """Child rows whose foreign key has no parent row."""
-    orphans = orphan_keys(child, column, parent, parent_column).agg(
-        F.coalesce(F.sum("held_by"), F.lit(0)).alias("orphans")
-    )
-    summary = _summary_struct(table_name, "foreign_key", column, F.col("orphans"))
-    return orphans.select(F.inline(F.array(summary)))
+    orphans = orphan_keys(child, column, parent, parent_column)
+    return _summary(orphans, table_name, [("foreign_key", column, F.sum("held_by"))])
 
 
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

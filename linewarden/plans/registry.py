@@ -354,8 +354,13 @@ def dq_derived(spark, sf_dir):
 
 @query
 def dq_model(spark, sf_dir):
-    """Every declared rule over every table of the model."""
-    return quality.validate_model(model_tables(spark, sf_dir))
+    """Every declared rule over every table of the model.
+
+    Each table is read once per rule group, so the derived ones are written down first.
+    """
+    tables = model_tables(spark, sf_dir)
+    stored = {n: df if n in model.LOOKUPS else materialize(df, n) for n, df in tables.items()}
+    return quality.validate_model(stored)
 
 
 @query

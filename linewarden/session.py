@@ -25,8 +25,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/linewarden/{uuid.uuid4().hex}/{name}"
+    """A path in the shared folder that nothing else uses, below one folder per application."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/linewarden/{application}/{uuid.uuid4().hex}/{name}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -61,25 +61,55 @@ def _complete(rows: DataFrame, key: Key) -> DataFrame:
     return rows.filter(_has(key))
 
 
-def _turn(columns: list[str], arrival: list[str]) -> Column:
-    """A row as a struct that compares by arrival, then by its other columns."""
-    return F.struct(*arrival, *[c for c in columns if c not in arrival])
-
-
 def _first_per_key(rows: DataFrame, key: Key, arrival: list[str]) -> DataFrame:
     """The first row of each key value; rows without a key all stay.
 
     The minimum is taken before the shuffle, so a hot key sends one row per task.
     """
+    others = [c for c in rows.columns if c not in arrival]
     first = (
         _complete(rows, key)
         .groupBy(*key)
-        .agg(F.min(_turn(rows.columns, arrival)).alias("turn"))
-        .select(*[F.col(f"turn.{c}").alias(c) for c in rows.columns])
+        .agg(F.min(F.struct(*arrival, *others)).alias("first"))
+        .select(*[F.col(f"first.{c}").alias(c) for c in rows.columns])
     )
     return rows.filter(~_has(key)).unionByName(first)
 
 
+def _numbered(rows: DataFrame, keys: list[Key], arrival: list[str]) -> DataFrame:
+    """The rows with ``turn``, a number that grows in arrival order, and ``claims``, how
+    many of their keys are complete.
+
+    The ids of a range-sorted DataFrame grow with its order. They are written down, so
+    they cannot change. Copies of a row are merged first, lest they all sort into one task.
+    """
+    others = [c for c in rows.columns if c not in arrival]
+    claims = reduce(lambda a, b: a + b, [_has(key).cast("int") for key in keys])
+    ordered = rows.dropDuplicates().orderBy(*arrival, *others)
+    return materialize(
+        ordered.select("*", F.monotonically_increasing_id().alias("turn"), claims.alias("claims")),
+        "insert_rows",
+    )
+
+
+def _leading(undecided: DataFrame, keys: list[Key]) -> DataFrame:
+    """Turns of the rows that come first under every key they claim."""
+    firsts = [
+        _complete(undecided, key)
+        .groupBy(*key)
+        .agg(F.min("turn").alias("turn"), F.min_by("claims", "turn").alias("claims"))
+        .select("turn", "claims")
+        for key in keys
+    ]
+    return (
+        reduce(DataFrame.unionByName, firsts)
+        .groupBy("turn", "claims")
+        .agg(F.count("*").alias("won"))
+        .filter(F.col("won") == F.col("claims"))
+        .select("turn")
+    )
+
+
 def _first_per_keys(rows: DataFrame, keys: list[Key], arrival: list[str]) -> DataFrame:
     """The rows a one-by-one insert under several unique keys would keep.
 
@@ -87,36 +117,33 @@ def _first_per_keys(rows: DataFrame, keys: list[Key], arrival: list[str]) -> Dat
     drops the rows that clash with an accepted one. A row that lost only to a row that
     was itself rejected gets its chance in the next round. The first undecided row is
     always accepted, so the rounds end; rows without clashes are settled in the first.
+    The rounds carry keys and turns only, not the rows.
     """
-    columns = rows.columns
-    turn = _turn(columns, arrival)
-    undecided = materialize(rows, "insert_rows")
+    claimant = reduce(lambda a, b: a | b, [_has(key) for key in keys])
+    numbered = _numbered(rows.filter(claimant), keys, arrival)
+    key_columns = list(dict.fromkeys(c for key in keys for c in key))
+    undecided = numbered.select("turn", "claims", *key_columns)
+    left = undecided.count()
     accepted = []
-    while not undecided.isEmpty():
-        leading = undecided.select("*", turn.alias("turn"))
-        for number, key in enumerate(keys):
-            first = (
-                _complete(undecided, key).groupBy(*key).agg(F.min(turn).alias(f"first_{number}"))
-            )
-            leading = leading.join(first, list(key), "left").filter(
-                F.col(f"first_{number}").isNull()
-                | F.col(f"first_{number}").eqNullSafe(F.col("turn"))
-            )
-        # Two leading rows with a common key are copies of each other.
-        keyless = reduce(lambda a, b: a & b, [~_has(key) for key in keys])
-        leading = leading.select(*columns)
+    while left:
         winners = materialize(
-            leading.filter(~keyless).dropDuplicates().unionByName(leading.filter(keyless)),
-            "insert_winners",
+            undecided.join(_leading(undecided, keys), "turn", "left_semi"), "insert_winners"
         )
-        accepted.append(winners)
-        if winners.count() == undecided.count():
+        accepted.append(winners.select("turn"))
+        if winners.count() == left:
             break
-        rest = undecided.filter(~keyless)
         for key in keys:
-            rest = rest.join(_complete(winners, key).select(*key), list(key), "left_anti")
-        undecided = materialize(rest.select(*columns), "insert_rows")
-    return reduce(DataFrame.unionByName, accepted, rows.limit(0))
+            taken = _complete(winners, key).select(*key)
+            undecided = undecided.join(taken, list(key), "left_anti")
+        undecided = materialize(
+            undecided.select("turn", "claims", *key_columns), "insert_undecided"
+        )
+        left = undecided.count()
+    keyless = rows.filter(~claimant)
+    if not accepted:
+        return keyless
+    kept = numbered.join(reduce(DataFrame.unionByName, accepted), "turn", "left_semi")
+    return kept.select(*rows.columns).unionByName(keyless)
 
 
 def check_parents(

@@ -50,7 +50,10 @@ def read_csv(
     ``multiline`` allows line breaks inside quoted fields; such a file cannot be split.
     """
     types = {f.name: f.dataType for f in schema.fields}
-    text = spark.read.csv(path, header=True, escape='"', multiLine=multiline)
+    # enforceSchema=False: a further file with other columns is an error, not shifted data.
+    text = spark.read.csv(
+        path, header=True, escape='"', multiLine=multiline, enforceSchema=False
+    )
     columns = []
     for name in text.columns:
         value = F.col(f"`{name}`")
