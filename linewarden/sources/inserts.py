@@ -43,7 +43,25 @@ def insert_or_ignore(
     rows = rows.select(*incoming.columns)
     if len(keys) == 1:
         return _first_per_key(rows, keys[0], arrival)
-    return _first_per_keys(rows, keys, arrival)
+
+    # Only rows that share a key with another row need their order looked at.
+    rows = materialize(rows, "insert_rows")
+    clashes = [
+        materialize(quality.repeated_keys(rows, key).drop("held_by"), "insert_clashes")
+        for key in keys
+    ]
+    if all(clash.isEmpty() for clash in clashes):
+        return rows
+    free, marked = rows, rows
+    for number, (key, clash) in enumerate(zip(keys, clashes)):
+        free = free.join(clash, list(key), "left_anti")
+        marked = marked.join(
+            clash.withColumn(f"clash_{number}", F.lit(True)), list(key), "left"
+        )
+    contested = marked.filter(
+        F.coalesce(*[F.col(f"clash_{number}") for number in range(len(keys))], F.lit(False))
+    ).select(*rows.columns)
+    return free.select(*rows.columns).unionByName(_first_per_keys(contested, keys, arrival))
 
 
 def _valid(rows: DataFrame, rules: list[quality.RowRule]) -> DataFrame:
@@ -88,7 +106,7 @@ def _numbered(rows: DataFrame, keys: list[Key], arrival: list[str]) -> DataFrame
     ordered = rows.dropDuplicates().orderBy(*arrival, *others)
     return materialize(
         ordered.select("*", F.monotonically_increasing_id().alias("turn"), claims.alias("claims")),
-        "insert_rows",
+        "insert_contested",
     )
 
 
@@ -119,8 +137,7 @@ def _first_per_keys(rows: DataFrame, keys: list[Key], arrival: list[str]) -> Dat
     always accepted, so the rounds end; rows without clashes are settled in the first.
     The rounds carry keys and turns only, not the rows.
     """
-    claimant = reduce(lambda a, b: a | b, [_has(key) for key in keys])
-    numbered = _numbered(rows.filter(claimant), keys, arrival)
+    numbered = _numbered(rows, keys, arrival)
     key_columns = list(dict.fromkeys(c for key in keys for c in key))
     undecided = numbered.select("turn", "claims", *key_columns)
     left = undecided.count()
@@ -139,11 +156,8 @@ def _first_per_keys(rows: DataFrame, keys: list[Key], arrival: list[str]) -> Dat
             undecided.select("turn", "claims", *key_columns), "insert_undecided"
         )
         left = undecided.count()
-    keyless = rows.filter(~claimant)
-    if not accepted:
-        return keyless
     kept = numbered.join(reduce(DataFrame.unionByName, accepted), "turn", "left_semi")
-    return kept.select(*rows.columns).unionByName(keyless)
+    return kept.select(*rows.columns)
 
 
 def check_parents(
@@ -178,19 +192,20 @@ def append_or_ignore(
         for rule in quality.row_rules(table, columns)
         if rule.rule in ("not_null", "check", "domain")
     ]
-    accepted = materialize(
-        insert_or_ignore(
-            spark.table(name),
-            with_defaults(incoming, table, keep=ordering),
-            table.unique_keys,
-            arrival,
-            rules,
-        ).select(*columns),
-        table.name,
-    )
+    stored = spark.table(name)
+    before = stored.count()
+    accepted = insert_or_ignore(
+        stored,
+        with_defaults(incoming, table, keep=ordering),
+        table.unique_keys,
+        arrival,
+        rules,
+    ).select(*columns)
+    if len(table.unique_keys) == 1:
+        accepted = materialize(accepted, table.name)
     check_parents(table, accepted, parents or {})
     accepted.write.insertInto(name)
-    return accepted.count()
+    return spark.table(name).count() - before
 
 
 def key_of(rows: DataFrame, stored: DataFrame, natural_key: Key, surrogate: str) -> DataFrame:
