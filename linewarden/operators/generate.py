@@ -70,8 +70,10 @@ def outage_records(ids: DataFrame, seed: int = 42) -> DataFrame:
 def incident_logs(outages: DataFrame, seed: int = 42) -> DataFrame:
     """One free-text log per outage id."""
     d = Draws(seed, F.col("outage_id"))
-    clock = [F.lpad(d.integer(f"time/{part}", 0, top).cast("string"), 2, "0")
-             for part, top in (("hour", 23), ("minute", 59), ("second", 59))]
+    clock = [
+        F.lpad(d.integer(f"time/{part}", 0, top).cast("string"), 2, "0")
+        for part, top in (("hour", 23), ("minute", 59), ("second", 59))
+    ]
     fields = {
         "name": _full_name(d),
         "time": F.concat_ws(":", *clock),
@@ -112,9 +114,12 @@ def engineers(ids: DataFrame, seed: int = 7, as_of: str = AS_OF) -> DataFrame:
     """One engineer per id, hired half a year to 12 years ago."""
     d = Draws(seed, F.col("id"))
     full_name = _full_name(d)
-    mailbox = F.concat(F.lower(F.replace(full_name, F.lit(" "), F.lit("."))), F.col("id").cast("string"))
-    parts = [d.integer(f"phone/{i}", low, high).cast("string")
-             for i, (low, high) in enumerate(((200, 999), (200, 999), (1000, 9999), (1, 99999)))]
+    person = F.lower(F.replace(full_name, F.lit(" "), F.lit(".")))
+    mailbox = F.concat(person, F.col("id").cast("string"))
+    parts = [
+        d.integer(f"phone/{i}", low, high).cast("string")
+        for i, (low, high) in enumerate(((200, 999), (200, 999), (1000, 9999), (1, 99999)))
+    ]
     phone = F.concat(F.lit("+1 "), F.concat_ws("-", *parts[:3]), F.lit(" ext "), parts[3])
     return ids.select(
         F.col("id").alias("engineer_id"),
@@ -172,9 +177,10 @@ def assignments(ids: DataFrame, engineer_count: int | Column, seed: int = 7) ->
     pairs = ids.select(
         F.col("id").alias("incident_id"), F.posexplode(crew).alias("seat", "engineer_id")
     )
-    pair = F.concat_ws("-", F.col("incident_id").cast("string"), F.col("engineer_id").cast("string"))
+    incident, engineer = F.col("incident_id"), F.col("engineer_id")
+    pair = F.concat_ws("-", incident.cast("string"), engineer.cast("string"))
     return pairs.select(
-        ((F.col("incident_id") - 1) * (1 + MOST_SUPPORT) + F.col("seat") + 1).alias("assignment_id"),
+        ((incident - 1) * (1 + MOST_SUPPORT) + F.col("seat") + 1).alias("assignment_id"),
         "incident_id",
         "engineer_id",
         F.when(F.col("seat") == 0, "LEAD").otherwise("SUPPORT").alias("role"),
@@ -188,14 +194,14 @@ def resolutions(ids: DataFrame, engineer_count: int | Column, seed: int = 7) ->
     sentence = F.concat_ws(
         " ", *[d.choice(f"word/{i}", words.NOTE_WORDS) for i in range(NOTE_LENGTH)]
     )
-    capital = F.concat(F.upper(F.substring(sentence, 1, 1)), F.substr(sentence, F.lit(2)), F.lit("."))
+    first, rest = F.upper(F.substring(sentence, 1, 1)), F.substr(sentence, F.lit(2))
     return ids.select(
         F.col("id").alias("log_id"),
         F.col("id").alias("incident_id"),
         d.integer("action", 1, len(model.RESOLUTION_ACTIONS)).cast("int").alias("action_id"),
         d.integer("performer", 1, _number(engineer_count)).alias("performed_by"),
         d.minute_stamp("performed", FIRST_DAY, SPAN_DAYS).alias("performed_at"),
-        capital.alias("notes"),
+        F.concat(first, rest, F.lit(".")).alias("notes"),
     )
 
 

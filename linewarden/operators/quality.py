@@ -81,9 +81,8 @@ def _summary(
         f"'{table_name}', '{rule}', '{subject}', rule_{i}"
         for i, (rule, subject, _) in enumerate(counted)
     )
-    return counts.select(
-        F.expr(f"stack({len(counted)}, {rows})").alias("table_name", "rule", "subject", "violations")
-    )
+    names = ("table_name", "rule", "subject", "violations")
+    return counts.select(F.expr(f"stack({len(counted)}, {rows})").alias(*names))
 
 
 def check_rows(df: DataFrame, table_name: str, rules: list[RowRule]) -> DataFrame:
@@ -96,7 +95,10 @@ def offending_rows(df: DataFrame, rules: list[RowRule]) -> DataFrame:
     broken = F.array_compact(
         F.array(
             *[
-                F.when(r.failed, F.struct(F.lit(r.rule).alias("rule"), F.lit(r.subject).alias("subject")))
+                F.when(
+                    r.failed,
+                    F.struct(F.lit(r.rule).alias("rule"), F.lit(r.subject).alias("subject")),
+                )
                 for r in rules
             ]
         )
@@ -189,7 +191,9 @@ def validate(table: model.Table, df: DataFrame, parents: dict[str, DataFrame]) -
     present = set(df.columns)
     rules = row_rules(table, df.columns)
     references = {c: parent for c, parent in table.references.items() if c in present}
-    rules += [in_lookup(c, parent) for c, (parent, _) in references.items() if parent in model.LOOKUPS]
+    rules += [
+        in_lookup(c, parent) for c, (parent, _) in references.items() if parent in model.LOOKUPS
+    ]
     parts = [check_rows(df, table.name, rules)]
 
     primary_key = table.primary_key if table.primary_key in present else None

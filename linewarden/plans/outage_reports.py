@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linewarden.functions.numbers import count_if, percent
+from linewarden.functions.numbers import percent
 
 TOP10_COLUMNS = (
     "outage_id",

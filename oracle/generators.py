@@ -55,7 +55,8 @@ class Sql:
         return f"greatest(15, cast(floor(exp(4.5::double + 1.2::double * {normal})) AS bigint))"
 
     def before(self, label: str, nearest: int, farthest: int) -> str:
-        return f"cast(DATE '2025-01-01' - cast({self.between(label, nearest, farthest)} AS int) AS date)"
+        days = self.between(label, nearest, farthest)
+        return f"cast(DATE '2025-01-01' - cast({days} AS int) AS date)"
 
     def person(self) -> str:
         first = self.choice("first", words.FIRST_NAMES)

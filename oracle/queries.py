@@ -357,7 +357,9 @@ dq(
     "dq_decimal",
     ("bad_tower",),
     [
-        failing("bad_tower", "decimal", c, f"{c} IS NOT NULL AND try_cast({c} AS decimal(9,6)) IS NULL")
+        failing(
+            "bad_tower", "decimal", c, f"{c} IS NOT NULL AND try_cast({c} AS decimal(9,6)) IS NULL"
+        )
         for c in ("latitude", "longitude")
     ],
 )
@@ -619,7 +621,8 @@ oracle(
     SELECT incident_id, engineer_id, role, assigned_at, batch, line
     FROM (
         SELECT *, row_number() OVER (PARTITION BY incident_id, engineer_id
-                                     ORDER BY if(batch = 'F', 0, 1), line, role, assigned_at) AS turn
+                                     ORDER BY if(batch = 'F', 0, 1), line, role, assigned_at)
+                      AS turn
         FROM (
             SELECT l_orderkey + 1 AS incident_id,
                    1 + l_partkey % (SELECT count(*) FROM customer) AS engineer_id,

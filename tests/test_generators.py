@@ -28,8 +28,8 @@ def tables(spark):
 
 
 def test_known_draw(spark):
-    value = spark.range(1).select(F.conv(F.substring(F.md5(F.lit("7:12")), 1, 8), 16, 10)).first()[0]
-    assert value == "3526241513"
+    value = F.conv(F.substring(F.md5(F.lit("7:12")), 1, 8), 16, 10)
+    assert spark.range(1).select(value).first()[0] == "3526241513"
     drawn = spark.range(12, 13).select(draw(7, "x", F.col("id"))).first()[0]
     assert 0 <= drawn < 2**32
 
@@ -90,7 +90,8 @@ def test_ranges_and_shares(spark, tables):
     assert str(row.first) >= "2022-01-01" and str(row.last) < "2024-01-02"
 
     incidents = tables["outage_incident"]
-    shares = {r.severity_id: r["count"] / N for r in incidents.groupBy("severity_id").count().collect()}
+    counts = incidents.groupBy("severity_id").count().collect()
+    shares = {r.severity_id: r["count"] / N for r in counts}
     for severity, share in {1: 0.05, 2: 0.20, 3: 0.50, 4: 0.25}.items():
         assert abs(shares[severity] - share) < 0.03
     assert abs(incidents.filter("is_escalated").count() / N - 0.28) < 0.03

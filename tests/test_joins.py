@@ -56,7 +56,8 @@ def test_extract_shuffles_the_outages_once(spark, sf_dir):
 def test_hot_log_key_is_split(spark):
     """A third of all logs belong to one outage: the join splits that partition."""
     outages = spark.range(3000).select(
-        F.concat(F.lit("OUT-"), F.col("id").cast("string")).alias("outage_id"), F.col("id").alias("v")
+        F.concat(F.lit("OUT-"), F.col("id").cast("string")).alias("outage_id"),
+        F.col("id").alias("v"),
     )
     hot = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 3500)
     logs = spark.range(0, 60000, 1, 8).select(

@@ -31,7 +31,8 @@ def test_extract_gaps_and_names(spark):
     extract = QUERIES["build_extract"](spark, SF).cache()
     assert extract.filter("onset_dt is null").count() == 111
     assert extract.filter("log_text is null").count() == 891
-    names = {r.engineer_name: r["count"] for r in extract.groupBy("engineer_name").count().collect()}
+    counts = extract.groupBy("engineer_name").count().collect()
+    names = {r.engineer_name: r["count"] for r in counts}
     extract.unpersist()
     assert names == {
         "Anna Smith": 1278,
@@ -90,9 +91,10 @@ def test_network(spark):
 
 def test_planted_faults(spark):
     incidents = lens.bad_incident(spark, SF)
-    found = {(r.rule, r.subject): r.violations for name in
-             ("dq_primary_key", "dq_foreign_key", "dq_range", "dq_temporal", "dq_not_null")
-             for r in QUERIES[name](spark, SF).filter(F.col("table_name") == "bad_incident").collect()}
+    found = {}
+    for name in ("dq_primary_key", "dq_foreign_key", "dq_range", "dq_temporal", "dq_not_null"):
+        summary = QUERIES[name](spark, SF).filter(F.col("table_name") == "bad_incident")
+        found |= {(r.rule, r.subject): r.violations for r in summary.collect()}
     assert incidents.count() == 15000
     assert found[("primary_key_null", "incident_id")] == 16
     assert found[("primary_key_duplicate", "incident_id")] == 29

@@ -13,7 +13,13 @@ def violations(df):
 
 
 def test_keys_in_one_pass(spark):
-    rows = [(1, "x", 1, 1), (1, "y", 1, 2), (2, None, 1, 2), (None, None, None, 2), (None, "x", None, 2)]
+    rows = [
+        (1, "x", 1, 1),
+        (1, "y", 1, 2),
+        (2, None, 1, 2),
+        (None, None, None, 2),
+        (None, "x", None, 2),
+    ]
     df = spark.createDataFrame(rows, "id int, code string, a int, b int")
     summary = quality.check_keys(df, "t", "id", (("code",), ("a", "b")))
     assert violations(summary) == {
