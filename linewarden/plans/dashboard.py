@@ -67,7 +67,7 @@ def metric_cards(metrics: DataFrame) -> DataFrame:
         ("Customers affected", F.format_number("total_customers", 0)),
         (
             "Avg duration",
-            F.concat(F.round("avg_duration_min").cast("bigint").cast("string"), F.lit(" min")),
+            F.concat(F.bround("avg_duration_min").cast("bigint").cast("string"), F.lit(" min")),
         ),
         ("Most affected province", F.col("worst_province")),
     ]

@@ -66,6 +66,7 @@ class NetworkRun:
     tables: dict[str, DataFrame]
     views: dict[str, DataFrame]
     reports: dict[str, DataFrame]
+    rows_offered: DataFrame
     rows_added: dict[str, int]
 
 
@@ -92,13 +93,14 @@ def seed_network(
     """Create the model's tables, insert what is not there yet and register the views."""
     create_database(spark, database, location, replace)
     create_tables(spark, database)
+    offered = network_rows(spark, sizes)
     added = {}
     stored: dict[str, DataFrame] = {}
-    for name, rows in network_rows(spark, sizes).items():
+    for name, rows in offered.items():
         table = model.TABLES[name]
         target = f"{database}.{name}"
         added[name] = append_or_ignore(spark, table, target, rows, [table.primary_key], stored)
         stored[name] = spark.table(target)
     views = network_views(stored)
     register_views(views)
-    return NetworkRun(stored, views, network_reports(stored), added)
+    return NetworkRun(stored, views, network_reports(stored), row_counts(offered), added)

@@ -67,6 +67,23 @@ def test_shared_folder_is_the_sessions(spark):
     assert session.materialize(frame.limit(0), "empty").count() == 0
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
+
+
 def test_incident_layout_prunes_months(spark, sf_dir, tmp_path):
     incidents = writers.write_incidents(lens.outage_incident(spark, sf_dir), str(tmp_path / "i"))
     month = incidents.filter("reported_year = 1995 and reported_month = 3")
@@ -122,6 +139,8 @@ def test_network_job_is_idempotent(spark, tmp_path):
     assert first.rows_added["tower"] == 20
     assert first.rows_added["extract_link"] == 100
     assert 40 <= first.rows_added["incident_assignment"] <= 120
+    offered = {r.name: r.row_count for r in first.rows_offered.collect()}
+    assert offered == first.rows_added
     second = seed_network(spark, "network_test", location, sizes)
     assert set(second.rows_added.values()) == {0}
     counts = {r.name: r.row_count for r in row_counts(second.tables).collect()}
