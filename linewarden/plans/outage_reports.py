@@ -7,6 +7,17 @@ from pyspark.sql import functions as F
 
 from linewarden.functions.numbers import percent
 
+# The columns of the raw records that the reports need.
+INPUT_COLUMNS = (
+    "outage_id",
+    "province",
+    "outage_type",
+    "onset_dt",
+    "duration_min",
+    "customers_affected",
+    "carrier",
+)
+
 TOP10_COLUMNS = (
     "outage_id",
     "province",

@@ -150,3 +150,23 @@ def test_network_job_is_idempotent(spark, tmp_path):
     assert "root_cause_notes" in spark.table("v_incident_summary").columns
     assert spark.sql("SELECT * FROM v_sla_compliance").count() <= 4
     spark.catalog.setCurrentDatabase("default")
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from linewarden.__main__ import main
+
+    catalog.create_database(spark, "command_test", str(tmp_path / "db"), replace=True)
+    spark.catalog.setCurrentDatabase("default")
+    outages = str(tmp_path / "outages")
+    generate.outage_records(generate.ids(spark, 40)).write.csv(outages, header=True)
+    out = str(tmp_path / "extract")
+    main(["extract", "--outages", outages, "--out", out, "--database", "command_test"])
+    printed = capsys.readouterr().out
+    assert "primary source" in printed and "top10_longest_outages" in printed
+    extract = readers.read_parquet(spark, out)
+    assert extract.count() == 40
+    assert extract.filter("log_text is null").count() == 0
+
+    main(["extract", "--rows", "50", "--out", out, "--database", "command_test"])
+    assert "fallback source" in capsys.readouterr().out
+    assert readers.read_table(spark, "command_test.outage_events").count() == 50
