@@ -175,7 +175,7 @@ def network_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "incidents_by_province": incidents_by_province(incidents, towers),
         "engineer_workload": engineer_workload_top10(engineers, assignments, incidents),
         "sla_compliance": sla_compliance_all(incidents),
-        "day1_extract_join": extract_link_join(tables["extract_link"], incidents, towers),
+        "extract_link_join": extract_link_join(tables["extract_link"], incidents, towers),
     }
 
 

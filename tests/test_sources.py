@@ -145,7 +145,7 @@ def test_network_job_is_idempotent(spark, tmp_path):
     assert set(second.rows_added.values()) == {0}
     counts = {r.name: r.row_count for r in row_counts(second.tables).collect()}
     assert counts == first.rows_added
-    assert second.reports["day1_extract_join"].count() == 10
+    assert second.reports["extract_link_join"].count() == 10
     assert spark.sql("SELECT * FROM v_incident_summary").count() == 40
     assert "root_cause_notes" in spark.table("v_incident_summary").columns
     assert spark.sql("SELECT * FROM v_sla_compliance").count() <= 4
