@@ -3,6 +3,75 @@
 from __future__ import annotations
 
 ORACLES = {
+    "op6_level_doubling": r"""
+        WITH split AS (
+            SELECT doc_id, list_filter(
+                       regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                       lambda w: w <> '') AS words
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, start,
+                   sha256(array_to_string(words[start:start + 19], ' ')) AS words_of
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM split)
+        ), later AS (
+            SELECT doc_id, start
+            FROM (SELECT doc_id, start,
+                         first_value(doc_id) OVER same AS first_id,
+                         first_value(start) OVER same AS first_start
+                  FROM windows
+                  WINDOW same AS (PARTITION BY words_of ORDER BY doc_id, start))
+            WHERE (doc_id, start) <> (first_id, first_start)
+        ), removed AS (
+            SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS word FROM later
+        ), gone AS (
+            SELECT doc_id, list(word) AS gone FROM removed GROUP BY doc_id
+        )
+        SELECT split.doc_id, len(words)::BIGINT AS n_words,
+               coalesce(len(gone), 0)::BIGINT AS n_removed,
+               sha256(coalesce(array_to_string(
+                   CASE WHEN gone IS NULL THEN words
+                        ELSE list_filter(words, lambda w, i: NOT list_contains(gone, i)) END,
+                   ' '), '')) AS kept_sha256
+        FROM split LEFT JOIN gone USING (doc_id)
+    """,
+    "op8_suffix_array_search": r"""
+        WITH doc AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+            FROM documents
+        ), item AS (
+            SELECT item_id::VARCHAR AS item_id, list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+            FROM benchmark
+        ), passage AS (
+            SELECT DISTINCT item_id, least(len(words), 10) AS size,
+                   array_to_string(words[start:start + least(len(words), 10) - 1], ' ') AS key
+            FROM (SELECT item_id, words,
+                         unnest(range(1, len(words) - least(len(words), 10) + 2)) AS start
+                  FROM item WHERE len(words) > 0)
+        ), place AS (
+            SELECT doc_id, start, size, array_to_string(words[start:start + size - 1], ' ') AS key
+            FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS start
+                  FROM doc, (SELECT DISTINCT size FROM passage))
+        ), hit AS (
+            SELECT doc_id, start, size, item_id FROM place JOIN passage USING (size, key)
+        ), words_hit AS (
+            SELECT doc_id, count(*) AS n_hit
+            FROM (SELECT DISTINCT doc_id, unnest(range(start, start + size)) AS word FROM hit)
+            GROUP BY doc_id
+        ), items_hit AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               n_hit IS NOT NULL AS contaminated
+        FROM doc LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
+    """,
     "op9_digest_run_dedup": r"""
         WITH digests AS (
             SELECT doc_id,

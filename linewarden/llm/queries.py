@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linewarden.llm.decontamination import contamination_report, find_contamination
 from linewarden.llm.exact_dedup import exact_duplicates
 from linewarden.llm.sharding import shard_by_bytes
 from linewarden.llm.simhash import near_duplicates
+from linewarden.llm.substring_dedup import remove_repeated_windows
 from linewarden.llm.words import utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +66,18 @@ def op10_bk_tree_simhash(spark, sf_dir):
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+@query
+def op6_level_doubling(spark, sf_dir):
+    return remove_repeated_windows(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
+@query
+def op8_suffix_array_search(spark, sf_dir):
+    found = find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return contamination_report(found).drop("longest_match")
