@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linewarden.llm.binary_output import pack_ids
+from linewarden.llm.cutting_stock import pack_documents
 from linewarden.llm.decontamination import contamination_report, find_contamination
+from linewarden.llm.encoding import public_path
 from linewarden.llm.exact_dedup import exact_duplicates
 from linewarden.llm.sharding import shard_by_bytes
 from linewarden.llm.simhash import near_duplicates
 from linewarden.llm.substring_dedup import remove_repeated_windows
+from linewarden.llm.token_counts import context_limits, length_histogram
 from linewarden.llm.words import utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +85,19 @@ def op8_suffix_array_search(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
     return contamination_report(found).drop("longest_match")
+
+
+@query
+def op1_length_histogram(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return context_limits(length_histogram(documents, public_path()))
+
+
+@query
+def op2_best_fit_matrices(spark, sf_dir):
+    return pack_ids(table(spark, sf_dir, "documents"), public_path())
+
+
+@query
+def op7_cutting_stock(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), public_path())
