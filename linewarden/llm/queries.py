@@ -12,10 +12,12 @@ from linewarden.llm.cutting_stock import pack_documents
 from linewarden.llm.decontamination import contamination_report, find_contamination
 from linewarden.llm.encoding import public_path
 from linewarden.llm.exact_dedup import exact_duplicates
+from linewarden.llm.language_model import train_and_score
 from linewarden.llm.sharding import shard_by_bytes
 from linewarden.llm.simhash import near_duplicates
 from linewarden.llm.substring_dedup import remove_repeated_windows
 from linewarden.llm.token_counts import context_limits, length_histogram
+from linewarden.llm.toxicity import score_documents, train
 from linewarden.llm.words import utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +103,15 @@ def op2_best_fit_matrices(spark, sf_dir):
 @query
 def op7_cutting_stock(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_path())
+
+
+@query
+def op4_counterfactual_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    model = train(documents, table(spark, sf_dir, "labels"))
+    return score_documents(documents, model)
+
+
+@query
+def op3_class_maxent_lm(spark, sf_dir):
+    return train_and_score(table(spark, sf_dir, "documents"))
