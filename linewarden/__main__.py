@@ -14,16 +14,26 @@ from linewarden.operators import generate
 from linewarden.operators.clean import clean_outages
 from linewarden.plans.jobs import NetworkSizes, run_extract, seed_network
 from linewarden.plans.outage_reports import INPUT_COLUMNS
+from linewarden.session import scratch_scope
 from linewarden.sources import readers
 
 
 def extract(spark: SparkSession, options: argparse.Namespace) -> None:
-    """Read the outages, or generate them if they cannot be read; the same for the logs."""
-    raw, source = readers.load_or_else(
-        lambda: readers.read_csv(spark, options.outages or ""),
-        lambda: generate.outage_records(generate.ids(spark, options.rows)),
-        required=INPUT_COLUMNS,
-    )
+    """Read the outages and logs given; generate those that are not.
+
+    Outages that cannot be read are an error unless ``--or-generate`` asks for a fallback.
+    """
+    def generated():
+        return generate.outage_records(generate.ids(spark, options.rows))
+
+    if not options.outages:
+        raw, source = generated(), "generated"
+    elif options.or_generate:
+        raw, source, _ = readers.load_or_else(
+            lambda: readers.read_csv(spark, options.outages), generated, required=INPUT_COLUMNS
+        )
+    else:
+        raw, source = readers.read_csv(spark, options.outages), "primary"
     if options.logs:
         logs = readers.read_parquet(spark, options.logs)
     else:
@@ -53,7 +63,10 @@ def main(arguments: list[str] | None = None) -> None:
 
     command = commands.add_parser("extract", help=extract.__doc__)
     command.add_argument("--outages", help="CSV file or folder with a header row")
-    command.add_argument("--rows", type=int, default=300, help="rows to generate instead")
+    command.add_argument("--rows", type=int, default=300, help="rows to generate otherwise")
+    command.add_argument(
+        "--or-generate", action="store_true", help="generate outages if the file cannot be read"
+    )
     command.add_argument("--logs", help="parquet folder with outage_id and log_text")
     command.add_argument("--out", required=True, help="folder of the parquet extract")
     command.add_argument("--database", help="database of the two tables")
@@ -67,7 +80,9 @@ def main(arguments: list[str] | None = None) -> None:
     command.set_defaults(run=network)
 
     options = parser.parse_args(arguments)
-    options.run(SparkSession.builder.appName("linewarden").getOrCreate(), options)
+    spark = SparkSession.builder.appName("linewarden").getOrCreate()
+    with scratch_scope(spark):
+        options.run(spark, options)
 
 
 if __name__ == "__main__":

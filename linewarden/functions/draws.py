@@ -12,12 +12,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DRAW_RANGE = 2**32
+# Hexadecimal digits of a draw, and of one over a span that may be any table's row count.
+DIGITS, WIDE_DIGITS = 8, 15
 
 
-def draw(seed: int, label: str, row_id: Column) -> Column:
-    """Integer in ``0 .. 2**32 - 1``: the first 32 bits of an md5 over seed, label and id."""
+def draw(seed: int, label: str, row_id: Column, digits: int = DIGITS) -> Column:
+    """Integer of the first ``digits`` hexadecimal digits of an md5 over seed, label and id."""
     key = F.concat(F.lit(f"{seed}:{label}:"), row_id.cast("string"))
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(key), 1, digits), 16, 10).cast("bigint")
 
 
 class Draws:
@@ -31,9 +33,15 @@ class Draws:
         return draw(self.seed, label, self.row_id)
 
     def integer(self, label: str, low: int, high: int | Column) -> Column:
-        """Uniform integer, both ends included; the upper end may be a column."""
-        span = (high if isinstance(high, Column) else F.lit(high)) - F.lit(low) + F.lit(1)
-        return F.lit(low) + self.raw(label) % span
+        """Uniform integer, both ends included.
+
+        The upper end may be a column, such as the row count of a parent table. It is
+        then drawn from 60 bits, so parents beyond the first 2**32 get children too.
+        """
+        if isinstance(high, Column):
+            wide = draw(self.seed, label, self.row_id, WIDE_DIGITS)
+            return F.lit(low) + wide % (high - F.lit(low) + F.lit(1))
+        return F.lit(low) + self.raw(label) % F.lit(high - low + 1)
 
     def choice(self, label: str, values: list[str]) -> Column:
         options = F.array(*[F.lit(v) for v in values])

@@ -24,3 +24,13 @@ def percent(part: Column, whole: Column) -> Column:
 def mean_from_sums(total: Column, count: Column, digits: int) -> Column:
     """Rounded mean of values that were already summed and counted; null for no values."""
     return F.round(F.when(count > 0, total / count), digits)
+
+
+def weighted_sum(value: str) -> Column:
+    """Sum of a column in which each row counts ``weight`` times."""
+    return F.sum(F.col(value) * F.col("weight"))
+
+
+def weighted_mean(value: str) -> Column:
+    """Mean of a column in which each row counts ``weight`` times; nulls do not count."""
+    return weighted_sum(value) / F.sum(F.when(F.col(value).isNotNull(), F.col("weight")))

@@ -31,16 +31,25 @@ WHITESPACE = (
 _UNICODE_CLASSES = "(?U)"
 
 
-def engineer_name(text: Column) -> Column:
-    """Name of the engineer in a log: ``Unknown`` without a match, null for a null text."""
+def engineer_matches(text: Column) -> list[Column]:
+    """What each engineer pattern finds in a log, "" or null without a match.
+
+    Project these first and pass the columns to ``engineer_name``, which looks at each of
+    them more than once; a pattern then runs once per text.
+    """
     found = []
     for pattern, markers in zip(ENGINEER_PATTERNS, _ENGINEER_MARKERS):
         has_marker = F.lit(False)
         for marker in markers:
             has_marker = has_marker | text.contains(marker)
-        name = F.nullif(F.regexp_extract(text, _UNICODE_CLASSES + pattern, 1), F.lit(""))
-        found.append(F.when(has_marker, name))
-    return F.when(text.isNotNull(), F.coalesce(*found, F.lit(UNKNOWN_ENGINEER)))
+        found.append(F.when(has_marker, F.regexp_extract(text, _UNICODE_CLASSES + pattern, 1)))
+    return found
+
+
+def engineer_name(text: Column, matches: list[Column]) -> Column:
+    """Name of the engineer in a log: ``Unknown`` without a match, null for a null text."""
+    names = [F.nullif(match, F.lit("")) for match in matches]
+    return F.when(text.isNotNull(), F.coalesce(*names, F.lit(UNKNOWN_ENGINEER)))
 
 
 def duration_minutes(text: Column) -> Column:

@@ -6,9 +6,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_timestamp(text: Column) -> Column:
-    """Timestamp of an ISO-like text, null when it cannot be read."""
-    return text.try_cast("timestamp_ntz")
+# The date formats read besides ISO ones, in the order they are tried. Where
+# a text fits several, day before month loses to month before day.
+DATE_FORMATS = (
+    "yyyy/M/d[ H:mm[:ss]]",
+    "M/d/yyyy[ H:mm[:ss]]",
+    "d/M/yyyy[ H:mm[:ss]]",
+    "d-M-yyyy[ H:mm[:ss]]",
+    "d.M.yyyy[ H:mm[:ss]]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
+    "d MMM yyyy[ H:mm[:ss]]",
+    "MMM d, yyyy[ H:mm[:ss]]",
+    "yyyyMMdd[HHmmss]",
+)
+_OFFSET = r"\d{2}:\d{2}.*(?:Z|[+-]\d{2}(?::?\d{2})?)$"
+
+
+def parse_timestamp(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+    """Timestamp of a text, null when no format reads it.
+
+    ISO-like texts come first, then ``formats`` in their order; the first that fits wins.
+    A text with an offset is converted to UTC, one without is taken as it stands.
+    """
+    text = F.btrim(text.cast("string"))
+    plain = text.try_cast("timestamp_ntz")
+    utc = F.to_utc_timestamp(text.try_cast("timestamp"), F.current_timezone())
+    others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.when(text.rlike(_OFFSET), utc.cast("timestamp_ntz")).otherwise(
+        F.coalesce(plain, *others)
+    )
 
 
 def weekday_name(ts: Column) -> Column:

@@ -63,6 +63,11 @@ def outage_id(event_id: Column) -> Column:
     return padded_code("OUT-", event_id + 1)
 
 
+def log_id(incident_id: Column, line: Column) -> Column:
+    """A number of its own for each line of an incident, for up to 2**20 lines."""
+    return incident_id * F.lit(2**20) + line
+
+
 def _null_when(condition: Column, otherwise: Column) -> Column:
     return F.when(~condition, otherwise)
 
@@ -92,7 +97,11 @@ def outage_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incident_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One free-text log per event, but for one event in eleven: that outage has no log."""
+    """One free-text log per event.
+
+    One event in eleven speaks of an outage that does not exist, so its own has no log. One
+    in thirteen speaks of the outage of the event before, which so has two logs.
+    """
     event, user = F.col("event_id"), F.col("user_id")
     fields = {
         "name": pick(ENGINEERS, user % 7),
@@ -112,8 +121,13 @@ def incident_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "events")
-        .filter(event % 11 != 3)
-        .select(outage_id(event).alias("outage_id"), log_text.alias("log_text"))
+        .select(
+            F.when(event % 11 == 3, F.concat(F.lit("STRAY-"), event.cast("string")))
+            .when(event % 13 == 5, outage_id(event - 1))
+            .otherwise(outage_id(event))
+            .alias("outage_id"),
+            log_text.alias("log_text"),
+        )
     )
 
 
@@ -168,12 +182,14 @@ def outage_incident(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incident_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assignments from line items; every second engineer, from the second on, has none."""
     engineers = row_count(spark, sf_dir, "customer")
+    drawn = F.col("l_partkey") % engineers
     return (
         table(spark, sf_dir, "lineitem")
         .select(
             (F.col("l_orderkey") + 1).alias("incident_id"),
-            (1 + F.col("l_partkey") % engineers).alias("engineer_id"),
+            (1 + drawn - drawn % 2).alias("engineer_id"),
             "l_linenumber",
         )
         .groupBy("incident_id", "engineer_id")
@@ -198,27 +214,24 @@ def resolution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_linenumber",
         )
         .groupBy("incident_id", "action_id")
-        .agg(
-            F.min("l_linenumber").alias("first_line"),
-            F.min("performed_by").alias("performed_by"),
-            F.min("performed_at").alias("performed_at"),
-        )
+        .agg(F.min(F.struct("l_linenumber", "performed_by", "performed_at")).alias("first"))
         .select(
-            (F.col("first_line") + 10 * F.col("incident_id")).alias("log_id"),
+            log_id(F.col("incident_id"), F.col("first.l_linenumber")).alias("log_id"),
             "incident_id",
             "action_id",
-            "performed_by",
-            "performed_at",
+            "first.performed_by",
+            "first.performed_at",
         )
     )
 
 
 def extract_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every outage linked to an incident, round robin."""
+    """Outages linked to incidents, round robin; one outage in nineteen to none."""
     event = F.col("event_id")
+    incident = 1 + event % row_count(spark, sf_dir, "orders")
     return table(spark, sf_dir, "events").select(
         outage_id(event).alias("outage_id"),
-        (1 + event % row_count(spark, sf_dir, "orders")).alias("incident_id"),
+        _null_when(event % 19 == 4, incident).alias("incident_id"),
     )
 
 
@@ -233,7 +246,7 @@ def bad_incident(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 499 == 3, key - 1)
         .otherwise(key)
         .alias("incident_id"),
-        F.when(key % 211 == 4, 1000000 + tower_key)
+        F.when(key % 211 == 4, -tower_key)
         .when(key % 307 == 2, F.lit(None))
         .otherwise(tower_key)
         .alias("tower_id"),

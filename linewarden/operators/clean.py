@@ -17,6 +17,10 @@ def has_keys() -> Column:
     return F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()
 
 
+def _as_timestamp(value: Column) -> Column:
+    return value.try_cast("timestamp_ntz")
+
+
 def clean_outages(raw: DataFrame) -> DataFrame:
     """Drop records without keys, normalise provinces, cap durations and add calendar fields.
 
@@ -26,9 +30,10 @@ def clean_outages(raw: DataFrame) -> DataFrame:
     if absent:
         raise ValueError(f"outage records lack the key columns {absent}")
 
+    dates = dict(raw.dtypes).get("onset_dt")
     cleaners = {
         "province": text.upper_strip,
-        "onset_dt": times.parse_timestamp,
+        "onset_dt": times.parse_timestamp if dates == "string" else _as_timestamp,
         "duration_min": lambda minutes: numbers.clip_upper(minutes, MAX_DURATION_MIN),
     }
     kept = raw.filter(has_keys()).select(

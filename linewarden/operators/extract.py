@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewarden.operators.joins import left_join
-from linewarden.session import materialize
 
 LOG_FIELDS = ("log_text", "engineer_name", "log_duration_min", "is_escalation")
 
@@ -17,19 +16,33 @@ def build_extract(outages: DataFrame, parsed_logs: DataFrame) -> DataFrame:
     return left_join(outages, logs, "outage_id").select(*outages.columns, *LOG_FIELDS)
 
 
+def weighed_outages(outages: DataFrame, parsed_logs: DataFrame) -> DataFrame:
+    """One row per outage for the reports that need no log text, in place of the extract.
+
+    ``weight`` is how many rows the outage has in the extract, ``escalations`` how many of
+    its logs speak of one (null without a log). The logs are counted per outage before the
+    join, so an outage with most of the logs is one row of it.
+    """
+    counted = parsed_logs.groupBy("outage_id").agg(
+        F.count("*").alias("weight"), F.sum(F.col("is_escalation").cast("int")).alias("escalations")
+    )
+    joined = outages.join(counted, "outage_id", "left")
+    return joined.withColumn("weight", F.coalesce("weight", F.lit(1)))
+
+
 def longest_outages(outages: DataFrame, parsed_logs: DataFrame, k: int = 10) -> DataFrame:
     """The first ``k`` extract rows by duration, without building the extract.
 
     The order rests on outage columns only, so the ``k`` longest outages are found
-    first and written down once. They are ``k`` rows, hence the broadcasts: no log
-    is shuffled but those of the outages asked for.
+    first, and only their logs take part in the join.
     """
     order = [F.desc_nulls_last("duration_min"), F.asc("outage_id")]
-    longest = F.broadcast(materialize(outages.orderBy(*order).limit(k), "longest_outages"))
-    logs = parsed_logs.select("outage_id", *LOG_FIELDS).join(longest, "outage_id", "left_semi")
+    longest = outages.orderBy(*order).limit(k)
+    logs = parsed_logs.select("outage_id", *LOG_FIELDS)
+    logs = logs.join(longest.select("outage_id"), "outage_id", "left_semi")
     return (
-        left_join(longest, logs, "outage_id")
+        longest.join(logs, "outage_id", "left")
         .select(*outages.columns, *LOG_FIELDS)
-        .orderBy(*order, *LOG_FIELDS)
+        .orderBy(*order, "engineer_name", *LOG_FIELDS)
         .limit(k)
     )

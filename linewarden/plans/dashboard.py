@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linewarden.functions.numbers import weighted_mean, weighted_sum
 from linewarden.functions.times import period_label
+from linewarden.plans.outage_reports import weighed
 
 
 def panel_province(by_province: DataFrame) -> DataFrame:
@@ -44,11 +46,12 @@ def key_metrics(extract: DataFrame) -> DataFrame:
 
     Both groupings are taken in one pass over the extract.
     """
-    groups = extract.groupingSets([["province"], ["outage_type"]], "province", "outage_type").agg(
+    sets = [["province"], ["outage_type"]]
+    groups = weighed(extract).groupingSets(sets, "province", "outage_type").agg(
         (F.grouping("province") == 0).alias("per_province"),
-        F.count("*").alias("outages"),
-        F.sum("customers_affected").alias("customers"),
-        F.round(F.avg("duration_min"), 1).alias("mean_minutes"),
+        F.sum("weight").alias("outages"),
+        weighted_sum("customers_affected").alias("customers"),
+        F.round(weighted_mean("duration_min"), 1).alias("mean_minutes"),
     )
     per_province = F.col("per_province")
     rank = F.when(per_province, F.struct(-F.col("outages"), F.col("province")))

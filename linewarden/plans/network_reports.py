@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linewarden import model
 from linewarden.functions.numbers import count_if, mean_from_sums, percent
 from linewarden.operators.joins import join_lookup
 
@@ -158,8 +159,21 @@ def linked_incidents(links: DataFrame, incidents: DataFrame, towers: DataFrame)
 
 
 def extract_link_join(links: DataFrame, incidents: DataFrame, towers: DataFrame) -> DataFrame:
-    """The first ten linked incidents by outage id."""
-    return linked_incidents(links, incidents, towers).orderBy("outage_id").limit(10)
+    """The first ten linked incidents by outage id.
+
+    The ten are found on keys alone; only they are joined to the wide rows.
+    """
+    types = model.lookup(links.sparkSession, "outage_type").select("outage_type_id")
+    first = (
+        links.select("outage_id", "incident_id")
+        .join(incidents.select("incident_id", "tower_id", "outage_type_id"), "incident_id")
+        .join(towers.select("tower_id"), "tower_id", "left_semi")
+        .join(F.broadcast(types), "outage_type_id", "left_semi")
+        .select("outage_id", "incident_id")
+        .orderBy("outage_id")
+        .limit(10)
+    )
+    return linked_incidents(first, incidents, towers).orderBy("outage_id")
 
 
 def escalated_incidents(incidents: DataFrame) -> DataFrame:

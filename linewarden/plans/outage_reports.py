@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linewarden.functions.numbers import percent
+from linewarden.functions.numbers import percent, weighted_mean, weighted_sum
 
 # The columns of the raw records that the reports need.
 INPUT_COLUMNS = (
@@ -29,14 +29,27 @@ TOP10_COLUMNS = (
 )
 
 
+def weighed(extract: DataFrame) -> DataFrame:
+    """The extract with a weight of one per row, as the reports below take it.
+
+    They take ``operators.extract.weighed_outages`` as well, which has one row per outage.
+    """
+    if "weight" in extract.columns:
+        return extract
+    return extract.withColumns(
+        {"weight": F.lit(1), "escalations": F.col("is_escalation").cast("int")}
+    )
+
+
 def outages_by_province(extract: DataFrame) -> DataFrame:
     """Outages, mean duration and customers hit per province, most outages first."""
     return (
-        extract.groupBy("province")
+        weighed(extract)
+        .groupBy("province")
         .agg(
-            F.count("*").alias("total_outages"),
-            F.round(F.avg("duration_min"), 1).alias("avg_duration_min"),
-            F.sum("customers_affected").alias("total_customers_hit"),
+            F.sum("weight").alias("total_outages"),
+            F.round(weighted_mean("duration_min"), 1).alias("avg_duration_min"),
+            weighted_sum("customers_affected").alias("total_customers_hit"),
         )
         .orderBy(F.desc("total_outages"), F.asc("province"))
     )
@@ -45,11 +58,12 @@ def outages_by_province(extract: DataFrame) -> DataFrame:
 def worst_outage_types(extract: DataFrame) -> DataFrame:
     """Outages, mean duration and mean customers per cause, longest mean first."""
     return (
-        extract.groupBy("outage_type")
+        weighed(extract)
+        .groupBy("outage_type")
         .agg(
-            F.count("*").alias("incidents"),
-            F.round(F.avg("duration_min"), 1).alias("avg_duration_min"),
-            F.round(F.avg("customers_affected"), 0).alias("avg_customers"),
+            F.sum("weight").alias("incidents"),
+            F.round(weighted_mean("duration_min"), 1).alias("avg_duration_min"),
+            F.round(weighted_mean("customers_affected"), 0).alias("avg_customers"),
         )
         .orderBy(F.desc_nulls_last("avg_duration_min"), F.asc("outage_type"))
     )
@@ -61,11 +75,9 @@ def escalation_rate_by_carrier(extract: DataFrame) -> DataFrame:
     Outages without a log count in the total.
     """
     return (
-        extract.groupBy("carrier")
-        .agg(
-            F.count("*").alias("total"),
-            F.sum(F.col("is_escalation").cast("int")).alias("escalations"),
-        )
+        weighed(extract)
+        .groupBy("carrier")
+        .agg(F.sum("weight").alias("total"), F.sum("escalations").alias("escalations"))
         .select(
             "carrier",
             "total",
@@ -79,10 +91,11 @@ def escalation_rate_by_carrier(extract: DataFrame) -> DataFrame:
 def monthly_trend(extract: DataFrame) -> DataFrame:
     """Outages and customers per month; records without a date form one null group."""
     return (
-        extract.groupBy("year", "month")
+        weighed(extract)
+        .groupBy("year", "month")
         .agg(
-            F.count("*").alias("outages"),
-            F.sum("customers_affected").alias("customers_affected"),
+            F.sum("weight").alias("outages"),
+            weighted_sum("customers_affected").alias("customers_affected"),
         )
         .orderBy(F.asc_nulls_last("year"), F.asc_nulls_last("month"))
     )

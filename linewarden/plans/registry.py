@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linewarden import lens, model
-from linewarden.functions.times import minutes_between
+from linewarden.functions.times import minutes_between, timestamp_text
 from linewarden.operators import generate, metrics, quality
 from linewarden.operators.clean import clean_outages
-from linewarden.operators.extract import build_extract, longest_outages
+from linewarden.operators.extract import build_extract, longest_outages, weighed_outages
 from linewarden.operators.logs import parse_logs
 from linewarden.plans import dashboard, network_reports, outage_reports
 from linewarden.session import materialize, scratch_path
@@ -38,6 +38,11 @@ def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_extract(outages(spark, sf_dir), logs(spark, sf_dir))
 
 
+def weighed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the reports without log texts read."""
+    return weighed_outages(outages(spark, sf_dir), logs(spark, sf_dir))
+
+
 QUERIES["parse_logs"] = logs
 QUERIES["clean_outages"] = outages
 QUERIES["build_extract"] = extract
@@ -45,22 +50,22 @@ QUERIES["build_extract"] = extract
 
 @query
 def outages_by_province(spark, sf_dir):
-    return outage_reports.outages_by_province(extract(spark, sf_dir))
+    return outage_reports.outages_by_province(weighed(spark, sf_dir))
 
 
 @query
 def worst_outage_types(spark, sf_dir):
-    return outage_reports.worst_outage_types(extract(spark, sf_dir))
+    return outage_reports.worst_outage_types(weighed(spark, sf_dir))
 
 
 @query
 def escalation_rate_by_carrier(spark, sf_dir):
-    return outage_reports.escalation_rate_by_carrier(extract(spark, sf_dir))
+    return outage_reports.escalation_rate_by_carrier(weighed(spark, sf_dir))
 
 
 @query
 def monthly_trend(spark, sf_dir):
-    return outage_reports.monthly_trend(extract(spark, sf_dir))
+    return outage_reports.monthly_trend(weighed(spark, sf_dir))
 
 
 @query
@@ -170,7 +175,7 @@ def panel_trend(spark, sf_dir):
 
 @query
 def key_metrics(spark, sf_dir):
-    return dashboard.key_metrics(extract(spark, sf_dir))
+    return dashboard.key_metrics(weighed(spark, sf_dir))
 
 
 @query
@@ -356,11 +361,13 @@ def dq_derived(spark, sf_dir):
 def dq_model(spark, sf_dir):
     """Every declared rule over every table of the model.
 
-    Each table is read once per rule group, so the derived ones are written down first.
+    Tables are checked where they lie. Only the two that are grouped out of the line items
+    are written down first: several rules read them, and to group costs more than to write.
     """
     tables = model_tables(spark, sf_dir)
-    stored = {n: df if n in model.LOOKUPS else materialize(df, n) for n, df in tables.items()}
-    return quality.validate_model(stored)
+    for name in ("incident_assignment", "resolution_log"):
+        tables[name] = materialize(tables[name], name)
+    return quality.validate_model(tables)
 
 
 @query
@@ -423,19 +430,17 @@ def csv_source(spark, sf_dir):
 def source_fallback(spark, sf_dir):
     """A primary source that does not exist, and the fallback used in its place."""
     missing = scratch_path(spark, "missing_csv")
-    df, source = readers.load_or_else(
+    loaded = readers.load_or_else(
         lambda: readers.read_csv(spark, missing), lambda: lens.outage_raw(spark, sf_dir)
     )
-    return df.withColumn("source", F.lit(source))
+    return loaded.df.withColumn("source", F.lit(loaded.source))
 
 
 @query
 def table_round_trip(spark, sf_dir):
     """The extract written as parquet and as a table, read back from the table."""
     database, folder = _database(spark)
-    current = spark.catalog.currentDatabase()
     catalog.create_database(spark, database, folder)
-    spark.catalog.setCurrentDatabase(current)
     tables = writers.persist_extract(
         extract(spark, sf_dir), lens.incident_logs(spark, sf_dir), f"{folder}/extract", database
     )
@@ -452,16 +457,146 @@ def incident_layout(spark, sf_dir):
 
 @query
 def named_views(spark, sf_dir):
-    """Row counts of the model's views, through SQL."""
+    """The rows of the model's views as text, through SQL."""
     views = network_reports.network_views(model_tables(spark, sf_dir))
     catalog.register_views(views)
+    shown = {
+        "v_incident_summary": (
+            "incident_ref", "tower_code", "city", "province_code", "carrier_name",
+            "outage_type", "severity", "duration_min", "customers_affected",
+        ),
+        "v_engineer_workload": (
+            "employee_no", "total_incidents", "led_incidents", "total_customers_handled",
+        ),
+        "v_sla_compliance": ("severity", "sla_resolve_min", "total_incidents", "within_sla"),
+        "v_escalated_incidents": ("incident_id", "tower_id", "severity_id"),
+    }
     return spark.sql(
         " UNION ALL ".join(
-            f"SELECT '{name}' AS view_name, count(*) AS row_count FROM {name}" for name in views
+            f"SELECT '{name}' AS view_name, concat_ws('|', {', '.join(shown[name])}) AS content "
+            f"FROM {name}"
+            for name in views
         )
     )
 
 
+@query
+def lookup_rows(spark, sf_dir):
+    """Every lookup row as text, counted against the incidents that use it where any can."""
+    rows = [
+        model.lookup(spark, name).select(
+            F.lit(name).alias("lookup"),
+            F.concat_ws("|", *[F.coalesce(F.col(c.name).cast("string"), F.lit("-"))
+                               for c in model.TABLES[name].columns
+                               if c.name in model.lookup(spark, name).columns]).alias("content"),
+            F.col(model.TABLES[name].primary_key).cast("string").alias("key"),
+        )
+        for name in model.LOOKUPS
+    ]
+    used = lens.outage_incident(spark, sf_dir).select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("outage_type").alias("lookup"),
+                         F.col("outage_type_id").cast("string").alias("key")),
+                F.struct(F.lit("severity_level").alias("lookup"),
+                         F.col("severity_id").cast("string").alias("key")),
+            )
+        ).alias("u")
+    )
+    counts = used.groupBy("u.lookup", "u.key").agg(F.count("*").alias("n"))
+    return (
+        quality.union_all(rows)
+        .join(counts, ["lookup", "key"], "left")
+        .select("lookup", "content", F.coalesce("n", F.lit(0)).alias("incidents"))
+    )
+
+
+@query
+def optional_columns(spark, sf_dir):
+    """Cleaning of records that bring neither a date nor a duration."""
+    return clean_outages(lens.outage_raw(spark, sf_dir).drop("onset_dt", "duration_min"))
+
+
+@query
+def report_order(spark, sf_dir):
+    """The place of every row in the reports and panels, as they come out sorted."""
+    by_province = outages_by_province(spark, sf_dir)
+    by_type = worst_outage_types(spark, sf_dir)
+    by_carrier = escalation_rate_by_carrier(spark, sf_dir)
+    by_month = monthly_trend(spark, sf_dir)
+    month = F.concat_ws("-", "year", "month")
+    ordered = {
+        "outages_by_province": by_province.select(F.col("province").alias("row")),
+        "worst_outage_types": by_type.select(F.col("outage_type").alias("row")),
+        "escalation_rate_by_carrier": by_carrier.select(F.col("carrier").alias("row")),
+        "monthly_trend": by_month.select(month.alias("row")),
+        "panel_province": dashboard.panel_province(by_province).select(
+            F.col("province").alias("row")
+        ),
+        "panel_type_duration": dashboard.panel_type_duration(by_type).select(
+            F.col("outage_type").alias("row")
+        ),
+        "panel_escalation": dashboard.panel_escalation(by_carrier).select(
+            F.col("carrier").alias("row")
+        ),
+        "panel_trend": dashboard.panel_trend(by_month).select(
+            F.coalesce("period", F.lit("")).alias("row")
+        ),
+    }
+    # Ids grow along a sorted result; they are compared within one report only.
+    return quality.union_all(
+        [
+            df.withColumn("id", F.monotonically_increasing_id()).select(
+                F.lit(name).alias("report"),
+                "row",
+                F.row_number().over(Window.orderBy("id")).cast("bigint").alias("place"),
+            )
+            for name, df in ordered.items()
+        ]
+    )
+
+
+@query
+def append_into_table(spark, sf_dir):
+    """Engineers with repeated numbers and e-mails appended to a catalog table, twice."""
+    database, folder = _database(spark)
+    catalog.create_database(spark, database, folder)
+    catalog.create_tables(spark, database)
+    rows = lens.bad_engineer(spark, sf_dir).drop("phone", "province_code")
+    for _ in range(2):
+        inserts.append_or_ignore(
+            spark, model.ENGINEER, f"{database}.engineer", rows, ["engineer_id"]
+        )
+    return spark.table(f"{database}.engineer").select(
+        "engineer_id", "employee_no", "full_name", "email", "is_oncall"
+    )
+
+
+@query
+def csv_dirty_source(spark, sf_dir):
+    """CSV as other tools write it: decimal texts for whole numbers, dates of several formats,
+    quotes and commas in fields, markers for missing values; read back typed."""
+    event, minutes = F.col("event_id"), 15 + F.col("event_id") % 400
+    stamp = F.col("ts")
+    written = lens.table(spark, sf_dir, "events").select(
+        lens.outage_id(event).alias("outage_id"),
+        F.when(event % 7 == 2, F.lit("N/A")).otherwise(F.lit("ON")).alias("province"),
+        F.concat(F.lit('said "no", event '), event.cast("string")).alias("remark"),
+        F.when(event % 4 == 0, F.concat(minutes.cast("string"), F.lit(".0")))
+        .when(event % 4 == 1, F.concat(minutes.cast("string"), F.lit(".5")))
+        .when(event % 4 == 2, F.lit("nan"))
+        .otherwise(minutes.cast("string"))
+        .alias("duration_min"),
+        F.when(event % 3 == 0, F.date_format(stamp, "yyyy/M/d H:mm"))
+        .when(event % 3 == 1, F.concat(timestamp_text(stamp), F.lit("+05:00")))
+        .otherwise(F.lit("soon"))
+        .alias("onset_dt"),
+    )
+    path = scratch_path(spark, "dirty_csv")
+    written.write.csv(path, header=True, escape='"')
+    return readers.read_csv(spark, path)
+
+
 def _assignment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One assignment per line item, with the columns that order the lines."""
     engineers = lens.row_count(spark, sf_dir, "customer")
@@ -493,7 +628,7 @@ def insert_ignore_two_keys(spark, sf_dir):
     """Resolutions from all line items under a primary key and a unique pair at once."""
     engineers = lens.row_count(spark, sf_dir, "customer")
     rows = lens.table(spark, sf_dir, "lineitem").select(
-        (F.col("l_linenumber") + 10 * (F.col("l_orderkey") + 1)).alias("log_id"),
+        lens.log_id(F.col("l_orderkey") + 1, F.col("l_linenumber")).alias("log_id"),
         (F.col("l_orderkey") + 1).alias("incident_id"),
         (1 + F.col("l_partkey") % 8).cast("int").alias("action_id"),
         (1 + F.col("l_suppkey") % engineers).alias("performed_by"),
@@ -509,9 +644,21 @@ def insert_ignore_two_keys(spark, sf_dir):
 
 @query
 def key_lookup(spark, sf_dir):
-    """Tower ids found again by tower code for every incident of the summary."""
-    summary = incident_summary(spark, sf_dir).select("incident_ref", "tower_code")
-    return inserts.key_of(summary, lens.tower(spark, sf_dir), ("tower_code",), "tower_id")
+    """Tower ids found again by tower code for every incident; some codes do not exist."""
+    towers = lens.tower(spark, sf_dir)
+    wrong = F.concat(F.lit("NO-"), F.col("tower_code"))
+    asked = (
+        lens.outage_incident(spark, sf_dir)
+        .select("incident_id", "incident_ref", "tower_id")
+        .join(towers.select("tower_id", "tower_code"), "tower_id")
+        .select(
+            "incident_ref",
+            F.when(F.col("incident_id") % 23 == 7, wrong)
+            .otherwise(F.col("tower_code"))
+            .alias("tower_code"),
+        )
+    )
+    return inserts.key_of(asked, towers, ("tower_code",), "tower_id")
 
 
 @query

@@ -11,18 +11,35 @@ from linewarden import model
 def create_database(
     spark: SparkSession, name: str, location: str | None = None, replace: bool = False
 ) -> None:
-    """Create a database and make it current; ``replace`` drops the old one with its tables."""
+    """Create a database; ``replace`` drops the old one with its tables.
+
+    The current database stays what it was.
+    """
     if replace:
-        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
-    at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{at}")
-    spark.catalog.setCurrentDatabase(name)
+        drop_database(spark, name)
+    at = f" LOCATION {_text(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(name)}{at}")
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP DATABASE IF EXISTS {_name(name)} CASCADE")
+
+
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def create_tables(spark: SparkSession, database: str) -> None:
     """Create every missing table of the model, with its lengths and defaults."""
     for table in model.TABLES.values():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table.name} ({table.ddl}) USING parquet")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {_name(database)}.{_name(table.name)} ({table.ddl}) "
+            "USING parquet"
+        )
 
 
 def with_defaults(df: DataFrame, table: model.Table, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from linewarden import model
 from linewarden.operators import quality
-from linewarden.session import materialize
+from linewarden.session import materialize, scratch_scope
 from linewarden.sources.catalog import with_defaults
 
 Key = tuple[str, ...]
@@ -131,31 +131,35 @@ def _leading(undecided: DataFrame, keys: list[Key]) -> DataFrame:
 def _first_per_keys(rows: DataFrame, keys: list[Key], arrival: list[str]) -> DataFrame:
     """The rows a one-by-one insert under several unique keys would keep.
 
-    Each round accepts every undecided row that comes first under all its keys, then
-    drops the rows that clash with an accepted one. A row that lost only to a row that
-    was itself rejected gets its chance in the next round. The first undecided row is
-    always accepted, so the rounds end; rows without clashes are settled in the first.
-    The rounds carry keys and turns only, not the rows.
+    Each round accepts every undecided row that comes first under all its keys, and rejects
+    the rows that clash with an accepted one. A row that lost only to a row that was itself
+    rejected gets its chance in the next round. The first undecided row is always accepted,
+    so the rounds end; rows without clashes are settled in the first. The rounds carry keys
+    and turns only, not the rows, and each writes its verdicts once. Their number follows
+    the longest chain in which every row clashes with the one before it: half as many rounds
+    as the chain has rows. Such a batch is better inserted under one key at a time.
     """
     numbered = _numbered(rows, keys, arrival)
     key_columns = list(dict.fromkeys(c for key in keys for c in key))
     undecided = numbered.select("turn", "claims", *key_columns)
-    left = undecided.count()
     accepted = []
-    while left:
-        winners = materialize(
-            undecided.join(_leading(undecided, keys), "turn", "left_semi"), "insert_winners"
+    while True:
+        won = _leading(undecided, keys).select("turn", F.lit(True).alias("won"))
+        judged = undecided.join(won, "turn", "left")
+        winners = undecided.join(won, "turn", "left_semi")
+        lost = F.lit(False)
+        for number, key in enumerate(keys):
+            taken = _complete(winners, key).select(*key, F.lit(True).alias(f"lost_{number}"))
+            judged = judged.join(taken, list(key), "left")
+            lost = lost | F.coalesce(F.col(f"lost_{number}"), F.lit(False))
+        state = F.when(F.col("won"), "won").when(lost, "lost").otherwise("open")
+        judged = materialize(
+            judged.select("turn", "claims", *key_columns, state.alias("state")), "insert_round"
         )
-        accepted.append(winners.select("turn"))
-        if winners.count() == left:
+        accepted.append(judged.filter(F.col("state") == "won").select("turn"))
+        undecided = judged.filter(F.col("state") == "open").drop("state")
+        if undecided.isEmpty():
             break
-        for key in keys:
-            taken = _complete(winners, key).select(*key)
-            undecided = undecided.join(taken, list(key), "left_anti")
-        undecided = materialize(
-            undecided.select("turn", "claims", *key_columns), "insert_undecided"
-        )
-        left = undecided.count()
     kept = numbered.join(reduce(DataFrame.unionByName, accepted), "turn", "left_semi")
     return kept.select(*rows.columns)
 
@@ -192,22 +196,33 @@ def append_or_ignore(
         for rule in quality.row_rules(table, columns)
         if rule.rule in ("not_null", "check", "domain")
     ]
-    stored = spark.table(name)
-    before = stored.count()
-    accepted = insert_or_ignore(
-        stored,
-        with_defaults(incoming, table, keep=ordering),
-        table.unique_keys,
-        arrival,
-        rules,
-    ).select(*columns)
-    if len(table.unique_keys) == 1:
+    with scratch_scope(spark):
+        accepted = insert_or_ignore(
+            spark.table(name),
+            with_defaults(incoming, table, keep=ordering),
+            table.unique_keys,
+            arrival,
+            rules,
+        ).select(*columns)
+        # Written before it is counted and appended, so it does not see its own rows.
         accepted = materialize(accepted, table.name)
-    check_parents(table, accepted, parents or {})
-    accepted.write.insertInto(name)
-    return spark.table(name).count() - before
+        check_parents(table, accepted, parents or {})
+        added = accepted.count()
+        accepted.write.insertInto(name)
+    return added
 
 
 def key_of(rows: DataFrame, stored: DataFrame, natural_key: Key, surrogate: str) -> DataFrame:
-    """Rows with the surrogate key their natural key has in the stored table."""
-    return rows.join(stored.select(*natural_key, surrogate), list(natural_key), "inner")
+    """Rows with the surrogate key their natural key has in the stored table.
+
+    No row is lost: one whose natural key is not stored has a null surrogate key.
+    """
+    return rows.join(stored.select(*natural_key, surrogate), list(natural_key), "left")
+
+
+def require_keys(rows: DataFrame, natural_key: Key, surrogate: str) -> DataFrame:
+    """The rows of ``key_of``, after raising if one of them found no surrogate key."""
+    missing = rows.filter(F.col(surrogate).isNull()).select(*natural_key).first()
+    if missing:
+        raise MissingParent(f"no {surrogate} for {missing.asDict()}")
+    return rows

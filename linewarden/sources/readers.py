@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linewarden import model
+from linewarden.functions.times import parse_timestamp
 from linewarden.operators.clean import KEYS
 
+log = logging.getLogger(__name__)
+
 # The texts a CSV field may hold in place of a missing value.
 MISSING_MARKERS = (
     "",
@@ -46,23 +51,43 @@ def read_csv(
     """CSV with a header row, typed by column name; a leading byte order mark is skipped.
 
     Columns may come in any order and the schema's optional ones may be absent.
-    Columns outside the schema stay text. A value that does not fit its type is null.
+    Columns outside the schema stay text. A whole number may be written as a decimal
+    (``90.0``); a fraction is rounded to the nearest whole number, halves away from zero.
+    Dates are read as ``parse_timestamp`` does. A value that does not fit its type is null.
+
     ``multiline`` allows line breaks inside quoted fields; such a file cannot be split.
+    Without it a record that such a break cuts in two is an error, as is any record with
+    too few or too many fields: no value ever lands in another column.
     """
     types = {f.name: f.dataType for f in schema.fields}
     # enforceSchema=False: a further file with other columns is an error, not shifted data.
     text = spark.read.csv(
-        path, header=True, escape='"', multiLine=multiline, enforceSchema=False
+        path,
+        header=True,
+        escape='"',
+        multiLine=multiline,
+        enforceSchema=False,
+        mode="FAILFAST",
     )
     columns = []
     for name in text.columns:
         value = F.col(f"`{name}`")
         value = F.when(~value.isin(*MISSING_MARKERS), value)
-        wanted = types.get(name, T.StringType())
-        columns.append((value if wanted == T.StringType() else value.try_cast(wanted)).alias(name))
+        columns.append(_typed(value, types.get(name, T.StringType())).alias(name))
     return text.select(*columns)
 
 
+def _typed(value: Column, wanted: T.DataType) -> Column:
+    if wanted == T.StringType():
+        return value
+    if wanted == T.TimestampNTZType():
+        return parse_timestamp(value)
+    if isinstance(wanted, T.IntegralType):
+        rounded = F.round(value.try_cast("decimal(38,9)"), 0).try_cast(wanted)
+        return F.coalesce(value.try_cast(wanted), rounded)
+    return value.try_cast(wanted)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -71,23 +96,43 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+class Loaded(NamedTuple):
+    """Data, which source it came from, and why not from the primary one."""
+
+    df: DataFrame
+    source: str
+    cause: str | None = None
+
+
+# What Spark says of a file that is no file of its format; other failures while reading,
+# such as a lost executor or a store that is busy, say nothing about the source.
+_WRONG_FORMAT = ("is not a Parquet file", "Could not read footer", "UNABLE_TO_INFER_SCHEMA")
+
+
 def load_or_else(
     primary: Callable[[], DataFrame],
     fallback: Callable[[], DataFrame],
     required: tuple[str, ...] = KEYS,
-) -> tuple[DataFrame, str]:
-    """The primary source, or the fallback if the primary cannot be read.
+) -> Loaded:
+    """The primary source, or the fallback if there is no such source.
 
-    Returns the data and which source it came from. Reads are lazy, so the primary's
-    first row is read here: a missing path, an unreadable file or a missing column
-    shows now and not in the middle of a later job.
+    Only a missing path, a missing column or a file of another format leads to the
+    fallback; the cause is returned and logged. Any other error is raised: a job must not
+    go on with invented rows because an executor was lost. Reads are lazy, so the
+    primary's first row is read here.
     """
     try:
         df = primary()
         absent = [name for name in required if name not in df.columns]
         if not absent:
             df.take(1)
-            return df, "primary"
-    except (PySparkException, Py4JJavaError):
-        pass
-    return fallback(), "fallback"
+            return Loaded(df, "primary")
+        cause = f"columns {absent} are missing"
+    except AnalysisException as error:
+        cause = str(error)
+    except (PySparkException, Py4JJavaError) as error:
+        if not any(mark in str(error) for mark in _WRONG_FORMAT):
+            raise
+        cause = str(error)
+    log.warning("the fallback is used: %s", cause.splitlines()[0])
+    return Loaded(fallback(), "fallback", cause)

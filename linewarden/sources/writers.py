@@ -27,14 +27,14 @@ def persist_extract(
     """Write the extract as parquet and as table ``outage_events``, the raw logs as
     ``incident_logs``.
 
-    The extract is computed once: the table is written from the parquet files. Each
-    write is atomic for its own folder or table; there is no transaction across them.
+    The extract is computed and written once: the table's files are the parquet folder.
+    Each write is atomic for its own folder or table; there is no transaction across them.
     """
     prefix = f"{database}." if database else ""
-    written = write_parquet(extract, path)
+    table = replace_table(extract, f"{prefix}outage_events", path)
     return {
-        "extract": written,
-        "outage_events": replace_table(written, f"{prefix}outage_events"),
+        "extract": extract.sparkSession.read.parquet(path),
+        "outage_events": table,
         "incident_logs": replace_table(logs, f"{prefix}incident_logs"),
     }
 

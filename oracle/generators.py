@@ -23,12 +23,13 @@ class Sql:
     def __init__(self, seed: int, key: str):
         self.seed, self.key = seed, key
 
-    def raw(self, label: str) -> str:
+    def raw(self, label: str, digits: int = 8) -> str:
         text = f"md5('{self.seed}:{label}:' || cast({self.key} AS varchar))"
-        return f"cast('0x' || substr({text}, 1, 8) AS bigint)"
+        return f"cast('0x' || substr({text}, 1, {digits}) AS bigint)"
 
     def between(self, label: str, low: int, high: int | str) -> str:
-        return f"({low} + {self.raw(label)} % ({high} - {low} + 1))"
+        digits = 15 if isinstance(high, str) else 8
+        return f"({low} + {self.raw(label, digits)} % ({high} - {low} + 1))"
 
     def choice(self, label: str, values: list[str]) -> str:
         return one_of(values, f"({self.raw(label)} % {len(values)})")

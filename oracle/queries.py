@@ -64,7 +64,8 @@ oracle(
     """
     SELECT outage_id, province, carrier, outage_type, duration_min, customers_affected,
            engineer_name
-    FROM extract_ ORDER BY duration_min DESC NULLS LAST, outage_id LIMIT 10
+    FROM extract_ ORDER BY duration_min DESC NULLS LAST, outage_id, engineer_name NULLS FIRST
+    LIMIT 10
     """,
 )
 
@@ -605,13 +606,154 @@ oracle(
 )
 oracle(
     "named_views",
-    (*WORKLOAD_TABLES, "severity_"),
+    (*WORKLOAD_TABLES, "severity_", "tower", "carrier_", "outage_type_"),
     """
-    SELECT 'v_incident_summary' AS view_name, count(*) AS row_count FROM outage_incident
-    UNION ALL SELECT 'v_engineer_workload', count(DISTINCT engineer_id) FROM incident_assignment
-    UNION ALL SELECT 'v_sla_compliance', count(DISTINCT severity_id) FROM outage_incident
-              WHERE resolved_at IS NOT NULL
-    UNION ALL SELECT 'v_escalated_incidents', count(*) FROM outage_incident WHERE is_escalated
+    SELECT 'v_incident_summary' AS view_name,
+           concat_ws('|', i.incident_ref, t.tower_code, t.city, t.province_code, c.carrier_name,
+                     o.type_code, s.label, i.duration_min, i.customers_affected) AS content
+    FROM outage_incident i JOIN tower t USING (tower_id) JOIN carrier_ c USING (carrier_id)
+    JOIN outage_type_ o USING (outage_type_id) JOIN severity_ s USING (severity_id)
+    UNION ALL
+    SELECT 'v_engineer_workload',
+           concat_ws('|', e.employee_no, count(*), count(*) FILTER (a.role = 'LEAD'),
+                     cast(sum(i.customers_affected) AS bigint))
+    FROM engineer e JOIN incident_assignment a USING (engineer_id)
+    JOIN outage_incident i USING (incident_id) GROUP BY e.engineer_id, e.employee_no
+    UNION ALL
+    SELECT 'v_sla_compliance',
+           concat_ws('|', s.label, s.sla_resolve_min, count(*),
+                     count(*) FILTER (i.duration_min <= s.sla_resolve_min))
+    FROM outage_incident i JOIN severity_ s USING (severity_id)
+    WHERE i.resolved_at IS NOT NULL GROUP BY s.label, s.sla_resolve_min
+    UNION ALL
+    SELECT 'v_escalated_incidents', concat_ws('|', incident_id, tower_id, severity_id)
+    FROM outage_incident WHERE is_escalated
+    """,
+)
+# The lookup rows, written out a second time.
+LOOKUP_CONTENT = {
+    "province": (
+        "AB|Alberta", "BC|British Columbia", "MB|Manitoba", "NB|New Brunswick",
+        "NL|Newfoundland and Labrador", "NS|Nova Scotia", "NT|Northwest Territories",
+        "NU|Nunavut", "ON|Ontario", "PE|Prince Edward Island", "QC|Quebec", "SK|Saskatchewan",
+        "YT|Yukon",
+    ),
+    "outage_type": (
+        "1|FIBRE_CUT|Physical severance of fibre optic cable",
+        "2|POWER_FAIL|Loss of commercial power / generator failure",
+        "3|HW_FAULT|Hardware component failure at site or node",
+        "4|SW_BUG|Software defect or failed firmware update",
+        "5|WEATHER|Storm, flood, ice, or lightning damage",
+        "6|PLANNED_MAINT|Scheduled maintenance window",
+    ),
+    "severity_level": (
+        "1|P1 – Critical|15|240", "2|P2 – High|30|480", "3|P3 – Medium|60|1440",
+        "4|P4 – Low|240|4320",
+    ),
+    "resolution_action": (
+        "1|FIBRE_SPLICE|Spliced and re-buried severed fibre",
+        "2|UPS_REPLACE|Replaced uninterruptible power supply unit",
+        "3|FW_ROLLBACK|Rolled back to previous stable firmware",
+        "4|HW_SWAP|Swapped failed hardware component",
+        "5|CONFIG_REVERT|Reverted misconfigured routing or switch config",
+        "6|CABINET_SEAL|Sealed cabinet and replaced water-damaged cards",
+        "7|GENERATOR_START|Started backup generator, restored commercial power",
+        "8|REMOTE_RESET|Performed remote equipment reset",
+    ),
+    "carrier": (
+        "1|Rogers|RCI|ON", "2|Bell|BCE|QC", "3|Telus|T|BC", "4|Shaw|SJR|AB",
+        "5|Videotron|QBR|QC", "6|SaskTel|-|SK",
+    ),
+}
+LOOKUP_VALUES = ", ".join(
+    f"('{name}', '{content}')" for name, rows in LOOKUP_CONTENT.items() for content in rows
+)
+oracle(
+    "lookup_rows",
+    ("outage_incident",),
+    f"""
+    SELECT lookup, content,
+           CASE lookup
+           WHEN 'outage_type' THEN (SELECT count(*) FROM outage_incident
+                                    WHERE outage_type_id = try_cast(key AS integer))
+           WHEN 'severity_level' THEN (SELECT count(*) FROM outage_incident
+                                       WHERE severity_id = try_cast(key AS integer))
+           ELSE 0 END AS incidents
+    FROM (SELECT *, split_part(content, '|', 1) AS key
+          FROM (VALUES {LOOKUP_VALUES}) AS t(lookup, content))
+    """,
+)
+oracle(
+    "optional_columns",
+    ("outage_raw",),
+    """
+    SELECT outage_id, upper(trim(province)) AS province, city, outage_type, customers_affected,
+           carrier
+    FROM outage_raw WHERE outage_id IS NOT NULL AND province IS NOT NULL
+    """,
+)
+
+
+def places(report: str, row: str, order: str, group: str, measures: str) -> str:
+    return (
+        f"SELECT '{report}' AS report, {row} AS row, row_number() OVER (ORDER BY {order}) AS place "
+        f"FROM (SELECT {group}, {measures} FROM extract_ GROUP BY {group})"
+    )
+
+
+MEAN = "round(avg(duration_min), 1) AS mean"
+RATE = "round(100.0::double * sum(cast(is_escalation AS integer)) / count(*), 1) AS rate"
+oracle(
+    "report_order",
+    ("extract_",),
+    " UNION ALL ".join(
+        [
+            places("outages_by_province", "province", "n DESC, province", "province", "count(*) n"),
+            places("worst_outage_types", "outage_type", "mean DESC NULLS LAST, outage_type",
+                   "outage_type", MEAN),
+            places("escalation_rate_by_carrier", "carrier", "rate DESC NULLS LAST, carrier",
+                   "carrier", RATE),
+            places("monthly_trend", "concat_ws('-', year, month)",
+                   "year NULLS LAST, month NULLS LAST", "year, month", "count(*) n"),
+            places("panel_province", "province", "n, province DESC", "province", "count(*) n"),
+            places("panel_type_duration", "outage_type", "mean NULLS FIRST, outage_type DESC",
+                   "outage_type", MEAN),
+            places("panel_escalation", "carrier", "rate NULLS FIRST, carrier DESC", "carrier",
+                   RATE),
+            places("panel_trend",
+                   "coalesce(year || '-' || lpad(cast(month AS varchar), 2, '0'), '')",
+                   "year NULLS LAST, month NULLS LAST", "year, month", "count(*) n"),
+        ]
+    ),
+)
+# A row is refused without a name or address, or for a number or address the row before it was stored with.
+oracle(
+    "append_into_table",
+    ("bad_engineer",),
+    """
+    SELECT engineer_id, employee_no, full_name, email, false AS is_oncall
+    FROM (SELECT *, lag(employee_no) OVER w AS last_no, lag(email) OVER w AS last_email,
+                 lag(full_name) OVER w AS last_name
+          FROM bad_engineer WINDOW w AS (ORDER BY engineer_id))
+    WHERE full_name IS NOT NULL AND email IS NOT NULL
+      AND NOT coalesce(last_name IS NOT NULL AND last_email IS NOT NULL
+                       AND (employee_no = last_no OR email = last_email), false)
+    """,
+)
+oracle(
+    "csv_dirty_source",
+    (),
+    """
+    SELECT 'OUT-' || CASE WHEN event_id + 1 < 1000
+                          THEN lpad(cast(event_id + 1 AS varchar), 4, '0')
+                          ELSE cast(event_id + 1 AS varchar) END AS outage_id,
+           CASE WHEN event_id % 7 <> 2 THEN 'ON' END AS province,
+           'said "no", event ' || cast(event_id AS varchar) AS remark,
+           CASE event_id % 4 WHEN 1 THEN 16 + event_id % 400 WHEN 2 THEN NULL
+                ELSE 15 + event_id % 400 END AS duration_min,
+           CASE event_id % 3 WHEN 0 THEN date_trunc('minute', ts)
+                WHEN 1 THEN date_trunc('second', ts) - INTERVAL '5' HOUR END AS onset_dt
+    FROM events
     """,
 )
 oracle(
@@ -643,7 +785,7 @@ oracle(
         SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY
                                      performed_at, log_id, action_id, performed_by) AS turn
         FROM (
-            SELECT l_linenumber + 10 * (l_orderkey + 1) AS log_id, l_orderkey + 1 AS incident_id,
+            SELECT l_linenumber + 1048576 * (l_orderkey + 1) AS log_id, l_orderkey + 1 AS incident_id,
                    cast(1 + l_partkey % 8 AS integer) AS action_id,
                    1 + l_suppkey % (SELECT count(*) FROM customer) AS performed_by,
                    l_shipdate AS performed_at
@@ -670,8 +812,12 @@ oracle(
     "key_lookup",
     ("outage_incident", "tower"),
     """
-    SELECT i.incident_ref, t.tower_code, t.tower_id
-    FROM outage_incident i JOIN tower t ON t.tower_id = i.tower_id
+    SELECT incident_ref, asked AS tower_code, t.tower_id
+    FROM (SELECT i.incident_ref,
+                 CASE WHEN i.incident_id % 23 = 7 THEN 'NO-' || t.tower_code
+                      ELSE t.tower_code END AS asked
+          FROM outage_incident i JOIN tower t ON t.tower_id = i.tower_id)
+    LEFT JOIN tower t ON t.tower_code = asked
     """,
 )
 oracle(

@@ -138,3 +138,15 @@ def test_weighted_edges(spark):
     seen = spark.range(2000).select(d.weighted("w", {10: 1, 20: 0, 30: 3}).alias("w"))
     shares = {r.w: r["count"] for r in seen.groupBy("w").count().collect()}
     assert set(shares) == {10, 30} and 400 < shares[10] < 600
+
+
+def test_parents_beyond_the_first_2_to_the_32_get_children(spark):
+    parents = 2**40
+    ids = generate.ids(spark, 2000)
+    drawn = generate.incidents(ids, parents).agg(F.max("tower_id"), F.min("tower_id")).first()
+    assert 0.99 * parents < drawn[0] <= parents and 1 <= drawn[1] < 0.01 * parents
+    for rows, column in (
+        (generate.assignments(ids, parents), "engineer_id"),
+        (generate.resolutions(ids, parents), "performed_by"),
+    ):
+        assert rows.agg(F.max(column)).first()[0] > 2**32

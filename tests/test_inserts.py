@@ -118,4 +118,36 @@ def test_append_is_idempotent_and_checks_parents(spark, tmp_path):
 def test_key_lookup(spark):
     stored = spark.createDataFrame([(7, "x"), (8, "y")], "id int, code string")
     rows = spark.createDataFrame([("y",), ("z",)], "code string")
-    assert [tuple(r) for r in inserts.key_of(rows, stored, ("code",), "id").collect()] == [("y", 8)]
+    found = inserts.key_of(rows, stored, ("code",), "id")
+    assert {tuple(r) for r in found.collect()} == {("y", 8), ("z", None)}
+    with pytest.raises(inserts.MissingParent, match="z"):
+        inserts.require_keys(found, ("code",), "id")
+    known = found.filter("code = 'y'")
+    assert inserts.require_keys(known, ("code",), "id").count() == 1
+
+
+def test_long_chain_of_clashes(spark):
+    """Row i clashes with row i - 1: every second row stays, after half as many rounds."""
+    rows = [{"n": i, "a": i // 2, "b": (i + 1) // 2, "c": 0, "v": 0} for i in range(24)]
+    accepted = inserts.insert_or_ignore(
+        frame(spark, []), frame(spark, rows), [("a",), ("b",)], ["n"]
+    )
+    assert sorted(r.n for r in accepted.collect()) == list(range(0, 24, 2))
+
+
+def test_hundreds_of_chains_take_the_rounds_of_the_longest(spark, monkeypatch):
+    rows = [
+        {"n": 4 * c + i, "a": 10 * c + i // 2, "b": 10 * c + (i + 1) // 2, "c": 0, "v": 0}
+        for c in range(200)
+        for i in range(4)
+    ]
+    written = []
+    plain = inserts.materialize
+    monkeypatch.setattr(
+        inserts, "materialize", lambda df, name: written.append(name) or plain(df, name)
+    )
+    accepted = inserts.insert_or_ignore(
+        frame(spark, []), frame(spark, rows), [("a",), ("b",)], ["n"]
+    )
+    assert sorted(r.n for r in accepted.collect()) == list(range(0, 800, 2))
+    assert written.count("insert_round") == 2

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from linewarden import lens
 from linewarden.operators.clean import clean_outages
-from linewarden.operators.extract import build_extract, longest_outages
+from linewarden.operators.extract import build_extract, longest_outages, weighed_outages
 from linewarden.operators.joins import left_join
 from linewarden.operators.logs import parse_logs
 from linewarden.plans import network_reports, outage_reports
@@ -123,3 +123,34 @@ def test_top10_with_duplicate_and_missing_logs(spark):
     early = outage_reports.top10_longest_outages(longest_outages(clean, logs)).collect()
     assert whole == early
     assert [r.outage_id for r in whole][:5] == ["OUT-00", "OUT-01", "OUT-01", "OUT-01", "OUT-02"]
+
+
+def test_reports_join_once(spark, sf_dir):
+    """Logs are counted per outage first: one join, and each side is read once."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = final_plan(QUERIES["outages_by_province"](spark, sf_dir))
+    assert plan.count("SortMergeJoin") == 1
+    assert plan.count("FileScan parquet") == 2
+    assert plan.count("regexp_extract") == 0
+
+
+def test_weighed_outages_give_the_reports_of_the_extract(spark, sf_dir):
+    outages = clean_outages(lens.outage_raw(spark, sf_dir))
+    logs = parse_logs(lens.incident_logs(spark, sf_dir))
+    whole, weighed = build_extract(outages, logs), weighed_outages(outages, logs)
+    assert weighed.count() < whole.count()
+    for name, report in outage_reports.OUTAGE_REPORTS.items():
+        if name != "top10_longest_outages":
+            assert report(whole).collect() == report(weighed).collect()
+
+
+def test_each_log_pattern_runs_once(spark, sf_dir):
+    plan = final_plan(QUERIES["parse_logs"](spark, sf_dir))
+    assert plan.count("regexp_extract(") == 4
+
+
+def test_top10_reads_the_logs_once(spark, sf_dir):
+    plan = final_plan(QUERIES["top10_longest_outages"](spark, sf_dir))
+    assert plan.count("FileScan parquet") <= 3
+    link_plan = final_plan(QUERIES["extract_link_join"](spark, sf_dir))
+    assert "TakeOrderedAndProject(limit=10, orderBy=[outage_id" in link_plan

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from linewarden import lens, model, session
@@ -20,7 +24,11 @@ def test_csv_with_byte_order_mark_and_mixed_columns(spark, tmp_path):
         "﻿province,outage_id,remark,duration_min,onset_dt\n"
         'MB,OUT-0001,"said ""hello"", twice",90,2022-05-01 10:00:00\n'
         "NA,OUT-0002,,n/a,soon\n"
-        " on ,OUT-0003,x,12.5,2022-05-02\n".encode()
+        " on ,OUT-0003,x,12.5,2022-05-02\n"
+        "QC,OUT-0004,,90.0,2022/03/05 10:11\n"
+        "QC,OUT-0005,,-0.4,2022-05-01T10:00:00+05:00\n"
+        "QC,OUT-0006,,1e3,5-Mar-2022 7:08\n"
+        "QC,OUT-0007,,99999999999999999999,03/25/2022\n".encode()
     )
     df = readers.read_csv(spark, str(file))
     assert dict(df.dtypes)["duration_min"] == "bigint"
@@ -31,6 +39,34 @@ def test_csv_with_byte_order_mark_and_mixed_columns(spark, tmp_path):
     assert tuple(rows["OUT-0002"]) == (None, "OUT-0002", None, None, None)
     assert rows["OUT-0003"].province == " on "
     assert rows["OUT-0003"].onset_dt == dt.datetime(2022, 5, 2)
+    assert [rows[f"OUT-000{i}"].duration_min for i in (3, 4, 5, 6, 7)] == [13, 90, 0, 1000, None]
+    assert [rows[f"OUT-000{i}"].onset_dt for i in (4, 5, 6, 7)] == [
+        dt.datetime(2022, 3, 5, 10, 11),
+        dt.datetime(2022, 5, 1, 5),
+        dt.datetime(2022, 3, 5, 7, 8),
+        dt.datetime(2022, 3, 25),
+    ]
+
+
+def test_quoted_line_break_is_read_or_refused(spark, tmp_path):
+    file = tmp_path / "breaks.csv"
+    file.write_text('outage_id,province,city\nOUT-1,"O\nN",x\nOUT-2,QC,y\n')
+    rows = readers.read_csv(spark, str(file), multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("OUT-1", "O\nN", "x"), ("OUT-2", "QC", "y")]
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.read_csv(spark, str(file)).collect()
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.load_or_else(
+            lambda: readers.read_csv(spark, str(file)), lambda: spark.range(1), required=()
+        )
+
+
+def test_failing_task_does_not_lead_to_the_fallback(spark):
+    def primary():
+        return spark.range(3).selectExpr("raise_error('task lost') AS outage_id", "1 AS province")
+
+    with pytest.raises((PySparkException, Py4JJavaError), match="task lost"):
+        readers.load_or_else(primary, lambda: spark.range(1))
 
 
 def test_fallback(spark, tmp_path):
@@ -39,21 +75,24 @@ def test_fallback(spark, tmp_path):
 
     good = tmp_path / "good"
     backup().limit(5).write.csv(str(good), header=True)
-    df, source = readers.load_or_else(lambda: readers.read_csv(spark, str(good)), backup)
-    assert (df.count(), source) == (5, "primary")
+    df, source, cause = readers.load_or_else(lambda: readers.read_csv(spark, str(good)), backup)
+    assert (df.count(), source, cause) == (5, "primary", None)
 
     lacking = tmp_path / "lacking"
     backup().select("outage_id").write.csv(str(lacking), header=True)
-    df, source = readers.load_or_else(lambda: readers.read_csv(spark, str(lacking)), backup)
-    assert (df.count(), source) == (300, "fallback")
+    df, source, cause = readers.load_or_else(lambda: readers.read_csv(spark, str(lacking)), backup)
+    assert (df.count(), source) == (300, "fallback") and "province" in cause
 
-    df, source = readers.load_or_else(lambda: readers.read_csv(spark, str(tmp_path / "no")), backup)
-    assert (df.count(), source) == (300, "fallback")
+    missing = str(tmp_path / "no")
+    df, source, cause = readers.load_or_else(lambda: readers.read_csv(spark, missing), backup)
+    assert (df.count(), source) == (300, "fallback") and missing in cause
 
     broken = tmp_path / "broken.parquet"
     broken.write_bytes(b"not parquet at all")
-    df, source = readers.load_or_else(lambda: readers.read_parquet(spark, str(broken)), backup)
-    assert (df.count(), source) == (300, "fallback")
+    df, source, cause = readers.load_or_else(
+        lambda: readers.read_parquet(spark, str(broken)), backup
+    )
+    assert (df.count(), source) == (300, "fallback") and cause
 
     with pytest.raises(ZeroDivisionError):
         readers.load_or_else(lambda: 1 / 0, backup)
@@ -67,10 +106,8 @@ def test_shared_folder_is_the_sessions(spark):
     assert session.materialize(frame.limit(0), "empty").count() == 0
 
 
-def test_a_cluster_must_name_its_shared_folder():
+def test_without_a_setting_scratch_lies_below_the_warehouse():
     class Context:
-        master = "yarn"
-
         def getConf(self):
             return {}
 
@@ -79,9 +116,24 @@ def test_a_cluster_must_name_its_shared_folder():
 
     class Session:
         sparkContext = Context()
+        conf = {"spark.sql.warehouse.dir": "hdfs:/warehouse"}
+
+    assert session.shared_folder(Session()) == "hdfs:/warehouse/scratch"
+
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_folder(Session())
+def test_scratch_of_a_scope_is_removed(spark):
+    kept = session.materialize(spark.range(3), "kept")
+    with session.scratch_scope(spark):
+        with session.scratch_scope(spark):
+            files = session.materialize(spark.range(3), "inner").inputFiles()
+        files += session.materialize(spark.range(3), "outer").inputFiles()
+        assert Path(urlparse(files[-1]).path).exists()
+    assert not any(Path(urlparse(f).path).exists() for f in files)
+    assert kept.count() == 3
+    with pytest.raises(ValueError), session.scratch_scope(spark):
+        lost = session.materialize(spark.range(3), "lost").inputFiles()
+        raise ValueError
+    assert not Path(urlparse(lost[0]).path).exists()
 
 
 def test_incident_layout_prunes_months(spark, sf_dir, tmp_path):
@@ -168,5 +220,12 @@ def test_command_line(spark, tmp_path, capsys):
     assert extract.filter("log_text is null").count() == 0
 
     main(["extract", "--rows", "50", "--out", out, "--database", "command_test"])
-    assert "fallback source" in capsys.readouterr().out
+    assert "generated source" in capsys.readouterr().out
     assert readers.read_table(spark, "command_test.outage_events").count() == 50
+
+    lost = ["extract", "--outages", str(tmp_path / "lost"), "--rows", "7", "--out", out]
+    with pytest.raises(AnalysisException):
+        main(lost)
+    main([*lost, "--database", "command_test", "--or-generate"])
+    assert "fallback source" in capsys.readouterr().out
+    assert readers.read_table(spark, "command_test.outage_events").count() == 7
