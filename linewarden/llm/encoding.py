@@ -27,7 +27,7 @@ class WordEncoder(dict):
     one, from which words in use are taken over.
     """
 
-    def __init__(self, vocabulary: str, kept: int = 300_000):
+    def __init__(self, vocabulary: str, kept: int = 600_000):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True
@@ -48,15 +48,20 @@ class WordEncoder(dict):
         return ids
 
     def _ids(self, word: bytes) -> bytes:
-        text = self.normalize(word.decode())
-        if PLAIN.fullmatch(text):
-            ids = [token.id for token in self.model.tokenize(text.translate(self.bytes_of))]
-        elif text[-1:] in (".", ",") and PLAIN.fullmatch(text[:-1]):
+        if word.isalpha():  # a-z alone: one piece as it stands
+            pieces = word.decode()
+        elif word[-1:] in (b".", b",") and word[-2:-1].isalpha():
             # Letters and the mark behind them are separate pieces.
             return self[word[:-1]] + self[word[-1:]]
         else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+            text = self.normalize(word.decode())
+            if not PLAIN.fullmatch(text):
+                if text[-1:] in (".", ",") and PLAIN.fullmatch(text[:-1]):
+                    return self[word[:-1]] + self[word[-1:]]
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                return np.array(ids, "<u4").tobytes()
+            pieces = text.translate(self.bytes_of)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(pieces)])
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a whole text, four bytes each."""
