@@ -74,9 +74,8 @@ def context_limits(histogram: DataFrame, block: int = 1024) -> DataFrame:
         .orderBy(F.col("n_tokens").desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    total = stored.agg(
-        F.sum("n_documents").alias("all_documents"), F.sum("tokens").alias("all_tokens")
-    )
+    # Two numbers, known once the histogram is written.
+    documents, tokens = stored.agg(F.sum("n_documents"), F.sum("tokens")).first()
     return (
         stored.withColumns(
             {
@@ -85,14 +84,11 @@ def context_limits(histogram: DataFrame, block: int = 1024) -> DataFrame:
             }
         )
         .join(blocks, "block")
-        .join(F.broadcast(total))
         .select(
             "n_tokens",
             "n_documents",
             (F.col("documents_inside") + F.col("documents_above")).alias("documents_longer"),
             (F.col("tokens_inside") + F.col("tokens_above")).alias("tokens_longer"),
-            "all_documents",
-            "all_tokens",
         )
         .select(
             "n_tokens",
@@ -100,13 +96,13 @@ def context_limits(histogram: DataFrame, block: int = 1024) -> DataFrame:
             "documents_longer",
             "tokens_longer",
             (
-                F.col("all_tokens")
+                F.lit(tokens).cast("long")
                 - F.col("tokens_longer")
                 + F.col("documents_longer") * F.col("n_tokens")
             ).alias("tokens_within"),
             (F.col("tokens_longer") - F.col("documents_longer") * F.col("n_tokens")).alias(
                 "tokens_cut"
             ),
-            (1 - F.col("documents_longer") / F.col("all_documents")).alias("share_within"),
+            (1 - F.col("documents_longer") / F.lit(documents).cast("long")).alias("share_within"),
         )
     )
