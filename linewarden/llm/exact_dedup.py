@@ -213,9 +213,10 @@ def drop_exact_duplicates(
     same = F.col(prefix + "doc_id").eqNullSafe(F.col(prefix + "own_id")) & (
         F.col(prefix + "digest") == F.col(prefix + "own_digest")
     )
-    rest = keyed.join(marks, same, "left_anti")
+    # The marks grow with the data, so they are never sent to all tasks, however few they are.
+    rest = keyed.join(marks.hint("merge"), same, "left_anti")
     again = marks.filter(F.col(prefix + "kept"))
     if not again.isEmpty():
-        once = keyed.join(again, same, "left_semi")
+        once = keyed.join(again.hint("merge"), same, "left_semi")
         rest = rest.unionByName(once.dropDuplicates([prefix + "own_id", prefix + "own_digest"]))
     return rest.select(*[F.col(f"`{c}`") for c in documents.columns])
