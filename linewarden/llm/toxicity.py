@@ -62,7 +62,6 @@ SENTENCE_ENDS = (b".", b"!", b"?")
 STEMS = (3, 4, 5, 6)
 
 
-@lru_cache(maxsize=200_000)
 def word_features(word: bytes) -> tuple[int, ...]:
     """Hashes of a word and of its first letters, as signed 64-bit numbers."""
     text = word.decode()
@@ -71,6 +70,15 @@ def word_features(word: bytes) -> tuple[int, ...]:
     return tuple(np.frombuffer(digests, np.int64).tolist())
 
 
+@lru_cache(maxsize=20_000)
+def known_features(word: bytes) -> tuple[int, ...]:
+    """``word_features`` for learning, which meets a word in many documents of a small sample.
+
+    Workers live on after a task, so what they keep stays small.
+    """
+    return word_features(word)
+
+
 def held_out(id_column: Column, parts: int = 4, part: int = 2) -> Column:
     """Whether a document is kept from learning: crc32 of its id as text, modulo ``parts``."""
     crc = F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary"))
@@ -94,7 +102,7 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
     for text, label in rows_of(batches, "text", "toxic"):
-        features = {f for word in set(words_of(text)) for f in word_features(word)}
+        features = {f for word in set(words_of(text)) for f in known_features(word)}
         (toxic if label else other).update(features)
         if len(toxic) + len(other) > 500_000:
             yield counts()
@@ -133,7 +141,7 @@ def _examples(numbers):
 
         def of(words: list[bytes]) -> set[int]:
             return {
-                known[f] for word in set(words) for f in word_features(word) if f in known
+                known[f] for word in set(words) for f in known_features(word) if f in known
             }
 
         for batch in batches:
@@ -296,7 +304,7 @@ def train(
 class WordScores(dict):
     """The weighted features of each word met; most words have none."""
 
-    def __init__(self, weights: dict[int, float], kept: int = 500_000):
+    def __init__(self, weights: dict[int, float], kept: int = 200_000):
         super().__init__()
         self.weights, self.kept = weights, kept
 
