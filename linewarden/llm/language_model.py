@@ -46,6 +46,8 @@ PAIR_ROWS = 4096
 CLASS_ROWS = SKIPS * HISTORY + PAIR_ROWS
 WORD_ROWS = 1 << 14
 BLOCK_ROWS = 1024
+RUN = 16  # values of a run that are summed place by place
+CACHED = 1024  # rows of 64 numbers that stay in the cache
 
 
 def held_out(id_column: Column, parts: int = 5, part: int = 1) -> Column:
@@ -206,13 +208,27 @@ def _word_rows(back: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
 
 
 def _logits(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    total = weights[rows[0]]
+    total = weights.take(rows[0], axis=0)
     for r in rows[1:]:
-        total += weights[r]
+        total += weights.take(r, axis=0)
     total += bias
     return total
 
 
+def _error(weights, bias, rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
+    """Probabilities less the targets, in parts that stay in the cache."""
+    error = np.empty((len(target), weights.shape[1]), np.float32)
+    for start in range(0, len(target), CACHED):
+        part = slice(start, start + CACHED)
+        own = _logits(weights, bias if bias.ndim == 1 else bias[part], [r[part] for r in rows])
+        own -= own.max(axis=1)[:, None]
+        np.exp(own, out=own)
+        own /= own.sum(axis=1)[:, None]
+        own[np.arange(len(own)), target[part]] -= 1
+        error[part] = own
+    return error
+
+
 def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     top = logits.max(axis=1)
     spread = np.exp(logits - top[:, None]).sum(axis=1)
@@ -244,18 +260,37 @@ def _coded(held: list, tokens: list[bytes], lengths: list[int], lexicon: Lexicon
 # --- training -----------------------------------------------------------------------------
 
 
+def _sums(values, by: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sums of values[by] over runs, which come largest first; first the runs' first
+    values, then their second and so on, what is behind of long runs at once."""
+    total = values.take(by[starts], axis=0)
+    runs = len(starts)
+    for place in range(1, RUN):
+        runs = np.searchsorted(-sizes[:runs], -place)
+        total[:runs] += values.take(by[starts[:runs] + place], axis=0)
+    for run in range(np.searchsorted(-sizes[:runs], -RUN)):
+        rest = by[starts[run] + RUN : starts[run] + sizes[run]]
+        total[run] += values.take(rest, axis=0).sum(axis=0)
+    return total
+
+
 def _row_updates(weights, squares, touched, rows, error, rate) -> None:
     """One step on the rows: gradients of a row are summed, its rate falls with their size."""
-    by = np.argsort(rows, kind="stable")
-    own, starts = np.unique(rows[by], return_index=True)
-    slope = np.add.reduceat(error[by], starts, axis=0)
+    by = np.argsort(rows.astype(np.uint16), kind="stable")
+    rows = rows[by]
+    starts = np.flatnonzero(np.diff(rows, prepend=-1))
+    sizes = np.diff(np.append(starts, len(rows)))
+    largest = np.argsort(-sizes)
+    starts, sizes = starts[largest], sizes[largest]
+    own = rows[starts]
+    slope = _sums(error, by, starts, sizes)
     squares[own] += (slope * slope).mean(axis=1)
     weights[own] -= slope * (rate / np.sqrt(squares[own] + 1e-3))[:, None]
-    touched[own] += np.diff(np.append(starts, len(rows)))
+    touched[own] += sizes
 
 
-def _gradient_pass(sent, stride: int, rate: float, batch: int):
-    """Updates on one slice: every ``stride``-th place of each text is an example."""
+def _gradient_pass(sent, rate: float, batch: int):
+    """Updates on one slice: every token is an example."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
@@ -265,12 +300,10 @@ def _gradient_pass(sent, stride: int, rate: float, batch: int):
         touched = [np.zeros(len(t), np.int64) for t in tables]
         class_bias, word_bias = _starting_class_bias(model), _word_bias(model)
         for _, _, codes, _, place in _batches_of_tokens(
-            rows_of(batches, "text"), lexicon, batch * stride
+            rows_of(batches, "text"), lexicon, batch
         ):
             history, classes = lexicon.history[codes], lexicon.classes[codes]
             back = _histories(history, place)
-            at = np.arange(0, len(codes), stride)
-            back, classes, history = [h[at] for h in back], classes[at], history[at]
             _step(tables[0], squares[0], touched[0], _class_rows(back), class_bias, classes, rate)
             head = classes < WORD_CLASSES
             if head.any():
@@ -299,10 +332,7 @@ def _gradient_pass(sent, stride: int, rate: float, batch: int):
 
 
 def _step(weights, squares, touched, rows, bias, target, rate) -> None:
-    logits = _logits(weights, bias, rows)
-    error = np.exp(logits - logits.max(axis=1)[:, None])
-    error /= error.sum(axis=1)[:, None]
-    error[np.arange(len(target)), target] -= 1
+    error = _error(weights, bias, rows, target)
     for r in rows:
         _row_updates(weights, squares, touched, r, error, rate)
 
@@ -333,10 +363,10 @@ def _averaged(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_update_batch([(*first, mean.tobytes(), weight.tobytes())])])
 
 
-def _trained(model: Model, texts: DataFrame, stride: int, rate: float, batch: int) -> Model:
+def _trained(model: Model, texts: DataFrame, rate: float, batch: int) -> Model:
     """The model after one round on these texts."""
     sent = texts.sparkSession.sparkContext.broadcast(model)
-    updates = texts.mapInArrow(_gradient_pass(sent, stride, rate, batch), UPDATE)
+    updates = texts.mapInArrow(_gradient_pass(sent, rate, batch), UPDATE)
     updates = updates.withColumn("task", F.floor(F.col("task") / 64))
     updates = updates.groupBy("task", "block").applyInArrow(_averaged, UPDATE)
     updates = updates.groupBy("block").applyInArrow(_averaged, UPDATE)
@@ -380,19 +410,18 @@ def train(
     counts: DataFrame,
     dictionary: int = 1 << 18,
     rounds: int = 3,
-    stride: int = 4,
     rate: float = 0.1,
-    batch: int = 4096,
+    batch: int = 8192,
 ) -> Model:
     """A model of the training texts (id, text); ``counts`` are theirs, as a stored table.
 
-    Every text is in one round; of each, every ``stride``-th token is an example, so the
-    examples grow with the corpus. The dictionary has at most ``dictionary`` words.
+    Every text is in one round and every token of it is an example, so the examples grow with
+    the corpus. The dictionary has at most ``dictionary`` words.
     """
     model = untrained(counts, dictionary)
     for number in range(rounds if model.tokens else 0):
         part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(rounds)) == number
-        model = _trained(model, texts.filter(part).select("text"), stride, rate, batch)
+        model = _trained(model, texts.filter(part).select("text"), rate, batch)
     return model
 
 
@@ -415,7 +444,7 @@ PARTIAL = (
 )
 
 
-def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int = 8192):
+def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int = CACHED):
     """log10 of the model's probability of each token, without the count of words outside the
     dictionary."""
     class_bias, word_bias = _starting_class_bias(model), _word_bias(model)
@@ -482,7 +511,7 @@ def score_documents(
     counts: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    batch: int = 8192,
+    batch: int = CACHED,
 ) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 

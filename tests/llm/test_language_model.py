@@ -133,3 +133,13 @@ def test_nothing_to_learn_from(make):
     row = lm.train_and_score(make([(held, "some words")])).first()
     assert (row["train_tokens"], row["n_known"], row["n_tokens"]) == (0, 0, 3)
     assert np.isfinite(row["score"])
+
+
+def test_every_token_is_an_example(make):
+    """Each text is four tokens, so that a stride of four would reach the first place alone."""
+    rows = [(i, f"a{i * 7919 % 11} b{i * 7919 % 11} c{i * 7919 % 11}") for i in range(4000)]
+    scored = lm.train_and_score(make(rows)).filter("held_out").collect()
+    gain = np.mean([r["score"] - r["base_score"] for r in scored])
+    # The first word is one of eleven, the others and the end follow from it.
+    sure = 3 * np.log10(44) + np.log10(4) - np.log10(11)
+    assert gain > 0.5 * sure
