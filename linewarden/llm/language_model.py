@@ -4,8 +4,9 @@ The probability of a token is that of its class given the history times that of
 within its class. Features of the history are the last word, the words two and three places
 back (skips) and the last two words together; each is hashed to a row of a weight table. The
 most frequent words form classes with a softmax of their own; every other word belongs to a
-class by its ending, within which it has its share of the training counts. With weights of
-zero the model is the smoothed unigram model; training moves it from there.
+class by its ending. The dictionary's words of such a class hang in a tree of softmaxes, the
+frequent ones near its root; words outside the dictionary are one leaf together, within which
+they have their share of the training counts. With weights of zero the model is the smoothed unigram model; training moves it from there.
 
 Counts cover every training token. Weights are trained in rounds over disjoint slices of the
 training documents: each task makes gradient updates on its part from the same weights, and
@@ -44,8 +45,9 @@ START = HISTORY - 1
 SKIPS = 3
 PAIR_ROWS = 4096
 CLASS_ROWS = SKIPS * HISTORY + PAIR_ROWS
-WORD_ROWS = 1 << 14
+WORD_ROWS = 1 << 15
 BLOCK_ROWS = 1024
+TASK_TOKENS = 4_000_000  # of all rounds; smaller parts of a table are trained together
 RUN = 16  # values of a run that are summed place by place
 CACHED = 1024  # rows of 64 numbers that stay in the cache
 
@@ -161,7 +163,7 @@ class Lexicon(dict):
         counts = np.concatenate([model.counts, np.zeros(ENDINGS)])
         self.log_count = np.log10(counts + 0.5)
         self.log_count[self.size :] = 0  # added by the join
-        self.log_mass = np.log10(model.class_mass)
+        self.paths, self.bias, self.log_rest = _trees(model, self.classes)
 
     def __missing__(self, word: bytes) -> int:
         code = self.unknown.get(word)
@@ -176,12 +178,53 @@ def _starting_class_bias(model: Model) -> np.ndarray:
     return np.log(model.class_mass).astype(np.float32)
 
 
-def _word_bias(model: Model) -> np.ndarray:
-    """Per class the log counts of its words; places without a word can't be chosen."""
-    bias = np.full(MODEL_WORDS, -1e9, np.float32)
-    head = model.counts[:MODEL_WORDS]
-    bias[: len(head)] = np.log(head + 0.5)
-    return bias.reshape(WORD_CLASSES, CLASS_WORDS)
+def _trees(model: Model, classes: np.ndarray):
+    """The way to each code below its class, as (node, choice) by depth, -1 behind its end; log
+    masses of each node's choices; log10 masses of the words outside the dictionary by class.
+
+    Nodes 0 .. WORD_CLASSES - 1 are the classes of frequent words. In a larger set the most
+    frequent words are choices of the node itself and equal parts of the others go below it.
+    """
+    size, total = len(model.counts), len(classes)
+    masses = np.concatenate([model.counts + 0.5, np.zeros(ENDINGS)])
+    head = np.arange(min(size, MODEL_WORDS))
+    paths = [(np.full(total, -1), np.full(total, -1))]
+    paths[0][0][head], paths[0][1][head] = head // CLASS_WORDS, head % CLASS_WORDS
+    # Places without a word can't be chosen.
+    biases = list(np.full((WORD_CLASSES, CLASS_WORDS), -1e9, np.float32))
+    for code in head.tolist():
+        biases[code // CLASS_WORDS][code % CLASS_WORDS] = np.log(masses[code])
+
+    def grow(members: np.ndarray, depth: int) -> None:
+        if depth == len(paths):
+            paths.append((np.full(total, -1), np.full(total, -1)))
+        more = max(0, len(members) - CLASS_WORDS)
+        below = min(CLASS_WORDS // 2, -(-more // (CLASS_WORDS - 1)))
+        own = members[: CLASS_WORDS - below]
+        node, bias = len(biases), np.full(CLASS_WORDS, -1e9, np.float32)
+        biases.append(bias)
+        paths[depth][0][members] = node
+        paths[depth][1][own] = np.arange(len(own))
+        bias[: len(own)] = np.log(masses[own])
+        for at, part in enumerate(np.array_split(members[len(own) :], below) if below else ()):
+            paths[depth][1][part] = len(own) + at
+            bias[len(own) + at] = np.log(masses[part].sum())
+            grow(part, depth + 1)
+
+    others = np.arange(len(head), size)
+    others = others[np.argsort(classes[others], kind="stable")]
+    starts = np.searchsorted(classes[others], np.arange(WORD_CLASSES, CLASSES + 1))
+    rest = model.class_mass.copy()
+    for number in range(ENDING_CLASSES):
+        members = others[starts[number] : starts[number + 1]]
+        rest[WORD_CLASSES + number] -= masses[members].sum()
+        if len(members):
+            masses[size + number] = rest[WORD_CLASSES + number]
+            grow(np.append(size + number, members), 0)
+    for node, choice in paths:
+        for found in (node, choice):
+            found[size:] = found[size + np.arange(ENDINGS) % ENDING_CLASSES]
+    return paths, np.array(biases), np.log10(rest)
 
 
 def _histories(history: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
@@ -200,9 +243,9 @@ def _class_rows(back: list[np.ndarray]) -> list[np.ndarray]:
     return [*(skip * HISTORY + h for skip, h in enumerate(back)), SKIPS * HISTORY + pair]
 
 
-def _word_rows(back: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
+def _word_rows(back: list[np.ndarray], nodes: np.ndarray) -> list[np.ndarray]:
     return [
-        ((h * WORD_CLASSES + classes) * 2_654_435 + skip * 40_503) % WORD_ROWS
+        (((h * 1_000_003 + nodes) * 2_654_435_761 + skip * 40_503) >> 16) % WORD_ROWS
         for skip, h in enumerate(back[:2])
     ]
 
@@ -298,21 +341,20 @@ def _gradient_pass(sent, rate: float, batch: int):
         tables = (model.class_weights.copy(), model.word_weights.copy())
         squares = [np.zeros(len(t), np.float32) for t in tables]
         touched = [np.zeros(len(t), np.int64) for t in tables]
-        class_bias, word_bias = _starting_class_bias(model), _word_bias(model)
+        class_bias = _starting_class_bias(model)
         for _, _, codes, _, place in _batches_of_tokens(
             rows_of(batches, "text"), lexicon, batch
         ):
             history, classes = lexicon.history[codes], lexicon.classes[codes]
             back = _histories(history, place)
             _step(tables[0], squares[0], touched[0], _class_rows(back), class_bias, classes, rate)
-            head = classes < WORD_CLASSES
-            if head.any():
-                back, classes = [h[head] for h in back], classes[head]
-                rows = _word_rows(back, classes)
-                within = history[head] % CLASS_WORDS
-                _step(
-                    tables[1], squares[1], touched[1], rows, word_bias[classes], within, rate
-                )
+            for nodes, choices in lexicon.paths:
+                at = np.flatnonzero(nodes[codes] >= 0)
+                if len(at):
+                    own = nodes[codes[at]]
+                    rows = _word_rows([h[at] for h in back], own)
+                    within = choices[codes[at]]
+                    _step(tables[1], squares[1], touched[1], rows, lexicon.bias[own], within, rate)
         task = TaskContext.get().partitionId()
         rows_out = []
         for number, (new, old, n) in enumerate(
@@ -419,9 +461,13 @@ def train(
     the corpus. The dictionary has at most ``dictionary`` words.
     """
     model = untrained(counts, dictionary)
+    # Each task sends its changed weights, so their number follows the tokens.
+    tasks = max(
+        texts.sparkSession.sparkContext.defaultParallelism, -(-model.tokens // TASK_TOKENS)
+    )
     for number in range(rounds if model.tokens else 0):
         part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(rounds)) == number
-        model = _trained(model, texts.filter(part).select("text"), rate, batch)
+        model = _trained(model, texts.filter(part).select("text").coalesce(tasks), rate, batch)
     return model
 
 
@@ -447,7 +493,7 @@ PARTIAL = (
 def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int = CACHED):
     """log10 of the model's probability of each token, without the count of words outside the
     dictionary."""
-    class_bias, word_bias = _starting_class_bias(model), _word_bias(model)
+    class_bias = _starting_class_bias(model)
     history, classes = lexicon.history[codes], lexicon.classes[codes]
     back = _histories(history, place)
     scores = np.empty(len(codes))
@@ -456,14 +502,15 @@ def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int
         own, own_back = classes[part], [h[part] for h in back]
         logits = _logits(model.class_weights, class_bias, _class_rows(own_back))
         found = _log_softmax_at(logits, own) / np.log(10)
-        head = own < WORD_CLASSES
-        if head.any():
-            rows = _word_rows([h[head] for h in own_back], own[head])
-            logits = _logits(model.word_weights, word_bias[own[head]], rows)
-            within = history[part][head] % CLASS_WORDS
-            found[head] += _log_softmax_at(logits, within) / np.log(10)
-        rest = ~head
-        found[rest] += lexicon.log_count[codes[part][rest]] - lexicon.log_mass[own[rest]]
+        for nodes, choices in lexicon.paths:
+            at = np.flatnonzero(nodes[codes[part]] >= 0)
+            if len(at):
+                way = codes[part][at]
+                rows = _word_rows([h[at] for h in own_back], nodes[way])
+                logits = _logits(model.word_weights, lexicon.bias[nodes[way]], rows)
+                found[at] += _log_softmax_at(logits, choices[way]) / np.log(10)
+        unknown = codes[part] >= lexicon.size
+        found[unknown] -= lexicon.log_rest[own[unknown]]
         scores[part] = found
     return scores
 

@@ -143,3 +143,46 @@ def test_every_token_is_an_example(make):
     # The first word is one of eleven, the others and the end follow from it.
     sure = 3 * np.log10(44) + np.log10(4) - np.log10(11)
     assert gain > 0.5 * sure
+
+
+def test_words_of_an_ending_class_are_told_apart():
+    """Weights of the rows a history has move a word beyond the most frequent ones."""
+    model = small_model(np.random.default_rng(7))
+    lexicon = lm.Lexicon(model)
+    own = lexicon.classes[: lexicon.size]
+    first, second = np.flatnonzero(own == own[-1])[:2]
+    assert first >= lm.MODEL_WORDS
+    odds = set()
+    for before in (3, 70, 500):
+        scores = [
+            lm.log10_probabilities(model, lexicon, np.array([before, code]), np.arange(2))[-1]
+            for code in (first, second)
+        ]
+        odds.add(round(scores[0] - scores[1], 6))
+    assert len(odds) == 3
+
+
+def test_large_ending_classes():
+    """Every word has one way, and zero weights give the smoothed unigram model."""
+    rng = np.random.default_rng(11)
+    names = [f"w{i}{'abcd'[i % 4] * 3}".encode() for i in range(30_000)]
+    counts = np.sort(rng.integers(1, 500, len(names)))[::-1].astype(float)
+    model = small_model(rng)
+    mass = np.full(lm.CLASSES, 0.5)
+    for own in range(lm.WORD_CLASSES):
+        mass[own] = (counts[own * lm.CLASS_WORDS : (own + 1) * lm.CLASS_WORDS] + 0.5).sum()
+    for name, n in list(zip(names, counts))[lm.MODEL_WORDS :]:
+        mass[lm.WORD_CLASSES + lm.ending(name) % lm.ENDING_CLASSES] += n + 0.5
+    model = lm.replace(
+        model,
+        words=b" ".join(names),
+        counts=counts,
+        class_mass=mass,
+        class_weights=model.class_weights * 0,
+        word_weights=model.word_weights * 0,
+    )
+    lexicon, codes = lm.Lexicon(model), np.arange(len(names))
+    ways = np.stack([a for path in lexicon.paths for a in path], axis=1)[: len(names)]
+    assert len(np.unique(ways, axis=0)) == len(names)
+    scores = lm.log10_probabilities(model, lexicon, codes, codes)
+    assert np.abs(scores - np.log10((counts + 0.5) / mass.sum())).max() < 1e-4
