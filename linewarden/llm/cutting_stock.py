@@ -56,6 +56,24 @@ def knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[floa
     return float(best[capacity]), pattern
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by Gauss-Jordan elimination with row pivots.
+
+    Plain element-wise steps on purpose: threaded linear algebra in the driver's process,
+    beside the JVM it started, was seen to hang.
+    """
+    m = len(matrix)
+    rows = np.hstack([matrix, np.eye(m)])
+    for at in range(m):
+        pivot = at + int(np.abs(rows[at:, at]).argmax())
+        rows[[at, pivot]] = rows[[pivot, at]]
+        rows[at] /= rows[at, at]
+        factors = rows[:, at].copy()
+        factors[at] = 0.0
+        rows -= factors[:, None] * rows[at]
+    return rows[:, m:]
+
+
 def column_generation(
     sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 0.001, rounds: int = 4000
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -73,10 +91,10 @@ def column_generation(
         duals = inverse.sum(axis=0)
         value, pattern = knapsack(sizes, np.maximum(duals, 0), capacity)
         # Duals divided by the best value are feasible, which bounds the optimum from below.
-        bound = max(bound, float(np.maximum(duals, 0) @ demand) / max(value, 1.0))
+        bound = max(bound, float((np.maximum(duals, 0) * demand).sum()) / max(value, 1.0))
         if value <= 1 + 1e-9 or amounts.sum() <= bound * (1 + gap):
             break
-        direction = inverse @ pattern
+        direction = (inverse * pattern).sum(axis=1)
         rising = direction > 1e-9
         if not rising.any():
             break
@@ -88,11 +106,11 @@ def column_generation(
         amounts[out] = step
         basis[:, out] = pattern
         row = inverse[out] / direction[out]
-        inverse -= np.outer(direction, row)
+        inverse -= direction[:, None] * row
         inverse[out] = row
         if pivot % 200 == 199:
-            inverse = np.linalg.inv(basis)
-            amounts = np.maximum(inverse @ demand, 0)
+            inverse = inverted(basis)
+            amounts = np.maximum((inverse * demand).sum(axis=1), 0)
     return basis, np.maximum(amounts, 0)
 
 
