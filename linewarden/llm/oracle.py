@@ -85,4 +85,23 @@ ORACLES = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM digests JOIN keepers USING (text_sha256)
     """,
+    "op12_two_bloom_lines": r"""
+        WITH split AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), line AS (
+            SELECT doc_id, number, lines[number] AS line,
+                   translate(regexp_replace(lines[number],
+                                            '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS number FROM split)
+        ), repeated AS (
+            SELECT key FROM line WHERE length(key) >= 1
+            GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+        )
+        SELECT doc_id, count(*) AS n_lines,
+               count(*) FILTER (repeated.key IS NOT NULL) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY number)
+                               FILTER (repeated.key IS NULL), '')) AS kept_sha256
+        FROM line LEFT JOIN repeated USING (key) GROUP BY doc_id
+    """,
 }

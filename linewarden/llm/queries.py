@@ -13,6 +13,7 @@ from linewarden.llm.decontamination import contamination_report, find_contaminat
 from linewarden.llm.encoding import public_path
 from linewarden.llm.exact_dedup import exact_duplicates
 from linewarden.llm.language_model import train_and_score
+from linewarden.llm.line_dedup import drop_repeated_lines
 from linewarden.llm.sharding import shard_by_bytes
 from linewarden.llm.simhash import near_duplicates
 from linewarden.llm.substring_dedup import remove_repeated_windows
@@ -115,3 +116,8 @@ def op4_counterfactual_toxicity(spark, sf_dir):
 @query
 def op3_class_maxent_lm(spark, sf_dir):
     return train_and_score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_two_bloom_lines(spark, sf_dir):
+    return drop_repeated_lines(table(spark, sf_dir, "documents"), min_documents=10).drop("dropped")
