@@ -184,11 +184,11 @@ def _suspected_lines(shortest: int):
 def _drop(shortest: int, keep_first: bool):
     def run(key: tuple, texts: pa.Table, confirmed: pa.Table) -> pa.Table:
         gone: dict[int, dict[bytes, tuple]] = {}
-        for hashed, digest, row, line in zip(
+        for hashed, digest, first in zip(
             confirmed.column("hash").to_numpy().view(np.uint64).tolist(),
-            *(confirmed.column(n).to_pylist() for n in ("digest", "row", "line")),
+            *(confirmed.column(n).to_pylist() for n in ("digest", "first")),
         ):
-            gone.setdefault(hashed, {})[digest] = (row, line)
+            gone.setdefault(hashed, {})[digest] = (first["row"], first["line"])
 
         def goes(line: bytes, row: int, number: int) -> bool:
             digests = gone.get(_hash(line)) if line else None
@@ -259,21 +259,22 @@ def drop_repeated_lines(
     chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)))
     hashes = chunked.groupBy("chunk").applyInArrow(_chunk_hashes(shortest), HASH_SCHEMA)
     suspects = hashes.repartition(shards, "hash").mapInArrow(_suspects, SUSPECT_SCHEMA)
-    # Both readings of the lines share one shuffle by digest.
+    # Both readings of the lines share one shuffle by digest, as both take all its columns.
     lines = (
         chunked.groupBy("chunk")
         .cogroup(suspects.groupBy("chunk"))
         .applyInArrow(_suspected_lines(shortest), LINE_SCHEMA)
         .repartition(shards, "digest")
     )
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line")
+    no_id = F.col("doc_id").isNull().alias("no_id")
+    place = F.struct(no_id, "doc_id", "row", "line", "hash", "chunk")
     repeated = (
         lines.groupBy("digest")
         .agg(F.sum("documents").alias("documents"), F.min(place).alias("first"))
         .filter(F.col("documents") >= min_documents)
-        .select("digest", F.col("first.row").alias("row"), F.col("first.line").alias("line"))
+        .select("digest", "first")
     )
-    confirmed = lines.select("digest", "hash", "chunk").join(repeated.hint("merge"), "digest")
+    confirmed = lines.join(repeated.hint("merge"), "digest")
     return (
         chunked.groupBy("chunk")
         .cogroup(confirmed.groupBy("chunk"))
