@@ -104,4 +104,45 @@ ORACLES = {
                                FILTER (repeated.key IS NULL), '')) AS kept_sha256
         FROM line LEFT JOIN repeated USING (key) GROUP BY doc_id
     """,
+    "op13_quotient_filters": r"""
+        WITH piece AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'),
+                                     lambda w: w <> '') AS words
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                       'abcdefghijklmnopqrstuvwxyz'),
+                             '[.,;:!?\x0A-\x0D]')) AS piece
+                  FROM documents)
+        ), counts AS (
+            SELECT lang, size, words[start:start + size - 1] AS phrase, count(*) AS f
+            FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS start
+                  FROM piece, (VALUES (1), (2), (3)) AS sizes(size))
+            GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang
+        ), candidate AS (
+            SELECT lang, size, phrase, f AS a FROM counts WHERE size >= 2 AND f >= 10
+        ), scored AS (
+            SELECT c.lang, c.size, c.phrase, c.a, k, l.f AS l, r.f AS r,
+                   ((1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM candidate) c
+            JOIN counts l ON l.lang = c.lang AND l.phrase = c.phrase[1:k]
+            JOIN counts r ON r.lang = c.lang AND r.phrase = c.phrase[k + 1:c.size]
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+        ), covered AS (
+            SELECT lang, part, max(a) AS a
+            FROM (SELECT lang, unnest([phrase[1:2], phrase[2:3]]) AS part, a
+                  FROM candidate WHERE size = 3)
+            GROUP BY lang, part
+        ), ranked AS (
+            SELECT s.lang, array_to_string(s.phrase, ' ') AS phrase, s.a, s.l, s.r, s.score
+            FROM scored s LEFT JOIN covered c ON c.lang = s.lang AND c.part = s.phrase
+            WHERE c.a IS NULL OR 100 * c.a < 50 * s.a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang
+                                        ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM ranked JOIN totals USING (lang)
+        QUALIFY rank <= 2000
+    """,
 }

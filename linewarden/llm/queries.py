@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linewarden.llm.binary_output import pack_ids
+from linewarden.llm.collocations import collocations
 from linewarden.llm.cutting_stock import pack_documents
 from linewarden.llm.decontamination import contamination_report, find_contamination
 from linewarden.llm.encoding import public_path
@@ -121,3 +122,8 @@ def op3_class_maxent_lm(spark, sf_dir):
 @query
 def op12_two_bloom_lines(spark, sf_dir):
     return drop_repeated_lines(table(spark, sf_dir, "documents"), min_documents=10).drop("dropped")
+
+
+@query
+def op13_quotient_filters(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
