@@ -20,6 +20,7 @@ from linewarden.llm.simhash import near_duplicates
 from linewarden.llm.substring_dedup import remove_repeated_windows
 from linewarden.llm.token_counts import context_limits, length_histogram
 from linewarden.llm.toxicity import score_documents, train
+from linewarden.llm.whitening import whiten
 from linewarden.llm.words import utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +128,8 @@ def op12_two_bloom_lines(spark, sf_dir):
 @query
 def op13_quotient_filters(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_jacobi_davidson(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"), components=16)
