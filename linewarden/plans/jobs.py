@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linewarden import model
-from linewarden.operators import generate
+from linewarden.operators import generate, linking
 from linewarden.operators.clean import clean_outages
 from linewarden.operators.extract import build_extract
 from linewarden.operators.logs import parse_logs
@@ -70,16 +71,35 @@ class NetworkRun:
     rows_added: dict[str, int]
 
 
-def network_rows(spark: SparkSession, sizes: NetworkSizes, seed: int = 7) -> dict[str, DataFrame]:
-    """Rows for every table of the model, parents before children."""
-    incident_ids = generate.ids(spark, sizes.incidents)
+# The tables whose rows others refer to, besides the lookups.
+PARENTS = ("tower", "engineer", "outage_incident")
+
+
+def network_rows(
+    spark: SparkSession,
+    sizes: NetworkSizes,
+    seed: int = 7,
+    parents: dict[str, int] | None = None,
+) -> dict[str, DataFrame]:
+    """Rows for every table of the model, parents before children.
+
+    ``parents`` gives the row counts of parent tables, where they are not those of ``sizes``.
+    References are places among the parents, counted from 1.
+    """
+    counts = dict(zip(PARENTS, (sizes.towers, sizes.engineers, sizes.incidents)))
+    counts |= parents or {}
+    incident_ids = generate.ids(spark, counts["outage_incident"])
     rows = {name: model.lookup(spark, name) for name in model.LOOKUPS}
     rows["tower"] = generate.towers(generate.ids(spark, sizes.towers), seed)
     rows["engineer"] = generate.engineers(generate.ids(spark, sizes.engineers), seed)
-    rows["outage_incident"] = generate.incidents(incident_ids, sizes.towers, seed)
-    rows["incident_assignment"] = generate.assignments(incident_ids, sizes.engineers, seed)
-    rows["resolution_log"] = generate.resolutions(incident_ids, sizes.engineers, seed)
-    rows["extract_link"] = generate.links(generate.ids(spark, sizes.outages), sizes.incidents)
+    rows["outage_incident"] = generate.incidents(
+        generate.ids(spark, sizes.incidents), counts["tower"], seed
+    )
+    rows["incident_assignment"] = generate.assignments(incident_ids, counts["engineer"], seed)
+    rows["resolution_log"] = generate.resolutions(incident_ids, counts["engineer"], seed)
+    rows["extract_link"] = generate.links(
+        generate.ids(spark, sizes.outages), counts["outage_incident"]
+    )
     return rows
 
 
@@ -90,17 +110,31 @@ def seed_network(
     sizes: NetworkSizes = NetworkSizes(),
     replace: bool = False,
 ) -> NetworkRun:
-    """Create the model's tables, insert what is not there yet and register the views."""
+    """Create the model's tables, insert what is not there yet and register the views.
+
+    Children refer to the rows that are stored, also to those of earlier runs or other
+    sources, whatever gaps their ids have.
+    """
     create_database(spark, database, location, replace)
     create_tables(spark, database)
-    offered = network_rows(spark, sizes)
-    added = {}
+    added, offered = {}, {}
     stored: dict[str, DataFrame] = {}
-    for name, rows in offered.items():
+    counts: dict[str, int] = {}
+    sparse: dict[str, linking.Keys] = {}
+    for name in network_rows(spark, sizes):
         table = model.TABLES[name]
         target = f"{database}.{name}"
+        rows = network_rows(spark, sizes, parents=counts)[name]
+        for column, (parent, _) in table.references.items():
+            if parent in sparse:
+                rows = linking.key_at(rows, F.col(column), sparse[parent], column)
+        offered[name] = rows
         added[name] = append_or_ignore(spark, table, target, rows, [table.primary_key], stored)
         stored[name] = spark.table(target)
+        if name in PARENTS:
+            counts[name] = stored[name].count()
+            if not linking.are_dense(stored[name], table.primary_key):
+                sparse[name] = linking.keys_of(stored[name], table.primary_key)
     views = network_views(stored)
     register_views(views)
     return NetworkRun(stored, views, network_reports(stored), row_counts(offered), added)
