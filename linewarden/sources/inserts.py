@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linewarden import model
 from linewarden.operators import quality
@@ -20,6 +21,9 @@ from linewarden.sources.catalog import with_defaults
 
 Key = tuple[str, ...]
 
+# Rows of a clash component that one task settles row by row.
+MOST_IN_TASK = 1000
+
 
 class MissingParent(ValueError):
     """Rows refer to parents that do not exist."""
@@ -128,38 +132,139 @@ def _leading(undecided: DataFrame, keys: list[Key]) -> DataFrame:
     )
 
 
-def _first_per_keys(rows: DataFrame, keys: list[Key], arrival: list[str]) -> DataFrame:
+def _judged(undecided: DataFrame, keys: list[Key]) -> DataFrame:
+    """One round: the rows that come first under all their keys have won, those that clash
+    with them have lost, the others stay open."""
+    won = _leading(undecided, keys).select("turn", F.lit(True).alias("won"))
+    judged = undecided.join(won, "turn", "left")
+    winners = undecided.join(won, "turn", "left_semi")
+    lost = F.lit(False)
+    for number, key in enumerate(keys):
+        taken = _complete(winners, key).select(*key, F.lit(True).alias(f"lost_{number}"))
+        judged = judged.join(taken, list(key), "left")
+        lost = lost | F.coalesce(F.col(f"lost_{number}"), F.lit(False))
+    state = F.when(F.col("won"), "won").when(lost, "lost").otherwise("open")
+    return materialize(
+        judged.select(*undecided.columns, state.alias("state")), "insert_round"
+    )
+
+
+def _clashes(rows: DataFrame, keys: list[Key]) -> DataFrame:
+    """Links ``high``, ``low`` from each row to the first one under a key they share."""
+    links = []
+    for key in keys:
+        held = _complete(rows, key)
+        first = held.groupBy(*key).agg(F.min("turn").alias("low"))
+        links.append(
+            held.join(first, list(key))
+            .filter(F.col("turn") > F.col("low"))
+            .select(F.col("turn").alias("high"), "low")
+        )
+    return reduce(DataFrame.unionByName, links).distinct()
+
+
+def _contracted(links: DataFrame) -> DataFrame:
+    """The links after a large-star and a small-star step, which keep what is connected.
+
+    First the higher neighbours of a row, then the lower ones and the row itself, are linked
+    to the least of them. Only minima are grouped, so a row with many links is no large group.
+    """
+    both = links.unionByName(links.select(F.col("low").alias("high"), F.col("high").alias("low")))
+    least = both.groupBy("high").agg(F.min("low").alias("least"))
+    least = least.select(F.col("high").alias("low"), F.least("least", "high").alias("least"))
+    large = links.join(least, "low").select("high", F.col("least").alias("low")).distinct()
+    root = large.groupBy("high").agg(F.min("low").alias("root"))
+    lower = (
+        large.join(root, "high")
+        .filter(F.col("low") > F.col("root"))
+        .select(F.col("low").alias("high"), F.col("root").alias("low"))
+    )
+    return lower.unionByName(root.select("high", F.col("root").alias("low"))).distinct()
+
+
+def components(rows: DataFrame, keys: list[Key]) -> DataFrame:
+    """``turn`` and ``component`` (the least turn) of rows that are linked by shared keys.
+
+    The number of steps grows with the logarithm of the longest chain. Each is written once,
+    and what it writes is counted by the same pass.
+    """
+    links, before = _clashes(rows, keys), None
+    while True:
+        seen = Observation()
+        counts = [F.count("*").alias("links"), F.bit_xor(F.xxhash64("high", "low")).alias("sum")]
+        links = materialize(links.observe(seen, *counts), "insert_links")
+        if seen.get == before:
+            break
+        before = seen.get
+        links = _contracted(links)
+    found = links.select(F.col("high").alias("turn"), F.col("low").alias("component"))
+    joined = rows.select("turn").join(found, "turn", "left")
+    return joined.select("turn", F.coalesce("component", "turn").alias("component"))
+
+
+def _one_by_one(members: DataFrame, keys: list[Key]) -> DataFrame:
+    """Turns that are accepted when each component's rows are inserted one after the other.
+
+    A component is one row of a task: the fold keeps the keys that are taken so far.
+    """
+    key_names = [f"key_{number}" for number in range(len(keys))]
+    values = [F.when(_has(key), F.struct(*key)).alias(n) for n, key in zip(key_names, keys)]
+    entries = members.select("component", F.struct("turn", *values).alias("entry"))
+    ordered = entries.groupBy("component").agg(F.array_sort(F.collect_list("entry")).alias("all"))
+    types = entries.schema["entry"].dataType
+    nothing = F.struct(
+        *[F.array().cast(T.ArrayType(types[n].dataType)).alias(n) for n in key_names],
+        F.array().cast("array<bigint>").alias("kept"),
+    )
+
+    def step(taken: Column, row: Column) -> Column:
+        clash = reduce(
+            lambda a, b: a | b,
+            [
+                F.coalesce(F.array_contains(taken[n], row[n]), F.lit(False))
+                for n in key_names
+            ],
+        )
+        grown = [
+            F.when(row[n].isNull(), taken[n])
+            .otherwise(F.concat(taken[n], F.array(row[n])))
+            .alias(n)
+            for n in key_names
+        ]
+        kept = F.concat(taken["kept"], F.array(row["turn"])).alias("kept")
+        return F.when(clash, taken).otherwise(F.struct(*grown, kept))
+
+    kept = F.aggregate("all", nothing, step, lambda taken: taken["kept"])
+    return ordered.select(F.explode(kept).alias("turn"))
+
+
+def _first_per_keys(
+    rows: DataFrame, keys: list[Key], arrival: list[str], most: int = MOST_IN_TASK
+) -> DataFrame:
     """The rows a one-by-one insert under several unique keys would keep.
 
-    Each round accepts every undecided row that comes first under all its keys, and rejects
-    the rows that clash with an accepted one. A row that lost only to a row that was itself
-    rejected gets its chance in the next round. The first undecided row is always accepted,
-    so the rounds end; rows without clashes are settled in the first. The rounds carry keys
-    and turns only, not the rows, and each writes its verdicts once. Their number follows
-    the longest chain in which every row clashes with the one before it: half as many rounds
-    as the chain has rows. Such a batch is better inserted under one key at a time.
+    A first round accepts every row that comes first under all its keys and rejects the rows
+    that clash with an accepted one; a row that lost only to a row that was itself rejected
+    stays open. Open rows that share keys, directly or through others, form components. One
+    of at most ``most`` rows is settled by a task, row after row. The rows of larger ones go
+    through further rounds, half as many as their longest chain has rows. All this carries keys
+    and turns only, not the rows, and each step is written once.
     """
     numbered = _numbered(rows, keys, arrival)
     key_columns = list(dict.fromkeys(c for key in keys for c in key))
-    undecided = numbered.select("turn", "claims", *key_columns)
-    accepted = []
-    while True:
-        won = _leading(undecided, keys).select("turn", F.lit(True).alias("won"))
-        judged = undecided.join(won, "turn", "left")
-        winners = undecided.join(won, "turn", "left_semi")
-        lost = F.lit(False)
-        for number, key in enumerate(keys):
-            taken = _complete(winners, key).select(*key, F.lit(True).alias(f"lost_{number}"))
-            judged = judged.join(taken, list(key), "left")
-            lost = lost | F.coalesce(F.col(f"lost_{number}"), F.lit(False))
-        state = F.when(F.col("won"), "won").when(lost, "lost").otherwise("open")
-        judged = materialize(
-            judged.select("turn", "claims", *key_columns, state.alias("state")), "insert_round"
-        )
-        accepted.append(judged.filter(F.col("state") == "won").select("turn"))
-        undecided = judged.filter(F.col("state") == "open").drop("state")
-        if undecided.isEmpty():
-            break
+    judged = _judged(numbered.select("turn", "claims", *key_columns), keys)
+    accepted = [judged.filter(F.col("state") == "won").select("turn")]
+    undecided = judged.filter(F.col("state") == "open").drop("state")
+    if not undecided.isEmpty():
+        members = undecided.join(components(undecided, keys), "turn")
+        large = members.groupBy("component").count().filter(F.col("count") > most)
+        large = materialize(large.select("component"), "insert_large")
+        accepted.append(_one_by_one(members.join(large, "component", "left_anti"), keys))
+        undecided = members.join(large, "component", "left_semi").drop("component")
+        while not undecided.isEmpty():
+            judged = _judged(undecided, keys)
+            accepted.append(judged.filter(F.col("state") == "won").select("turn"))
+            undecided = judged.filter(F.col("state") == "open").drop("state")
     kept = numbered.join(reduce(DataFrame.unionByName, accepted), "turn", "left_semi")
     return kept.select(*rows.columns)
 
