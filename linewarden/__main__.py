@@ -38,7 +38,7 @@ def extract(spark: SparkSession, options: argparse.Namespace) -> None:
         logs = readers.read_parquet(spark, options.logs)
     else:
         logs = generate.incident_logs(clean_outages(raw).select("outage_id"))
-    run = run_extract(raw, logs, options.out, options.database)
+    run = run_extract(raw, logs, options.out, options.database, options.publish)
     print(f"outages from the {source} source")
     run.metrics.show(truncate=False)
     for name, report in run.reports.items():
@@ -70,6 +70,7 @@ def main(arguments: list[str] | None = None) -> None:
     command.add_argument("--logs", help="parquet folder with outage_id and log_text")
     command.add_argument("--out", required=True, help="folder of the parquet extract")
     command.add_argument("--database", help="database of the two tables")
+    command.add_argument("--publish", help="folder where both are published together")
     command.set_defaults(run=extract)
 
     command = commands.add_parser("network", help=network.__doc__)

@@ -1,12 +1,15 @@
 """Counts a load reports about itself.
 
-They are taken by aggregation, not by accumulators: a stage that is re-run after a
-lost executor would add to an accumulator twice.
+Counts of any DataFrame are taken by aggregation. ``Counted`` takes them in the pass that
+writes the rows, so nothing is read twice. Spark adds up such counts per task. In the stage
+that writes, it takes the first finished run of each task only, so a task that is run again,
+after a lost executor or by speculation, is counted once. A shuffle stage that is run again
+would count again: put the count behind the last shuffle before the write, or write first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linewarden.functions.numbers import count_if
@@ -26,17 +29,49 @@ def _rows(df: DataFrame, step: str, counted: dict[str, Column]) -> DataFrame:
     )
 
 
+class Counted:
+    """Counts by step and name, taken while the rows of the step are written."""
+
+    def __init__(self) -> None:
+        self._steps: dict[str, tuple[Observation, dict[str, int]]] = {}
+
+    def on(self, df: DataFrame, step: str, counted: dict[str, Column], **known: int) -> DataFrame:
+        """The same rows; their counts are there once they are written. ``known`` adds numbers
+        that need no rows."""
+        seen = Observation()
+        self._steps[step] = seen, known
+        totals = [F.coalesce(total, F.lit(0)).alias(name) for name, total in counted.items()]
+        return df.observe(seen, *totals)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """All counts as ``step, metric, value`` rows, after the writes."""
+        values = [
+            (step, name, int(value))
+            for step, (seen, known) in self._steps.items()
+            for name, value in (seen.get | known).items()
+        ]
+        return spark.createDataFrame(values, "step string, metric string, value bigint")
+
+
+def raw_counts() -> dict[str, Column]:
+    """Records loaded, and records the cleaning drops for missing keys."""
+    return {"rows_loaded": F.count("*"), "rows_dropped": count_if(~has_keys())}
+
+
+def log_counts() -> dict[str, Column]:
+    """Logs read, and logs that speak of an escalation."""
+    flagged = count_if(mentions_escalation(F.col("log_text")))
+    return {"rows_loaded": F.count("*"), "escalations_flagged": flagged}
+
+
 def load_metrics(raw: DataFrame) -> DataFrame:
     """Records loaded, and records the cleaning drops for missing keys."""
-    return _rows(
-        raw, "outages", {"rows_loaded": F.count("*"), "rows_dropped": count_if(~has_keys())}
-    )
+    return _rows(raw, "outages", raw_counts())
 
 
 def log_metrics(logs: DataFrame) -> DataFrame:
     """Logs read, and logs that speak of an escalation."""
-    flagged = count_if(mentions_escalation(F.col("log_text")))
-    return _rows(logs, "logs", {"rows_loaded": F.count("*"), "escalations_flagged": flagged})
+    return _rows(logs, "logs", log_counts())
 
 
 def extract_shape(extract: DataFrame) -> DataFrame:

@@ -63,6 +63,20 @@ def key_metrics(extract: DataFrame) -> DataFrame:
     )
 
 
+def key_metrics_of_groups(groups: DataFrame) -> DataFrame:
+    """The key metrics from the groups of ``outage_reports.report_groups``."""
+    is_province = F.col("grouped") == "province"
+    rank = F.when(is_province, F.struct(-F.col("outages"), F.col("province")))
+    return groups.agg(
+        F.sum(F.when(is_province, F.col("outages"))).alias("total_outages"),
+        F.sum(F.when(is_province, F.col("customers"))).alias("total_customers"),
+        F.avg(F.when(F.col("grouped") == "outage_type", F.col("mean_minutes"))).alias(
+            "avg_duration_min"
+        ),
+        F.min_by("province", rank).alias("worst_province"),
+    )
+
+
 def metric_cards(metrics: DataFrame) -> DataFrame:
     """The key metrics as four label and text rows."""
     cards = [

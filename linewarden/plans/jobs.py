@@ -12,13 +12,19 @@ from linewarden.operators import generate, linking
 from linewarden.operators.clean import clean_outages
 from linewarden.operators.extract import build_extract
 from linewarden.operators.logs import parse_logs
-from linewarden.operators.metrics import extract_metrics, row_counts
+from linewarden.operators.metrics import Counted, log_counts, raw_counts, row_counts
 from linewarden.plans import dashboard
 from linewarden.plans.network_reports import network_reports, network_views
-from linewarden.plans.outage_reports import run_outage_reports
+from linewarden.plans.outage_reports import (
+    report_groups,
+    reports_of_groups,
+    top10_longest_outages,
+)
+from linewarden.session import materialize
 from linewarden.sources.catalog import create_database, create_tables, register_views
 from linewarden.sources.inserts import append_or_ignore
-from linewarden.sources.writers import persist_extract
+from linewarden.sources.publish import publish
+from linewarden.sources.writers import replace_table
 
 
 @dataclass(frozen=True)
@@ -33,23 +39,46 @@ class ExtractRun:
 
 
 def run_extract(
-    raw: DataFrame, logs: DataFrame, path: str, database: str | None = None
+    raw: DataFrame,
+    logs: DataFrame,
+    path: str,
+    database: str | None = None,
+    publish_to: str | None = None,
 ) -> ExtractRun:
-    """Clean, parse, join and write once; reports and panels read what was written."""
-    extract = build_extract(clean_outages(raw), parse_logs(logs))
-    tables = persist_extract(extract, logs, path, database)
-    written = tables["extract"]
-    reports = run_outage_reports(written)
+    """Clean, parse, join and write once; reports and panels read what was written.
+
+    Raw records and logs are read once each, by the passes that write the cleaned records and
+    the table ``incident_logs``; these passes take the counts as well. The grouped reports
+    and the key metrics come from one pass over the written extract. ``publish_to`` names a
+    folder where extract and logs are published together (``sources.publish``).
+    """
+    spark, counted = raw.sparkSession, Counted()
+    prefix = f"{database}." if database else ""
+    records = counted.on(raw, "outages", raw_counts())
+    cleaned = materialize(clean_outages(records), "cleaned")
+    texts = counted.on(logs, "logs", log_counts())
+    stored_logs = replace_table(texts, f"{prefix}incident_logs")
+    extract = build_extract(cleaned, parse_logs(stored_logs))
+    rows = {"rows": F.count("*")}
+    whole = counted.on(extract, "extract", rows, columns=len(extract.columns))
+    events = replace_table(whole, f"{prefix}outage_events", path)
+    written = spark.read.parquet(path)
+    tables = {"extract": written, "outage_events": events, "incident_logs": stored_logs}
+    if publish_to:
+        pair = {"outage_events": written, "incident_logs": stored_logs}
+        tables |= {f"published_{n}": df for n, df in publish(spark, publish_to, pair).items()}
+
+    groups = materialize(report_groups(written), "report_groups")
+    reports = reports_of_groups(groups)
+    reports["top10_longest_outages"] = top10_longest_outages(written)
     panels = {
         "panel_province": dashboard.panel_province(reports["outages_by_province"]),
         "panel_type_duration": dashboard.panel_type_duration(reports["worst_outage_types"]),
         "panel_escalation": dashboard.panel_escalation(reports["escalation_rate_by_carrier"]),
         "panel_trend": dashboard.panel_trend(reports["monthly_trend"]),
-        "key_metrics": dashboard.key_metrics(written),
+        "key_metrics": dashboard.key_metrics_of_groups(groups),
     }
-    return ExtractRun(
-        tables, reports, panels, extract_metrics(raw, logs, written), row_counts(reports)
-    )
+    return ExtractRun(tables, reports, panels, counted.rows(spark), row_counts(reports))
 
 
 @dataclass(frozen=True)

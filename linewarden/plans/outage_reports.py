@@ -122,3 +122,61 @@ OUTAGE_REPORTS = {
 def run_outage_reports(extract: DataFrame) -> dict[str, DataFrame]:
     """Every report by name; each is lazy until used."""
     return {name: report(extract) for name, report in OUTAGE_REPORTS.items()}
+
+
+def report_groups(extract: DataFrame) -> DataFrame:
+    """What the four grouped reports and the key metrics need, from one pass.
+
+    One row per province, cause, carrier and month; ``grouped`` names the grouping. There are
+    only as many rows as groups, so write them down and derive the reports from them.
+    """
+    names = ["province", "outage_type", "carrier", "year", "month"]
+    sets = [["province"], ["outage_type"], ["carrier"], ["year", "month"]]
+    grouped = F.lit("month")
+    for name in names[2::-1]:
+        grouped = F.when(F.grouping(name) == 0, F.lit(name)).otherwise(grouped)
+    return weighed(extract).groupingSets(sets, *names).agg(
+        grouped.alias("grouped"),
+        F.sum("weight").alias("outages"),
+        F.sum("escalations").alias("escalations"),
+        weighted_sum("customers_affected").alias("customers"),
+        F.round(weighted_mean("duration_min"), 1).alias("mean_minutes"),
+        F.round(weighted_mean("customers_affected"), 0).alias("mean_customers"),
+    )
+
+
+def reports_of_groups(groups: DataFrame) -> dict[str, DataFrame]:
+    """The grouped reports, with the rows and order of those over the extract."""
+
+    def of(name: str) -> DataFrame:
+        return groups.filter(F.col("grouped") == name)
+
+    return {
+        "outages_by_province": of("province")
+        .select(
+            "province",
+            F.col("outages").alias("total_outages"),
+            F.col("mean_minutes").alias("avg_duration_min"),
+            F.col("customers").alias("total_customers_hit"),
+        )
+        .orderBy(F.desc("total_outages"), F.asc("province")),
+        "worst_outage_types": of("outage_type")
+        .select(
+            "outage_type",
+            F.col("outages").alias("incidents"),
+            F.col("mean_minutes").alias("avg_duration_min"),
+            F.col("mean_customers").alias("avg_customers"),
+        )
+        .orderBy(F.desc_nulls_last("avg_duration_min"), F.asc("outage_type")),
+        "escalation_rate_by_carrier": of("carrier")
+        .select(
+            "carrier",
+            F.col("outages").alias("total"),
+            "escalations",
+            percent(F.col("escalations"), F.col("outages")).alias("escalation_pct"),
+        )
+        .orderBy(F.desc_nulls_last("escalation_pct"), F.asc("carrier")),
+        "monthly_trend": of("month")
+        .select("year", "month", "outages", F.col("customers").alias("customers_affected"))
+        .orderBy(F.asc_nulls_last("year"), F.asc_nulls_last("month")),
+    }

@@ -6,7 +6,13 @@ from pyspark.sql import functions as F
 
 from linewarden import lens
 from linewarden.operators import linking
-from linewarden.plans.registry import query
+from linewarden.operators.quality import union_all
+from linewarden.plans import dashboard, outage_reports
+from linewarden.plans.jobs import run_extract
+from linewarden.plans.registry import query, weighed
+from linewarden.session import materialize, scratch_path
+from linewarden.sources.catalog import create_database
+from linewarden.sources.publish import published
 
 
 @query
@@ -33,3 +39,67 @@ def numbered_codes(spark, sf_dir):
     return linking.numbered_codes(events, ["ts", "event_id"], "EVT-", "event_code").select(
         "event_id", "event_code"
     )
+
+
+def _run(spark, sf_dir):
+    """An extract run into a database and folders of its own; the folder it publishes to."""
+    folder = scratch_path(spark, "run")
+    database = "linewarden_" + folder.split("/")[-2]
+    create_database(spark, database, f"{folder}/database")
+    raw, logs = lens.outage_raw(spark, sf_dir), lens.incident_logs(spark, sf_dir)
+    publish_to = f"{folder}/published"
+    return run_extract(raw, logs, f"{folder}/extract", database, publish_to), publish_to
+
+
+@query
+def run_metrics(spark, sf_dir):
+    """The counts of an extract run, taken by the passes that write."""
+    return _run(spark, sf_dir)[0].metrics
+
+
+@query
+def published_logs(spark, sf_dir):
+    """The logs as they were published together with the extract."""
+    _, folder = _run(spark, sf_dir)
+    return published(spark, folder)["incident_logs"]
+
+
+@query
+def published_events(spark, sf_dir):
+    """The extract as it was published together with the logs."""
+    _, folder = _run(spark, sf_dir)
+    return published(spark, folder)["outage_events"]
+
+
+@query
+def reports_one_scan(spark, sf_dir):
+    """The four grouped reports and the key metrics from one pass, row by row."""
+    groups = materialize(outage_reports.report_groups(weighed(spark, sf_dir)), "report_groups")
+    reports = outage_reports.reports_of_groups(groups)
+    reports["key_metrics"] = dashboard.key_metrics_of_groups(groups)
+    fields = {
+        "outages_by_province": ("province", "total_outages", "avg_duration_min",
+                                "total_customers_hit"),
+        "worst_outage_types": ("outage_type", "incidents", "avg_duration_min", "avg_customers"),
+        "escalation_rate_by_carrier": ("carrier", "total", "escalation_pct", "escalations"),
+        "monthly_trend": (F.concat_ws("-", "year", "month"), "outages", F.lit(None),
+                          "customers_affected"),
+        "key_metrics": ("worst_province", "total_outages", "avg_duration_min",
+                        "total_customers"),
+    }
+    return union_all(
+        [
+            reports[name].select(
+                F.lit(name).alias("report"),
+                _column(key).alias("key"),
+                _column(rows).cast("bigint").alias("outages"),
+                _column(mean).cast("double").alias("mean"),
+                _column(total).cast("double").alias("total"),
+            )
+            for name, (key, rows, mean, total) in fields.items()
+        ]
+    )
+
+
+def _column(value):
+    return F.col(value) if isinstance(value, str) else value

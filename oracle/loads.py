@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.generators import Sql
-from oracle.queries import oracle
+from oracle.queries import EXTRACT_COLUMNS, METRICS_SQL, ORACLES, oracle
 from oracle.tables import code
 
 oracle(
@@ -40,3 +40,32 @@ oracle(
     FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS place FROM events)
     """,
 )
+
+ORACLES["run_metrics"] = ORACLES["extract_metrics"]
+oracle("published_logs", ("incident_logs",), "SELECT * FROM incident_logs")
+oracle("published_events", ("extract_",), f"SELECT {EXTRACT_COLUMNS} FROM extract_")
+oracle(
+    "reports_one_scan",
+    ("extract_",),
+    f"""
+    SELECT 'outages_by_province' AS report, province AS key, count(*) AS outages,
+           round(avg(duration_min), 1) AS mean, cast(sum(customers_affected) AS double) AS total
+    FROM extract_ GROUP BY province
+    UNION ALL
+    SELECT 'worst_outage_types', outage_type, count(*), round(avg(duration_min), 1),
+           round(avg(customers_affected), 0)
+    FROM extract_ GROUP BY outage_type
+    UNION ALL
+    SELECT 'escalation_rate_by_carrier', carrier, count(*),
+           round(100.0::double * count(*) FILTER (is_escalation) / count(*), 1),
+           cast(sum(cast(is_escalation AS integer)) AS double)
+    FROM extract_ GROUP BY carrier
+    UNION ALL
+    SELECT 'monthly_trend', concat_ws('-', year, month), count(*), NULL,
+           cast(sum(customers_affected) AS double)
+    FROM extract_ GROUP BY year, month
+    UNION ALL
+    SELECT 'key_metrics', worst_province, total_outages, avg_duration_min, total_customers
+    FROM ({METRICS_SQL})
+    """,
+)

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from linewarden import lens, model, session
 from linewarden.operators import generate
 from linewarden.operators.metrics import row_counts
+from linewarden.plans import dashboard
 from linewarden.plans.jobs import NetworkSizes, run_extract, seed_network
+from linewarden.plans.outage_reports import run_outage_reports
 from linewarden.sources import catalog, readers, writers
 
 
@@ -178,7 +180,12 @@ def test_extract_job(spark, sf_dir, tmp_path):
     assert shape[("extract", "rows")] == extract.count()
     for panel in run.panels.values():
         assert panel.count() > 0
-    plan = run.reports["outages_by_province"]._jdf.queryExecution().executedPlan().toString()
+    separate = run_outage_reports(extract)
+    for name, report in separate.items():
+        assert run.reports[name].columns == report.columns
+        assert run.reports[name].collect() == report.collect(), name
+    assert run.panels["key_metrics"].collect() == dashboard.key_metrics(extract).collect()
+    plan = separate["outages_by_province"]._jdf.queryExecution().executedPlan().toString()
     assert (
         "ReadSchema: struct<province:string,duration_min:bigint,customers_affected:bigint>" in plan
     )
