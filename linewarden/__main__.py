@@ -16,6 +16,7 @@ from linewarden.plans.jobs import NetworkSizes, run_extract, seed_network
 from linewarden.plans.outage_reports import INPUT_COLUMNS
 from linewarden.session import scratch_scope
 from linewarden.sources import readers
+from linewarden.sources.typed import read_csv_typed
 
 
 def extract(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -30,12 +31,14 @@ def extract(spark: SparkSession, options: argparse.Namespace) -> None:
         raw, source = generated(), "generated"
     elif options.or_generate:
         raw, source, _ = readers.load_or_else(
-            lambda: readers.read_csv(spark, options.outages), generated, required=INPUT_COLUMNS
+            lambda: read_csv_typed(spark, options.outages).rows, generated, required=INPUT_COLUMNS
         )
     else:
-        raw, source = readers.read_csv(spark, options.outages), "primary"
+        read = read_csv_typed(spark, options.outages)
+        raw, source = read.rows, "primary"
+        print(f"{read.rejects.count()} records with a value that does not fit")
     if options.logs:
-        logs = readers.read_parquet(spark, options.logs)
+        logs = readers.read_checked_parquet(spark, options.logs)
     else:
         logs = generate.incident_logs(clean_outages(raw).select("outage_id"))
     run = run_extract(raw, logs, options.out, options.database, options.publish)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ISO = "ISO"
+
 
 # The date formats read besides ISO ones, in the order they are tried. Where
 # a text fits several, day before month loses to month before day.
@@ -28,15 +32,58 @@ def parse_timestamp(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Co
     ISO-like texts come first, then ``formats`` in their order; the first that fits wins.
     A text with an offset is converted to UTC, one without is taken as it stands.
     """
+    others = [read_as(text, f) for f in formats]
+    return F.when(_has_offset(text), read_as(text, ISO)).otherwise(
+        F.coalesce(read_as(text, ISO), *others)
+    )
+
+
+def _has_offset(text: Column) -> Column:
+    return F.btrim(text.cast("string")).rlike(_OFFSET)
+
+
+def read_as(text: Column, date_format: str) -> Column:
+    """Timestamp of a text in one format, null when it does not fit; ``ISO`` for ISO-like
+    ones."""
     text = F.btrim(text.cast("string"))
-    plain = text.try_cast("timestamp_ntz")
+    if date_format != ISO:
+        return F.try_to_timestamp(text, F.lit(date_format)).cast("timestamp_ntz")
     utc = F.to_utc_timestamp(text.try_cast("timestamp"), F.current_timezone())
-    others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.when(text.rlike(_OFFSET), utc.cast("timestamp_ntz")).otherwise(
-        F.coalesce(plain, *others)
+        text.try_cast("timestamp_ntz")
     )
 
 
+class ColumnFormat(NamedTuple):
+    """The one format a column is read in, and how many of its texts that leaves unread."""
+
+    name: str
+    unread: int
+
+
+def format_counts(text: Column, formats: tuple[str, ...] = (ISO, *DATE_FORMATS)) -> list[Column]:
+    """Aggregates: how many texts there are, and how many each format reads."""
+    return [F.count(text), *[F.count(read_as(text, f)) for f in formats]]
+
+
+def best_format(
+    counts: list[int], formats: tuple[str, ...] = (ISO, *DATE_FORMATS)
+) -> ColumnFormat:
+    """The format that reads most of a column, of equals the earliest."""
+    texts, *read = counts
+    at = max(range(len(formats)), key=lambda i: (read[i], -i))
+    return ColumnFormat(formats[at], texts - read[at])
+
+
+def column_format(df: DataFrame, column: str) -> ColumnFormat:
+    """The format of a text column, found by counting in one pass over it.
+
+    All of a column is read in one format: 03/02 beside 13/02 is the third of February. Where
+    all texts fit several formats, month before day wins.
+    """
+    return best_format(list(df.agg(*format_counts(F.col(f"`{column}`"))).first()))
+
+
 def weekday_name(ts: Column) -> Column:
     """English day name in full. Goes through the date so no session zone can shift it."""
     return F.date_format(ts.cast("date"), "EEEE")

@@ -21,19 +21,28 @@ def _as_timestamp(value: Column) -> Column:
     return value.try_cast("timestamp_ntz")
 
 
-def clean_outages(raw: DataFrame) -> DataFrame:
+def clean_outages(raw: DataFrame, onset_format: str | None = None) -> DataFrame:
     """Drop records without keys, normalise provinces, cap durations and add calendar fields.
 
     Columns other than the keys are optional: a step whose column is absent is left out.
+    Dates that are still texts are read in ``onset_format``, that of their column
+    (``times.column_format``), or without it each in the first format that fits.
     """
     absent = [key for key in KEYS if key not in raw.columns]
     if absent:
         raise ValueError(f"outage records lack the key columns {absent}")
 
     dates = dict(raw.dtypes).get("onset_dt")
+    def dated(value: Column) -> Column:
+        if dates != "string":
+            return _as_timestamp(value)
+        if onset_format:
+            return times.read_as(value, onset_format)
+        return times.parse_timestamp(value)
+
     cleaners = {
         "province": text.upper_strip,
-        "onset_dt": times.parse_timestamp if dates == "string" else _as_timestamp,
+        "onset_dt": dated,
         "duration_min": lambda minutes: numbers.clip_upper(minutes, MAX_DURATION_MIN),
     }
     kept = raw.filter(has_keys()).select(

@@ -43,6 +43,10 @@ class Counted:
         totals = [F.coalesce(total, F.lit(0)).alias(name) for name, total in counted.items()]
         return df.observe(seen, *totals)
 
+    def add(self, step: str, **known: int) -> None:
+        """Further numbers of a step."""
+        self._steps[step][1].update(known)
+
     def rows(self, spark: SparkSession) -> DataFrame:
         """All counts as ``step, metric, value`` rows, after the writes."""
         values = [

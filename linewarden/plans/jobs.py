@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linewarden import model
+from linewarden.functions.times import column_format
 from linewarden.operators import generate, linking
 from linewarden.operators.clean import clean_outages
 from linewarden.operators.extract import build_extract
@@ -47,15 +48,21 @@ def run_extract(
 ) -> ExtractRun:
     """Clean, parse, join and write once; reports and panels read what was written.
 
-    Raw records and logs are read once each, by the passes that write the cleaned records and
-    the table ``incident_logs``; these passes take the counts as well. The grouped reports
-    and the key metrics come from one pass over the written extract. ``publish_to`` names a
-    folder where extract and logs are published together (``sources.publish``).
+    Raw records and logs are read once each, by the passes that write them down (the logs as
+    table ``incident_logs``); these passes take the counts as well. Dates that are texts are
+    all read in the one format that fits most of them; ``dates_unread`` counts the others. The
+    grouped reports and the key metrics come from one pass over the written extract.
+    ``publish_to`` names a folder where extract and logs are published together
+    (``sources.publish``).
     """
     spark, counted = raw.sparkSession, Counted()
     prefix = f"{database}." if database else ""
-    records = counted.on(raw, "outages", raw_counts())
-    cleaned = materialize(clean_outages(records), "cleaned")
+    records = materialize(counted.on(raw, "outages", raw_counts()), "records")
+    onset_format = None
+    if dict(records.dtypes).get("onset_dt") == "string":
+        onset_format, unread = column_format(records, "onset_dt")
+        counted.add("outages", dates_unread=unread)
+    cleaned = clean_outages(records, onset_format)
     texts = counted.on(logs, "logs", log_counts())
     stored_logs = replace_table(texts, f"{prefix}incident_logs")
     extract = build_extract(cleaned, parse_logs(stored_logs))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from linewarden import lens
+from linewarden.functions.times import column_format
 from linewarden.operators import linking
+from linewarden.operators.clean import clean_outages
 from linewarden.operators.quality import union_all
 from linewarden.plans import dashboard, outage_reports
 from linewarden.plans.jobs import run_extract
@@ -13,6 +15,7 @@ from linewarden.plans.registry import query, weighed
 from linewarden.session import materialize, scratch_path
 from linewarden.sources.catalog import create_database
 from linewarden.sources.publish import published
+from linewarden.sources.typed import read_csv_typed
 
 
 @query
@@ -103,3 +106,60 @@ def reports_one_scan(spark, sf_dir):
 
 def _column(value):
     return F.col(value) if isinstance(value, str) else value
+
+
+@query
+def dates_day_first(spark, sf_dir):
+    """Dates written day first, most of which could be read month first too, some not at all."""
+    event, stamp = F.col("event_id"), F.col("ts")
+    raw = lens.table(spark, sf_dir, "events").select(
+        lens.outage_id(event).alias("outage_id"),
+        F.lit("on").alias("province"),
+        F.when(event % 19 == 3, F.lit("unknown"))
+        .otherwise(F.date_format(stamp, "d/M/yyyy HH:mm"))
+        .alias("onset_dt"),
+    )
+    return clean_outages(raw, column_format(raw, "onset_dt").name)
+
+
+def _typed_csv(spark, sf_dir):
+    """Records as CSV with fractions, values that do not fit and lines that are cut short."""
+    event, minutes = F.col("event_id"), 15 + F.col("event_id") % 400
+    fields = [
+        lens.outage_id(event),
+        F.when(event % 7 == 2, F.lit("N/A")).otherwise(F.lit("ON")),
+        F.when(event % 4 == 0, F.concat(minutes.cast("string"), F.lit(".5")))
+        .when(event % 31 == 5, F.lit("two hours"))
+        .otherwise(minutes.cast("string")),
+        F.when(event % 17 == 4, F.lit("soon")).otherwise(
+            F.date_format(F.col("ts"), "dd-MM-yyyy HH:mm")
+        ),
+        F.when(event % 29 == 6, F.lit("1e30")).otherwise(F.concat(event.cast("string"), F.lit(".0"))),
+    ]
+    header = "outage_id,province,duration_min,onset_dt,customers_affected"
+    lines = lens.table(spark, sf_dir, "events").select(
+        F.when(event % 101 == 50, F.concat_ws(",", *fields[:3]))
+        .otherwise(F.concat_ws(",", *fields))
+        .alias("line")
+    )
+    path = scratch_path(spark, "typed_csv")
+    # A file per partition, each of which needs the header; so all lines go below one name.
+    lines.withColumnRenamed("line", header).write.csv(
+        path, header=True, quote="", sep="\x01", emptyValue=""
+    )
+    return read_csv_typed(spark, path)
+
+
+@query
+def csv_typed(spark, sf_dir):
+    """Every record that could be split, typed by column: fractions kept, misfits null."""
+    return _typed_csv(spark, sf_dir).rows
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    """The values that did not fit, one row each; a record cut short is one as a whole."""
+    rejects = _typed_csv(spark, sf_dir).rejects
+    return rejects.select(F.inline("rejected")).groupBy("column", "value", "type").agg(
+        F.count("*").alias("records")
+    )

@@ -92,6 +92,15 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_checked_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet folder of which every file has a footer that can be read, or an error.
+
+    Spark lists the files and reads their footers in a job, many files per task; the schema
+    is that of all of them together.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
@@ -104,9 +113,18 @@ class Loaded(NamedTuple):
     cause: str | None = None
 
 
-# What Spark says of a file that is no file of its format; other failures while reading,
-# such as a lost executor or a store that is busy, say nothing about the source.
-_WRONG_FORMAT = ("is not a Parquet file", "Could not read footer", "UNABLE_TO_INFER_SCHEMA")
+# What Spark says of a file that is no file of its format or has another header; other
+# failures while reading, such as a lost executor or a store that is busy, say nothing about
+# the source.
+_WRONG_FORMAT = (
+    "is not a Parquet file",
+    "Could not read footer",
+    "CANNOT_READ_FILE_FOOTER",
+    "UNABLE_TO_INFER_SCHEMA",
+    "CSV header does not conform to the schema",
+)
+# Analysis errors that speak of the source; any other one is a mistake in the reader.
+_NO_SOURCE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def load_or_else(
@@ -118,8 +136,9 @@ def load_or_else(
 
     Only a missing path, a missing column or a file of another format leads to the
     fallback; the cause is returned and logged. Any other error is raised: a job must not
-    go on with invented rows because an executor was lost. Reads are lazy, so the
-    primary's first row is read here.
+    go on with invented rows because an executor was lost. So is a mistake in the reader, such
+    as a column it names wrongly. Reads are lazy, so the primary's first row is read here;
+    ``read_checked_parquet`` and ``typed.read_csv_typed`` have looked at every file by then.
     """
     try:
         df = primary()
@@ -129,6 +148,8 @@ def load_or_else(
             return Loaded(df, "primary")
         cause = f"columns {absent} are missing"
     except AnalysisException as error:
+        if error.getCondition() not in _NO_SOURCE:
+            raise
         cause = str(error)
     except (PySparkException, Py4JJavaError) as error:
         if not any(mark in str(error) for mark in _WRONG_FORMAT):

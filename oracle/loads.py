@@ -41,7 +41,14 @@ oracle(
     """,
 )
 
-ORACLES["run_metrics"] = ORACLES["extract_metrics"]
+ORACLES["run_metrics"] = (
+    ORACLES["extract_metrics"]
+    + """
+    UNION ALL
+    SELECT 'outages', 'dates_unread', count(*) FROM outage_raw
+    WHERE onset_dt IS NOT NULL AND try_cast(onset_dt AS timestamp) IS NULL
+    """
+)
 oracle("published_logs", ("incident_logs",), "SELECT * FROM incident_logs")
 oracle("published_events", ("extract_",), f"SELECT {EXTRACT_COLUMNS} FROM extract_")
 oracle(
@@ -69,3 +76,49 @@ oracle(
     FROM ({METRICS_SQL})
     """,
 )
+
+OUTAGE = code("'OUT-'", "event_id + 1")
+oracle(
+    "dates_day_first",
+    (),
+    f"""
+    SELECT outage_id, 'ON' AS province, onset_dt, year(onset_dt)::integer AS year,
+           month(onset_dt)::integer AS month, dayname(onset_dt) AS weekday
+    FROM (SELECT {OUTAGE} AS outage_id,
+                 CASE WHEN event_id % 19 <> 3 THEN date_trunc('minute', ts) END AS onset_dt
+          FROM events)
+    """,
+)
+oracle(
+    "csv_typed",
+    (),
+    f"""
+    SELECT {OUTAGE} AS outage_id, CASE WHEN event_id % 7 <> 2 THEN 'ON' END AS province,
+           CASE WHEN event_id % 4 = 0 THEN 15 + event_id % 400 + 0.5::double
+                WHEN event_id % 31 <> 5 THEN 15 + event_id % 400 END AS duration_min,
+           CASE WHEN event_id % 17 <> 4 THEN date_trunc('minute', ts) END AS onset_dt,
+           CASE WHEN event_id % 29 <> 6 THEN event_id END AS customers_affected
+    FROM events WHERE event_id % 101 <> 50
+    """,
+)
+MINUTES = """CASE WHEN event_id % 4 = 0 THEN (15 + event_id % 400) || '.5'
+                  WHEN event_id % 31 = 5 THEN 'two hours'
+                  ELSE cast(15 + event_id % 400 AS varchar) END"""
+oracle(
+    "csv_rejects",
+    (),
+    f"""
+    SELECT 'duration_min' AS "column", 'two hours' AS value, 'double' AS type, count(*) AS records
+    FROM events WHERE event_id % 101 <> 50 AND event_id % 4 <> 0 AND event_id % 31 = 5
+    UNION ALL
+    SELECT 'onset_dt', 'soon', 'timestamp_ntz', count(*)
+    FROM events WHERE event_id % 101 <> 50 AND event_id % 17 = 4
+    UNION ALL
+    SELECT 'customers_affected', '1e30', 'bigint', count(*)
+    FROM events WHERE event_id % 101 <> 50 AND event_id % 29 = 6
+    UNION ALL
+    SELECT NULL, {OUTAGE} || ',' || CASE WHEN event_id % 7 = 2 THEN 'N/A' ELSE 'ON' END || ','
+                 || {MINUTES}, 'record', 1
+    FROM events WHERE event_id % 101 = 50
+    """,
+)
