@@ -157,10 +157,12 @@ def seed_network(
     stored: dict[str, DataFrame] = {}
     counts: dict[str, int] = {}
     sparse: dict[str, linking.Keys] = {}
-    for name in network_rows(spark, sizes):
+    offers = network_rows(spark, sizes)
+    usual = dict(zip(PARENTS, (sizes.towers, sizes.engineers, sizes.incidents)))
+    for name in list(offers):
         table = model.TABLES[name]
         target = f"{database}.{name}"
-        rows = network_rows(spark, sizes, parents=counts)[name]
+        rows = offers[name]
         for column, (parent, _) in table.references.items():
             if parent in sparse:
                 rows = linking.key_at(rows, F.col(column), sparse[parent], column)
@@ -169,6 +171,8 @@ def seed_network(
         stored[name] = spark.table(target)
         if name in PARENTS:
             counts[name] = stored[name].count()
+            if counts[name] != usual[name]:
+                offers = network_rows(spark, sizes, parents=counts)
             if not linking.are_dense(stored[name], table.primary_key):
                 sparse[name] = linking.keys_of(stored[name], table.primary_key)
     views = network_views(stored)

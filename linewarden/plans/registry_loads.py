@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from linewarden import lens
+from linewarden import lens, model
 from linewarden.functions.times import column_format
 from linewarden.operators import linking
 from linewarden.operators.clean import clean_outages
@@ -13,7 +13,9 @@ from linewarden.plans import dashboard, outage_reports
 from linewarden.plans.jobs import run_extract
 from linewarden.plans.registry import query, weighed
 from linewarden.session import materialize, scratch_path
-from linewarden.sources.catalog import create_database
+from linewarden.sources.catalog import create_database, create_tables
+from linewarden.sources.inserts import append_or_ignore
+from linewarden.sources.key_index import key_of_indexed, open_index
 from linewarden.sources.publish import published
 from linewarden.sources.typed import read_csv_typed
 
@@ -163,3 +165,35 @@ def csv_rejects(spark, sf_dir):
     return rejects.select(F.inline("rejected")).groupBy("column", "value", "type").agg(
         F.count("*").alias("records")
     )
+
+
+@query
+def append_with_index(spark, sf_dir):
+    """Engineers appended to a table in two batches, stored keys read from its key indexes."""
+    folder = scratch_path(spark, "indexed")
+    database = "linewarden_" + folder.split("/")[-2]
+    create_database(spark, database, f"{folder}/database")
+    create_tables(spark, database)
+    name = f"{database}.engineer"
+    rows = lens.bad_engineer(spark, sf_dir).drop("phone", "province_code")
+    for _ in range(2):
+        append_or_ignore(
+            spark, model.ENGINEER, name, rows, ["engineer_id"], index_root=f"{folder}/index"
+        )
+    return spark.table(name).select(
+        "engineer_id", "employee_no", "full_name", "email", "is_oncall"
+    )
+
+
+@query
+def key_lookup_indexed(spark, sf_dir):
+    """Tower ids by tower code for every incident, from an index that carries them."""
+    towers = lens.tower(spark, sf_dir)
+    index = open_index(towers, scratch_path(spark, "index"), ("tower_code",), ("tower_id",), 16)
+    asked = (
+        lens.outage_incident(spark, sf_dir)
+        .select("incident_ref", "tower_id")
+        .join(towers.select("tower_id", "tower_code"), "tower_id")
+        .select("incident_ref", "tower_code")
+    )
+    return key_of_indexed(asked, towers, index)

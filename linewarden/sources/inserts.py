@@ -18,6 +18,7 @@ from linewarden import model
 from linewarden.operators import quality
 from linewarden.session import materialize, scratch_scope
 from linewarden.sources.catalog import with_defaults
+from linewarden.sources.key_index import KeyIndex, extend_index, met_keys, open_index
 
 Key = tuple[str, ...]
 
@@ -35,15 +36,18 @@ def insert_or_ignore(
     keys: list[Key],
     arrival: list[str],
     rules: list[quality.RowRule] | None = None,
+    indexes: dict[Key, KeyIndex] | None = None,
 ) -> DataFrame:
     """The incoming rows an insert-or-ignore accepts.
 
     ``arrival`` names the columns that order the rows; rows equal in those are ordered
-    by their other columns.
+    by their other columns. Of a key with an index only the parts that the rows meet are read.
     """
     rows = _valid(incoming, rules or [])
     for key in keys:
-        rows = rows.join(_complete(stored, key).select(*key), list(key), "left_anti")
+        index = (indexes or {}).get(key)
+        held = met_keys(index, stored, rows) if index else _complete(stored, key)
+        rows = rows.join(held.select(*key), list(key), "left_anti")
     rows = rows.select(*incoming.columns)
     if len(keys) == 1:
         return _first_per_key(rows, keys[0], arrival)
@@ -287,10 +291,13 @@ def append_or_ignore(
     incoming: DataFrame,
     arrival: list[str],
     parents: dict[str, DataFrame] | None = None,
+    index_root: str | None = None,
 ) -> int:
     """Insert-or-ignore into the catalog table ``name`` under the rules of ``table``.
 
-    Returns the number of rows added. A retry after a failed run adds what is missing.
+    Returns the number of rows added. A retry after a failed run adds what is missing. With
+    ``index_root``, a folder for the indexes of the table's keys, stored keys are read from
+    the parts of an index that the incoming rows meet (``key_index``), not from the table.
     """
     if table.primary_key not in incoming.columns:
         raise ValueError(f"rows for {table.name} must bring their {table.primary_key}")
@@ -301,19 +308,25 @@ def append_or_ignore(
         for rule in quality.row_rules(table, columns)
         if rule.rule in ("not_null", "check", "domain")
     ]
+    stored, indexes = spark.table(name), {}
+    if index_root:
+        indexes = {key: open_index(stored, index_root, key) for key in table.unique_keys}
     with scratch_scope(spark):
         accepted = insert_or_ignore(
-            spark.table(name),
+            stored,
             with_defaults(incoming, table, keep=ordering),
             table.unique_keys,
             arrival,
             rules,
+            indexes,
         ).select(*columns)
         # Written before it is counted and appended, so it does not see its own rows.
         accepted = materialize(accepted, table.name)
         check_parents(table, accepted, parents or {})
         added = accepted.count()
         accepted.write.insertInto(name)
+        for index in indexes.values():
+            extend_index(index, accepted, spark.table(name))
     return added
 
 

@@ -122,3 +122,13 @@ oracle(
     FROM events WHERE event_id % 101 = 50
     """,
 )
+
+ORACLES["append_with_index"] = ORACLES["append_into_table"]
+oracle(
+    "key_lookup_indexed",
+    ("outage_incident", "tower"),
+    """
+    SELECT tower_code, incident_ref, tower_id
+    FROM outage_incident JOIN tower USING (tower_id)
+    """,
+)
