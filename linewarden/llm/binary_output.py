@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linewarden.llm.encoding import encoder_of, vocabulary_of
+from linewarden.llm.encoding import check_vocabulary, encoder_of, vocabulary_of
 from linewarden.llm.words import rows_of, utf8
 
 SCHEMA = (
@@ -163,13 +163,17 @@ def pack_ids(
     ``n_tokens``; segment_ends: cumulative lengths of the segments; position_resets: where
     positions restart at 0; segments: document, first id within it and length, in order.
     A document's ids are those of its whole text and ``end_id``; one longer than a sequence is
-    cut into pieces that ``start`` puts together again. Null and empty texts are one end id.
+    cut into pieces that ``start`` puts together again. A tokenizer with ids beyond 16 bits is
+    refused unless ``wide``. Null and empty texts are one end id.
     Repeated rows are packed as often as they occur; a null id stays null. An empty table
     gives an empty result. Other columns are not read.
     """
     if not 0 < capacity:
         raise ValueError("a sequence holds one id at least")
     vocabulary = vocabulary_of(documents.sparkSession, vocabulary_path)
+    largest = max(check_vocabulary(vocabulary.value) - 1, end_id, pad_id)
+    if not wide and largest > 0xFFFF:
+        raise ValueError(f"ids up to {largest} need 32 bits: wide=True")
     rows = documents.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"), utf8(text_column).alias("text")
     )

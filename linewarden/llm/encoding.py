@@ -78,10 +78,37 @@ def encoder_of(vocabulary: Broadcast) -> WordEncoder:
     return _encoder(vocabulary.value)
 
 
+# Texts on which a tokenizer that looks beyond words, or at case or white space, differs.
+PROBES = (
+    "Some words, one after another; and MORE of them.",
+    "  white\tspace \n\n of  every\x0bkind ",
+    "Ünïcödé ÀÉ ß ﬁ e\u0301 日本語 \U0001f600",
+    "x1 22 3.14 a-b don't (it) e.g. ... ,., <s> </s> [UNK] a/b@c.d",
+)
+
+
+@lru_cache(maxsize=4)
+def check_vocabulary(vocabulary: str) -> int:
+    """The number of ids, after raising if the word by word ids are not the tokenizer's own."""
+    if Tokenizer.from_str(vocabulary).normalizer is None:
+        raise ValueError("this tokenizer does not work word by word: it has no normalizer")
+    encoder = WordEncoder(vocabulary)
+    for text in PROBES:
+        own = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        if np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() != own:
+            raise ValueError(f"this tokenizer does not work word by word: {text!r}")
+    return encoder.tokenizer.get_vocab_size()
+
+
 def vocabulary_of(spark: SparkSession, path: str) -> Broadcast:
-    """The vocabulary file's text, for ``encoder_of`` in tasks."""
+    """The vocabulary file's text, for ``encoder_of`` in tasks.
+
+    A tokenizer that this encoder is not right for is refused.
+    """
     with open(path, encoding="utf-8") as file:
-        return spark.sparkContext.broadcast(file.read())
+        vocabulary = file.read()
+    check_vocabulary(vocabulary)
+    return spark.sparkContext.broadcast(vocabulary)
 
 
 def public_path(name: str = WORD_BPE) -> str:

@@ -64,8 +64,9 @@ def _fingerprints(size: int):
                 np.uint64,
                 batch.num_rows,
             )
+            kept = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"]
+                [*map(batch.column, kept), pa.array(prints.view(np.int64))], [*kept, "print"]
             )
 
     return build
@@ -309,16 +310,45 @@ def drop_near_duplicates(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """The documents with the smallest id of each group, columns unchanged.
+    """One document of each linked group, columns unchanged.
 
-    Rows that share an id count as one document; rows without an id all stay.
+    It is that of the smallest id; a row without an id stays only if the group has no other.
+    Of rows that share this id the one of the smallest text hash stays, and of rows that
+    repeat both id and text exactly one. Rows are told apart by id and text, so a row whose id
+    also belongs to a near copy of something else is judged by its own text.
     """
-    report = near_duplicates(documents, shingle, radius, id_column, text_column)
-    dropped = materialize(
-        report.filter(F.col("doc_id") != F.col("component_id"))
-        .select(F.col("doc_id").alias("_near_dropped_id"))
-        .distinct(),
-        "near_dropped",
+    own_id = F.col(f"`{id_column}`").cast("long")
+    own_hash = F.xxhash64(utf8(text_column))
+    texts = documents.select(
+        own_id.alias("doc_id"), own_hash.alias("text_hash"), utf8(text_column).alias("text")
     )
-    own = F.col(f"`{id_column}`").cast("long")
-    return documents.join(dropped, own == F.col("_near_dropped_id"), "left_anti")
+    schema = "doc_id long, text_hash long, print long"
+    rows = materialize(texts.mapInArrow(_fingerprints(shingle), schema), "prints")
+    prints = materialize(rows.select("print").distinct(), "distinct_prints")
+    roots = materialize(components(near_links(prints, radius)), "components")
+    linked = rows.join(roots, rows["print"] == roots["node"], "left").select(
+        "doc_id", "text_hash", F.coalesce("root", "print").alias("group")
+    )
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    groups = linked.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
+        F.col("text_hash") == F.col("first.text_hash")
+    )
+    # One entry per document and text of groups of two rows or more.
+    marked = materialize(
+        linked.join(groups.filter(F.col("n") > 1), "group")
+        .groupBy(F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_hash"))
+        .agg(F.first(is_first).alias("_near_stays"), F.count("*").alias("_near_rows")),
+        "near_marked",
+    )
+    keyed = documents.select("*", own_id.alias("_near_own_id"), own_hash.alias("_near_own_hash"))
+    same = F.col("_near_own_id").eqNullSafe(F.col("_near_id")) & (
+        F.col("_near_own_hash") == F.col("_near_hash")
+    )
+    again = marked.filter(F.col("_near_stays") & (F.col("_near_rows") > 1))
+    gone = marked.filter(~F.col("_near_stays") | (F.col("_near_rows") > 1))
+    rest = keyed.join(gone, same, "left_anti")
+    if not again.isEmpty():
+        once = keyed.join(again, same, "left_semi")
+        rest = rest.unionByName(once.dropDuplicates(["_near_own_id", "_near_own_hash"]))
+    return rest.select(*[F.col(f"`{c}`") for c in documents.columns])

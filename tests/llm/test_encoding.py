@@ -207,3 +207,16 @@ def test_packing_odd_rows(odd, make):
     empty = cutting_stock.pack_documents(make([]), path)
     assert empty.count() == 0
     assert empty.columns == cutting_stock.pack_documents(odd, path).columns
+
+
+def test_ids_beyond_16_bits_are_refused(make):
+    documents, path = make([(1, "a b")]), encoding.public_path()
+    with pytest.raises(ValueError, match="32 bits"):
+        binary_output.pack_ids(documents, path, pad_id=70_000)
+    assert binary_output.pack_ids(documents, path, pad_id=70_000, wide=True).count() == 1
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json"])
+def test_tokenizers_that_look_beyond_words_are_refused(make, name):
+    with pytest.raises(ValueError, match="word by word"):
+        binary_output.pack_ids(make([(1, "a b")]), encoding.public_path(name))

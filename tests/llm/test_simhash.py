@@ -112,3 +112,21 @@ def test_odd_rows(odd, make):
     assert not {2, 3, 5, 7} & {r["doc_id"] for r in kept.collect()}
     assert simhash.near_duplicates(make([])).count() == 0
     assert simhash.drop_near_duplicates(make([])).count() == 0
+
+
+def test_rows_are_judged_by_their_own_text(make):
+    base = " ".join(f"word{i}" for i in range(400))
+    near = base + " more"
+    other = " ".join(f"else{i}" for i in range(300))
+    rows = [(3, base), (4, near), (4, other), (None, near + " a"), (None, other + " b")]
+    rows += [(None, "alone and without an id"), (None, "alone and without an id")]
+    kept = [(r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(make(rows)).collect()]
+    assert sorted(kept, key=repr) == sorted(
+        [(3, base), (4, other), (None, "alone and without an id")], key=repr
+    )
+
+
+def test_near_copies_without_ids_leave_one(make):
+    base = " ".join(f"word{i}" for i in range(400))
+    rows = [(None, base), (None, base + " x"), (None, base + " y"), (None, base)]
+    assert simhash.drop_near_duplicates(make(rows)).count() == 1
