@@ -2,8 +2,8 @@
 
 Keys are drawn with a chance in proportion to their size, the sample's quantiles cut the key
 order into many narrow ranges, and an exact count of each range's bytes follows. Ranges that
-turn out overfull are cut again at splitters of their own, which may fall between rows of one
-key. Shards are runs of consecutive ranges, so a running sum over the ranges' totals and one
+turn out overfull are cut again at splitters of their own, which fall between rows of one key
+only if the key alone is too large to stay whole. Shards are runs of consecutive ranges, so a running sum over the ranges' totals and one
 within each range place every row; no step sorts or sums all rows in one task.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,9 +25,19 @@ KEY, TIE, SIZE, RANGE = (PREFIX + n for n in ("key", "tie", "size", "range"))
 def _range_number(splitters: list[tuple[int, int]]) -> Column:
     """The number of splitters at or below (key, tie)."""
 
+    keys, ties = (np.array([s[i] for s in splitters], np.int64) for i in (0, 1))
+
     @F.pandas_udf("int")
     def number(key: pd.Series, tie: pd.Series) -> pd.Series:
-        return pd.Series([bisect_right(splitters, k) for k in zip(key, tie)], dtype="int32")
+        values, within = key.to_numpy(np.int64), tie.to_numpy(np.int64)
+        found = np.searchsorted(keys, values, "left")
+        after = np.searchsorted(keys, values, "right")
+        # Only keys that a splitter names depend on the row; there are few of them.
+        for low in np.unique(found[after > found]):
+            at = np.flatnonzero((found == low) & (after > low))
+            cuts = ties[low : after[at[0]]]
+            found[at] = low + np.searchsorted(cuts, within[at], "right")
+        return pd.Series(found.astype(np.int32))
 
     return number(F.col(KEY), F.col(TIE))
 
@@ -45,16 +56,18 @@ def _sample(rows: DataFrame, wanted: int, total: int) -> list[tuple[int, int, fl
     return sorted(tuple(r) for r in drawn.collect())
 
 
-def _quantiles(sample: list[tuple[int, int, float]], ranges: int, keys_only: bool) -> list[tuple]:
+def _quantiles(
+    sample: list[tuple[int, int, float]], ranges: int, heavy: frozenset[int] = frozenset()
+) -> list[tuple]:
     """Splitters that cut the sample's weight into ``ranges`` equal parts.
 
-    With ``keys_only`` a splitter stands before all rows of its key, so a key is not cut.
+    A splitter stands before all rows of its key, unless the key is ``heavy``: only those are cut.
     """
     total = sum(w for _, _, w in sample)
     splitters, seen = [], 0.0
     for key, tie, weight in sample:
         if seen + weight > (len(splitters) + 1) * total / ranges:
-            splitters.append((key, -1 if keys_only else tie))
+            splitters.append((key, tie if key in heavy else -1))
             while seen + weight > (len(splitters) + 1) * total / ranges and splitters:
                 splitters.append(splitters[-1])
         seen += weight
@@ -68,16 +81,22 @@ def _range_totals(rows: DataFrame, splitters: list[tuple]) -> list[tuple[int, in
 
 
 def splitters_of(
-    rows: DataFrame, total: int, ranges: int = 512, per_range: int = 40, rounds: int = 3
+    rows: DataFrame,
+    total: int,
+    limit: float,
+    ranges: int = 512,
+    per_range: int = 40,
+    rounds: int = 3,
 ) -> list[tuple]:
     """Splitters (key, tie) such that no range holds much over total / ranges bytes.
 
-    Each round subdivides the ranges that hold over twice their share. The driver sees the
-    sample (``ranges * per_range`` keys on average, however large the table) and one sum per
-    range.
+    Each round subdivides the ranges that hold over twice their share, between keys or, where
+    a key holds over ``limit`` bytes, between its rows. The driver sees the sample
+    (``ranges * per_range`` keys on average, however large the table), one sum per range and
+    the keys over the limit, of which there are at most total / limit.
     """
     wanted = ranges * per_range
-    splitters = _quantiles(_sample(rows, wanted, total), ranges, keys_only=True)
+    splitters = _quantiles(_sample(rows, wanted, total), ranges)
     share = total / ranges
     for _ in range(rounds):
         overfull = {r: b for r, b in _range_totals(rows, splitters) if b > 2 * share}
@@ -86,13 +105,15 @@ def splitters_of(
         number = _range_number(splitters)
         inside = rows.withColumn(RANGE, number).filter(F.col(RANGE).isin(list(overfull)))
         held = sum(overfull.values())
+        sums = inside.groupBy(KEY).agg(F.sum(SIZE).alias("bytes"))
+        heavy = frozenset(r[KEY] for r in sums.filter(F.col("bytes") > limit).collect())
         by_range: dict[int, list] = {r: [] for r in overfull}
         for item in _sample(inside, wanted, held):
             by_range[bisect_right(splitters, item[:2])].append(item)
         more = [
             cut
             for r, sample in by_range.items()
-            for cut in _quantiles(sample, int(2 * overfull[r] / share) + 1, keys_only=False)
+            for cut in _quantiles(sample, int(2 * overfull[r] / share) + 1, heavy)
         ]
         if not set(more) - set(splitters):
             break
@@ -111,8 +132,9 @@ def shard_by_bytes(
     """The records with ``shard`` (0 .. shards-1) and ``slot`` (gapless from 0 in each shard).
 
     ``key`` is a long that orders the records, ``size`` their bytes. The shards are ranges of
-    the key order with nearly equal bytes. Rows of one key stay together if they hold at most
-    ``whole_key_share`` of a shard's share; a larger key is cut between its rows, as are
+    the key order with nearly equal bytes. It is part of the law that rows of one key stay
+    together if they hold at most ``whole_key_share`` of a shard's share, at every size of the
+    table; a larger key is cut between its rows, as are
     fully repeated rows, which a row number tells apart. Null keys come first, as one key;
     null sizes count 0. Every record is in exactly one shard. A table of fewer rows than
     shards leaves shards empty; an empty table gives an empty result. Columns named shard or
@@ -130,7 +152,8 @@ def shard_by_bytes(
     )
     narrow = rows.select(KEY, TIE, SIZE)
     total = narrow.agg(F.sum(SIZE).alias("total")).first()["total"] or 0
-    splitters = splitters_of(narrow, total, ranges) if total else []
+    limit = total / shards * whole_key_share
+    splitters = splitters_of(narrow, total, limit, ranges) if total else []
 
     numbered = materialize(rows.withColumn(RANGE, _range_number(splitters)), "shard_ranges")
     sums = numbered.groupBy(RANGE).agg(F.sum(SIZE).alias("bytes"))

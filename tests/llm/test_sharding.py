@@ -65,3 +65,17 @@ def test_odd_rows(odd, make):
     assert shard_by_bytes(make([]), F.xxhash64("text"), size).count() == 0
     nothing = shard_by_bytes(make([(1, None), (2, None)]), F.lit(None).cast("long"), size)
     assert {(r["shard"], r["slot"]) for r in nothing.collect()} == {(0, 0), (0, 1)}
+
+
+def test_no_key_below_the_limit_is_cut(spark):
+    pairs = spark.range(300).selectExpr("id", "xxhash64(id % 150, 'pair') AS k", "1923L AS size")
+    small = spark.range(300, 5300).selectExpr("id", "xxhash64(id) AS k", "84L AS size")
+    rows = pairs.unionByName(small)
+    for ranges in (512, 64):
+        placed = shard_by_bytes(rows, F.col("k"), F.col("size"), ranges=ranges).collect()
+        homes = defaultdict(set)
+        for r in placed:
+            homes[r["k"]].add(r["shard"])
+        assert max(map(len, homes.values())) == 1
+        total = 300 * 1923 + 5000 * 84
+        check_shards([(r["shard"], r["slot"], r["size"]) for r in placed], slack=total / 256)
