@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewarden.operators.joins import left_join
+from linewarden.session import materialize
 
 LOG_FIELDS = ("log_text", "engineer_name", "log_duration_min", "is_escalation")
 
@@ -34,10 +35,10 @@ def longest_outages(outages: DataFrame, parsed_logs: DataFrame, k: int = 10) ->
     """The first ``k`` extract rows by duration, without building the extract.
 
     The order rests on outage columns only, so the ``k`` longest outages are found
-    first, and only their logs take part in the join.
+    first and written down, and only their logs take part in the join.
     """
     order = [F.desc_nulls_last("duration_min"), F.asc("outage_id")]
-    longest = outages.orderBy(*order).limit(k)
+    longest = materialize(outages.orderBy(*order).limit(k), "longest_outages")
     logs = parsed_logs.select("outage_id", *LOG_FIELDS)
     logs = logs.join(longest.select("outage_id"), "outage_id", "left_semi")
     return (

@@ -15,10 +15,13 @@ _scopes: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, as named in ``spark.checkpoint.dir``.
 
-    Without that setting it is a folder below the warehouse, which is shared as well.
+    On a cluster that setting is required. A local master without it, as in a trial, uses a
+    folder below the warehouse.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not folder and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 

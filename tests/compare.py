@@ -17,7 +17,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6)
+        return "NaN" if math.isnan(value) else round(value, 6)
     return value
 
 
