@@ -110,6 +110,8 @@ def test_shared_folder_is_the_sessions(spark):
 
 def test_without_a_setting_scratch_lies_below_the_warehouse():
     class Context:
+        master = "local[4]"
+
         def getConf(self):
             return {}
 
@@ -121,6 +123,9 @@ def test_without_a_setting_scratch_lies_below_the_warehouse():
         conf = {"spark.sql.warehouse.dir": "hdfs:/warehouse"}
 
     assert session.shared_folder(Session()) == "hdfs:/warehouse/scratch"
+    Context.master = "spark://head:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
 
 
 def test_scratch_of_a_scope_is_removed(spark):
