@@ -1,16 +1,17 @@
 """A toxicity classifier that is held to the same score when identity terms are swapped.
 
-A logistic regression over the words of a document and their beginnings. Labelled sentences
-that name a group are copied with the term swapped for others of its kind, and with the term
-left out; training penalises the squared difference between the scores of a sentence and its
-copies, so naming a group neutrally does not raise a score. The model is fitted on a bounded
-sample of labelled documents and then scores every document in a map-only pass.
+A logistic regression over the words of a document and their beginnings. In labelled sentences
+that name a group the term is swapped for others of its kind, and left out; training penalises
+the squared change of the sentence's score, so naming a group neutrally does not raise a score.
+A swap is kept as the features that it takes away and brings, and equal ones are counted, so a
+sentence costs no copies however long it is. The model is fitted on a bounded sample of labelled
+documents, drawn by label, and then scores every document in a map-only pass.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -120,44 +121,58 @@ def sentences(text: bytes) -> list[list[bytes]]:
     return [s for s in (*found, current) if s]
 
 
-def counterfactuals(sentence: list[bytes]) -> list[list[bytes]]:
-    """The sentence with each of its identity terms swapped for every other of its kind, and
-    with the term left out; empty for a sentence that names no group."""
-    copies = []
-    for at, word in enumerate(sentence):
-        for other in SWAPS.get(word, ()):
-            copies.append([*sentence[:at], other, *sentence[at + 1 :]])
-        if word in SWAPS:
-            copies.append([*sentence[:at], *sentence[at + 1 :]])
-    return copies
+def counterfactuals(words: set[bytes]) -> list[tuple[bytes, bytes | None]]:
+    """Each identity term among the words with every other of its kind, and with None for
+    leaving it out; empty for words that name no group."""
+    return [
+        (term, other) for term in sorted(words & SWAPS.keys()) for other in (*SWAPS[term], None)
+    ]
+
+
+def score_changes(
+    sentence: list[bytes], features: Callable[[bytes], set[int]]
+) -> Counter[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """The features that each swap of a term, wherever the sentence has it, takes away and
+    brings, and how many swaps do so; a swap that changes nothing is left out."""
+    words, changes = set(sentence), Counter()
+    if words.isdisjoint(SWAPS):
+        return changes
+    holders = Counter(f for word in words for f in features(word))
+    for term, other in counterfactuals(words):
+        new = features(other) if other else set()
+        gone = sorted(f for f in features(term) - new if holders[f] == 1)
+        come = sorted(f for f in new if f not in holders)
+        if gone or come:
+            changes[tuple(gone), tuple(come)] += 1
+    return changes
 
 
 def _examples(numbers):
-    """Per labelled document the numbers of its features, and for each counterfactual pair of
-    its sentences the features on either side only."""
+    """Per labelled document the numbers of its features, and the score changes of its
+    sentences' swaps, equal ones together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = numbers.value
 
-        def of(words: list[bytes]) -> set[int]:
-            return {
-                known[f] for word in set(words) for f in known_features(word) if f in known
-            }
+        def of(word: bytes) -> set[int]:
+            return {known[f] for f in known_features(word) if f in known}
 
         for batch in batches:
             rows = []
             for text, label in rows_of(iter([batch]), "text", "toxic"):
-                pairs = []
-                if not SWAPS.keys().isdisjoint(set(words_of(text))):
+                words, pairs = set(words_of(text)), Counter()
+                if not words.isdisjoint(SWAPS):
                     for sentence in sentences(text):
-                        for copy in counterfactuals(sentence):
-                            here, there = of(sentence), of(copy)
-                            if here != there:
-                                pairs.append(
-                                    {"gone": sorted(here - there), "come": sorted(there - here)}
-                                )
+                        pairs.update(score_changes(sentence, of))
                 rows.append(
-                    {"features": sorted(of(words_of(text))), "toxic": int(label), "pairs": pairs}
+                    {
+                        "features": sorted({f for word in words for f in of(word)}),
+                        "toxic": int(label != 0),
+                        "pairs": [
+                            {"gone": gone, "come": come, "n": n}
+                            for (gone, come), n in pairs.items()
+                        ],
+                    }
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=_EXAMPLES)
 
@@ -169,11 +184,11 @@ _EXAMPLES = pa.schema(
     [
         ("features", _NUMBERS),
         ("toxic", pa.int32()),
-        ("pairs", pa.list_(pa.struct([("gone", _NUMBERS), ("come", _NUMBERS)]))),
+        ("pairs", pa.list_(pa.struct([("gone", _NUMBERS), ("come", _NUMBERS), ("n", pa.int64())]))),
     ]
 )
 EXAMPLES = (
-    "features array<int>, toxic int, pairs array<struct<gone:array<int>,come:array<int>>>"
+    "features array<int>, toxic int, pairs array<struct<gone:array<int>,come:array<int>,n:bigint>>"
 )
 
 
@@ -187,14 +202,14 @@ def _rows(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 def fit(
     features: list[list[int]],
     toxic: list[int],
-    pairs: list[tuple[list[int], list[int]]],
+    pairs: list[tuple[list[int], list[int], int]],
     width: int,
     penalty: float = 5.0,
     ridge: float = 1e-4,
     steps: int = 400,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias by Adam on the mean log loss, the mean squared score change over the
-    counterfactual pairs, and a ridge."""
+    counterfactual pairs (features gone, features come, how often), and a ridge."""
     row, at = _rows(features)
     labels = np.array(toxic, float)
     n = max(len(labels), 1)
@@ -203,8 +218,9 @@ def fit(
     theta[-1] = np.log(share / (1 - share))
     if not len(labels):
         return theta[:-1], -4.0
-    gone_row, gone = _rows([g for g, _ in pairs])
-    come_row, come = _rows([c for _, c in pairs])
+    gone_row, gone = _rows([g for g, _, _ in pairs])
+    come_row, come = _rows([c for _, c, _ in pairs])
+    times = np.array([n for _, _, n in pairs], float)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         score = np.bincount(row, theta[at], minlength=len(labels)) + theta[-1]
@@ -215,7 +231,7 @@ def fit(
             change = np.bincount(come_row, theta[come], minlength=len(pairs)) - np.bincount(
                 gone_row, theta[gone], minlength=len(pairs)
             )
-            change *= 2 * penalty / len(pairs)
+            change *= 2 * penalty * times / times.sum()
             slope[:-1] += np.bincount(come, change[come_row], minlength=width)
             slope[:-1] -= np.bincount(gone, change[gone_row], minlength=width)
         first = 0.9 * first + 0.1 * slope
@@ -242,11 +258,14 @@ def train(
 ) -> Model:
     """Fit on about ``sample`` labelled documents that are not held out, or all if fewer.
 
-    Labels are drawn by a hash of the id, so the expected number is bounded however many there
-    are; null labels and ids are skipped and a document labelled twice is toxic if any label
-    says so. The sample's features are counted in tasks; at most ``max_features`` that occur
-    in three toxic documents or more, and there much more often than elsewhere, get weights,
-    along with the identity terms. Without usable labels the model scores all the same, low.
+    Labels are drawn by a hash of the id, toxic ones up to half of the sample and others up to
+    the rest, so the expected number is bounded however many there are and rare toxic ones are
+    not lost among the others; the bias is set back to the shares of all labels. Null labels and
+    ids are skipped and a document labelled twice is toxic if any label says so. The sample's
+    features are counted in tasks; at most ``max_features`` that occur in three toxic documents
+    or more, and there ``e`` times as often as elsewhere, get weights, along with the identity
+    terms. This choice of features is part of the model, and the same at every size. Without
+    usable labels the model scores all the same, low.
     """
     spark = documents.sparkSession
     usable = (
@@ -256,10 +275,13 @@ def train(
         .filter(F.col("label_id").isNotNull() & F.col("toxic").isNotNull())
         .filter(~held_out(F.col("label_id")))
         .groupBy("label_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg((F.max("toxic") != 0).cast("int").alias("toxic"))
     )
-    share = sample / max(usable.count(), 1)
+    known = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
+    toxic_share = min(1.0, sample / 2 / max(known.get(1, 0), 1))
+    other_share = min(1.0, (sample - toxic_share * known.get(1, 0)) / max(known.get(0, 0), 1))
     draw = F.pmod(F.xxhash64("label_id", F.lit(4)), F.lit(1 << 30)) / float(1 << 30)
+    share = F.when(F.col("toxic") == 1, toxic_share).otherwise(other_share)
     # About ``sample`` rows of two numbers.
     drawn = F.broadcast(usable.filter(draw < share))
     own = F.col(f"`{id_column}`").cast("long")
@@ -287,14 +309,18 @@ def train(
         .union(counts.filter(F.col("feature").isin(terms)).select("feature"))
     )
     numbers = {f: i for i, f in enumerate(sorted({r["feature"] for r in chosen.collect()}))}
-    known = spark.sparkContext.broadcast(numbers)
-    examples = rows.mapInArrow(_examples(known), EXAMPLES).collect()
+    sent = spark.sparkContext.broadcast(numbers)
+    stored = materialize(rows.mapInArrow(_examples(sent), EXAMPLES), "toxicity_examples")
+    examples = stored.select("features", "toxic").collect()
+    # Distinct changes are features of two terms of a kind, so their number is bounded.
+    pairs = stored.select(F.inline("pairs")).groupBy("gone", "come").agg(F.sum("n").alias("n"))
     weights, bias = fit(
         [r["features"] for r in examples],
         [r["toxic"] for r in examples],
-        [(p["gone"], p["come"]) for r in examples for p in r["pairs"]],
+        sorted((r["gone"], r["come"], r["n"]) for r in pairs.collect()),
         len(numbers),
     )
+    bias += float(np.log(other_share / toxic_share))
     return Model({f: float(weights[i]) for f, i in numbers.items()}, bias)
 
 
