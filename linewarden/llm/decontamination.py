@@ -1,11 +1,12 @@
 """Benchmark passages in training documents, found in suffix arrays of the documents.
 
 Each task builds suffix arrays over shards of its documents and looks up every suffix of the
-benchmark by binary search, which gives all places where a window of it stands verbatim and,
-by chaining them, the longest match. Words outside the benchmark cannot be part of a match,
+benchmark by binary search, which gives all places where a window of it stands verbatim. The
+longest match is then read off a suffix automaton of the benchmark's runs of such windows, in
+time that grows with their places in the benchmark plus those in the documents. Words outside the benchmark cannot be part of a match,
 so the arrays hold only suffixes that start with enough benchmark words in a row. The
 benchmark is sent to the tasks in blocks of bounded size, one pass over the shards per block,
-all in one map stage: the documents are never shuffled.
+and the rows are written down between passes: the documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewarden.llm.words import rows_of, utf8
+from linewarden.session import materialize
 
 # Bytes 0-9, a-z and those of non-ASCII characters make words; A-Z count as a-z.
 WORD_BYTES = bytes(
@@ -98,6 +100,62 @@ def _prefix_end(windows: np.ndarray, size: int, depth: int) -> np.ndarray:
     return np.array(filled, f"S{4 * depth}")
 
 
+class SuffixAutomaton:
+    """The runs of windows added so far: which sequences stand in one of them."""
+
+    def __init__(self):
+        # By state: the next states, the state of the longest suffix elsewhere, the length.
+        self.next: list[dict[int, int]] = [{}]
+        self.link, self.length = [-1], [0]
+
+    def _state(self, following: dict[int, int], link: int, length: int) -> int:
+        self.next.append(following)
+        self.link.append(link)
+        self.length.append(length)
+        return len(self.link) - 1
+
+    def _redirect(self, state: int, symbol: int, old: int, new: int) -> None:
+        while state >= 0 and self.next[state].get(symbol) == old:
+            self.next[state][symbol] = new
+            state = self.link[state]
+
+    def _exact(self, state: int, symbol: int) -> int:
+        """The state of this state's longest sequence and the symbol, split off if needed."""
+        old = self.next[state][symbol]
+        if self.length[old] == self.length[state] + 1:
+            return old
+        new = self._state(dict(self.next[old]), self.link[old], self.length[state] + 1)
+        self.link[old] = new
+        self._redirect(state, symbol, old, new)
+        return new
+
+    def add(self, run: tuple[int, ...]) -> None:
+        last = 0
+        for symbol in run:
+            if symbol in self.next[last]:
+                last = self._exact(last, symbol)
+                continue
+            new, state = self._state({}, 0, self.length[last] + 1), last
+            while state >= 0 and symbol not in self.next[state]:
+                self.next[state][symbol] = new
+                state = self.link[state]
+            if state >= 0:
+                self.link[new] = self._exact(state, symbol)
+            last = new
+
+    def longest(self, sequence: list[int]) -> int:
+        """The length of the longest part of the sequence that stands in a run."""
+        state = length = longest = 0
+        for symbol in sequence:
+            while state and symbol not in self.next[state]:
+                state = self.link[state]
+                length = self.length[state]
+            if symbol in self.next[state]:
+                state, length = self.next[state][symbol], length + 1
+            longest = max(longest, length)
+        return longest
+
+
 class ShardMatches:
     """All occurrences of a block's windows in one shard of documents."""
 
@@ -108,7 +166,8 @@ class ShardMatches:
         numbers = np.fromiter((get(w, 0) for t in texts for w in t), np.int64, self.sizes.sum())
         self.change = np.zeros(len(numbers) + 1, np.int64)
         self.items: list[set[str]] = [set() for _ in texts]
-        self.lines: list[np.ndarray] = []
+        self.passages = passages
+        self.found: list[tuple[int, np.ndarray, list]] = []
         if not passages.lengths:
             return
         runs = benchmark_runs(numbers, self.ends)
@@ -119,41 +178,56 @@ class ShardMatches:
             high = np.searchsorted(
                 keys, _prefix_end(windows, size, passages.window), side="right"
             )
-            for w in np.flatnonzero(high > low):
-                own = slice(bounds[w], bounds[w + 1])
-                names = {passages.names[i] for i in items[own]}
-                self._add(places[low[w] : high[w]], size, names, items[own], starts[own])
+            windows_found = np.flatnonzero(high > low)
+            for w in windows_found:
+                own = items[bounds[w] : bounds[w + 1]]
+                self._add(places[low[w] : high[w]], size, {passages.names[i] for i in own})
+            self.found += [(size, w, places[low[w] : high[w]]) for w in windows_found]
 
-    def _add(self, at, size, names, items, starts) -> None:
+    def _add(self, at: np.ndarray, size: int, names: set[str]) -> None:
         np.add.at(self.change, at, 1)
         np.add.at(self.change, at + size, -1)
         for document in np.unique(np.searchsorted(self.ends, at, side="right")):
             self.items[document] |= names
-        for item, start in zip(items, starts):
-            line = np.empty((len(at), 4), np.int64)
-            line[:, 0], line[:, 1], line[:, 2], line[:, 3] = item, at - start, at, size
-            self.lines.append(line)
 
     def longest(self) -> np.ndarray:
         """Per document the words of its longest match: windows of one item that follow each
         other in the document as they do in the item form one match."""
         longest = np.zeros(len(self.sizes), np.int64)
-        if not self.lines:
+        for size, _, at in self.found:
+            document = np.searchsorted(self.ends, at, side="right")
+            longest[document] = np.maximum(longest[document], size)
+        whole = [(w, at) for size, w, at in self.found if size == self.passages.window]
+        if not whole:
             return longest
-        lines = np.concatenate(self.lines)
-        lines = lines[np.lexsort((lines[:, 2], lines[:, 1], lines[:, 0]))]
-        document = np.searchsorted(self.ends, lines[:, 2], side="right")
-        new = np.ones(len(lines), bool)
-        new[1:] = (
-            (lines[1:, :2] != lines[:-1, :2]).any(axis=1)
-            | (lines[1:, 2] != lines[:-1, 2] + 1)
-            | (document[1:] != document[:-1])
-        )
-        starts = np.flatnonzero(new)
-        words = np.diff(np.append(starts, len(lines))) - 1 + lines[starts, 3]
-        np.maximum.at(longest, document[starts], words)
+        automaton = SuffixAutomaton()
+        for run in self._benchmark_runs([w for w, _ in whole]):
+            automaton.add(run)
+        at = np.concatenate([at for _, at in whole])
+        window = np.concatenate([np.full(len(at), w) for w, at in whole])
+        by = np.argsort(at)
+        at, window = at[by], window[by]
+        document = np.searchsorted(self.ends, at, side="right")
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1] + 1) | (document[1:] != document[:-1])
+        bounds = [*np.flatnonzero(new).tolist(), len(at)]
+        for start, end in zip(bounds, bounds[1:]):
+            words = automaton.longest(window[start:end].tolist()) + self.passages.window - 1
+            longest[document[start]] = max(longest[document[start]], words)
         return longest
 
+    def _benchmark_runs(self, windows: list[int]) -> set[tuple[int, ...]]:
+        """The distinct runs of these windows, whose places follow each other in an item."""
+        _, _, bounds, items, starts = self.passages.lengths[-1]
+        own = np.concatenate([np.arange(bounds[w], bounds[w + 1]) for w in windows])
+        window = np.repeat(windows, [bounds[w + 1] - bounds[w] for w in windows])
+        by = np.lexsort((starts[own], items[own]))
+        items, starts, window = items[own][by], starts[own][by], window[by]
+        new = np.ones(len(by), bool)
+        new[1:] = (items[1:] != items[:-1]) | (starts[1:] != starts[:-1] + 1)
+        cuts = [*np.flatnonzero(new).tolist(), len(by)]
+        return {tuple(window[start:end].tolist()) for start, end in zip(cuts, cuts[1:])}
+
     def hits(self) -> list[list[dict]]:
         """Per document the half-open word ranges that windows cover."""
         covered = np.cumsum(self.change)[:-1] > 0
@@ -228,7 +302,8 @@ def _search(block, shard_words: int, last: bool):
 
 
 def benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str, block_bytes: int):
-    """The items in blocks of about ``block_bytes``: the driver holds one block at a time."""
+    """The items in blocks of about ``block_bytes`` and whether a block is the last: the driver
+    holds one block at a time."""
     items = benchmark.select(
         F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")).alias("item"),
         utf8(text_column).alias("text"),
@@ -237,7 +312,7 @@ def benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str, blo
     blocks = 1 + total // block_bytes
     for number in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number)
-        yield [(r["item"], bytes(r["text"])) for r in block.collect()]
+        yield [(r["item"], bytes(r["text"])) for r in block.collect()], number == blocks - 1
 
 
 def find_contamination(
@@ -269,13 +344,12 @@ def find_contamination(
         F.expr("cast(array() AS array<string>)").alias("items"),
         F.lit(0).cast("long").alias("longest_match"),
     )
-    blocks = list(
-        spark.sparkContext.broadcast((items, window))
-        for items in benchmark_blocks(benchmark, item_column, text_column, block_bytes)
-    )
-    for block in blocks:
-        search = _search(block, shard_words, last=block is blocks[-1])
-        rows = rows.mapInArrow(search, SCHEMA)
+    for items, last in benchmark_blocks(benchmark, item_column, text_column, block_bytes):
+        block = spark.sparkContext.broadcast((items, window))
+        rows = rows.mapInArrow(_search(block, shard_words, last), SCHEMA)
+        if not last:
+            rows = materialize(rows, "contamination")
+            block.destroy()
     return rows.drop("text")
 
 
@@ -333,11 +407,15 @@ def drop_contaminated(
 ) -> DataFrame:
     """The documents without a benchmark passage, all columns unchanged.
 
-    The search runs where the rows are, so nothing is joined back or shuffled.
+    The search runs where the rows are, so nothing is joined back or shuffled. What a block of
+    the benchmark leaves is written down before the next one is sent.
     """
     context = documents.sparkSession.sparkContext
     rows, text_at = documents, documents.columns.index(text_column)
-    for items in benchmark_blocks(benchmark, item_column, text_column, block_bytes):
-        clean = _clean(context.broadcast((items, window)), shard_words, text_at)
-        rows = rows.mapInArrow(clean, documents.schema)
+    for items, last in benchmark_blocks(benchmark, item_column, text_column, block_bytes):
+        block = context.broadcast((items, window))
+        rows = rows.mapInArrow(_clean(block, shard_words, text_at), documents.schema)
+        if not last:
+            rows = materialize(rows, "decontaminated")
+            block.destroy()
     return rows

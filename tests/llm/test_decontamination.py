@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -94,6 +95,34 @@ def test_longest_match_and_locations():
     assert [sorted(s) for s in shard.items] == [["a"], [], ["b"], []]
 
 
+def test_longest_match_against_brute_force():
+    draw = random.Random(9)
+    for window in (2, 3, 5):
+        items = [("".join(draw.choices("ab", k=draw.randint(0, 14)))) for _ in range(6)]
+        texts = ["".join(draw.choices("abc", weights=(6, 6, 1), k=draw.randint(0, 30))) for _ in range(60)]
+        passages = Passages([(str(i), " ".join(t).encode()) for i, t in enumerate(items)], window)
+        shard = ShardMatches(passages, [[w.encode() for w in t] for t in texts])
+        for text, longest in zip(texts, shard.longest().tolist()):
+            expected = 0
+            for item in items:
+                least = min(window, len(item))
+                for size in range(least, len(item) + 1) if least else ():
+                    if any(item[s : s + size] in text for s in range(len(item) - size + 1)):
+                        expected = max(expected, size)
+            assert longest == expected
+
+
+def test_passage_repeated_in_benchmark_and_documents():
+    """Places in the benchmark and in the documents add up; they are not paired."""
+    passage = " ".join(f"w{i}" for i in range(200)).encode()
+    passages = Passages([(str(i), passage + b" end%d" % i) for i in range(300)], 10)
+    shard = ShardMatches(passages, [words_of(passage)] * 300)
+    tracemalloc.start()
+    assert set(shard.longest().tolist()) == {200}
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
 def test_suffixes_are_sorted():
     numbers = np.array([3, 1, 2, 0, 1, 2, 2, 0], np.int64)
     runs = np.array([3, 2, 1, 0, 3, 2, 1, 0])
