@@ -3,13 +3,13 @@
 Each partition sorts the digests of its rows into runs, one per digest range. Runs of one
 range then meet in rounds: every round merges ``fan_in`` neighbouring runs (two binomial
 steps at once) and keeps, per digest, the smallest identifier and the counts. A digest held
-by a third of all rows is one entry per run, so it never makes a task large, and a range is
-sized so that its last run stays small at any input size.
+by a third of all rows is one entry per run, so it never makes a task large. Ranges are cut
+finer as runs merge: a run is exchanged in few parts of many entries in every round, however
+many ranges there are in the end, and a range's last run stays small at any input size.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +18,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linewarden.llm.words import split_at
 from linewarden.session import materialize
 
 RUN_SCHEMA = (
@@ -76,10 +75,13 @@ def _run_rows(ranges: int, run: int, arrays: tuple) -> pa.RecordBatch:
     keys = arrays[0]
     head = np.frombuffer(keys.tobytes(), ">u4").reshape(len(keys), 10)[:, 0].astype(np.uint64)
     number = ((head * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
-    bounds = split_at(number, ranges)
-    full = [r for r in range(ranges) if bounds[r] < bounds[r + 1]]
+    full, starts = np.unique(number, return_index=True)
+    bounds = [*starts.tolist(), len(number)]
     return _batch(
-        [(r, run, *(a[bounds[r] : bounds[r + 1]].tobytes() for a in arrays)) for r in full]
+        [
+            (r, run, *(a[start:end].tobytes() for a in arrays))
+            for r, start, end in zip(full.tolist(), bounds, bounds[1:])
+        ]
     )
 
 
@@ -123,12 +125,24 @@ def _first_runs(ranges: int):
     return build
 
 
-def _merge_runs(table: pa.Table) -> pa.Table:
-    names = ["keys", "ids", "nulls", "counts", "firsts"]
-    runs = [_arrays(*row) for row in zip(*(table.column(n).to_pylist() for n in names))]
-    merged = _merged(*map(np.concatenate, zip(*runs)))
-    key = (table.column("range")[0].as_py(), table.column("run")[0].as_py())
-    return pa.Table.from_batches([_batch([(*key, *(a.tobytes() for a in merged))])])
+def _merge_runs(ranges: int):
+    """Merge the runs of one range and cut the result into the finer ranges below it."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        names = ["keys", "ids", "nulls", "counts", "firsts"]
+        runs = [_arrays(*row) for row in zip(*(table.column(n).to_pylist() for n in names))]
+        merged = _merged(*map(np.concatenate, zip(*runs)))
+        return pa.Table.from_batches([_run_rows(ranges, table.column("run")[0].as_py(), merged)])
+
+    return merge
+
+
+def _ranges(rows: int, rows_per_range: int, fan_in: int) -> int:
+    """The least power of ``fan_in`` of ranges that hold ``rows_per_range`` rows each."""
+    ranges = 1
+    while ranges * rows_per_range < rows:
+        ranges *= fan_in
+    return ranges
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +168,20 @@ def digest_groups(digests: DataFrame, rows_per_range: int = 250_000, fan_in: int
     ``digests`` is a stored table with doc_id, digest and n_bytes. Texts of another length
     under the same digest would be told apart, so a merge only ever joins verified equals.
     ``keep_rows`` counts the rows that hold the smallest id.
+
+    A first run has ranges by its own size; each round merges ``fan_in`` runs and makes as many
+    ranges of one, until there are enough for all rows.
     """
-    ranges = max(1, math.ceil(digests.count() / rows_per_range))
+    sizes = digests.groupBy(F.spark_partition_id().alias("part")).count()
+    sizes = sizes.agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first()
+    ranges = _ranges((sizes["most"] or 0) * fan_in, rows_per_range, fan_in)
+    enough = _ranges(sizes["rows"] or 0, rows_per_range, fan_in)
     runs = materialize(digests.mapInArrow(_first_runs(ranges), RUN_SCHEMA), "digest_runs")
     last = runs.agg(F.max("run").alias("last")).first()["last"] or 0
     while last:
         runs = runs.withColumn("run", F.floor(F.col("run") / fan_in))
-        runs = runs.groupBy("range", "run").applyInArrow(_merge_runs, RUN_SCHEMA)
+        ranges *= fan_in if ranges < enough else 1
+        runs = runs.groupBy("range", "run").applyInArrow(_merge_runs(ranges), RUN_SCHEMA)
         last //= fan_in
     return runs.mapInArrow(
         _entries,

@@ -1,10 +1,16 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
+import numpy as np
+
 from linewarden.llm.exact_dedup import (
+    KEY,
+    _ranges,
+    _run_rows,
     digest_groups,
     drop_exact_duplicates,
     exact_duplicates,
@@ -43,6 +49,20 @@ def test_many_runs_merge_to_the_same_groups(documents):
     assert len(many) == len(few) and {tuple(r) for r in many} == few
 
 
+def test_ranges_grow_with_the_rounds():
+    """A first run is cut by its own size, whatever the size of the table."""
+    assert _ranges(0, 100, 4) == _ranges(100, 100, 4) == 1
+    assert _ranges(101, 100, 4) == 4 and _ranges(10**6, 100, 4) == 4**7
+    keys = np.sort(np.frombuffer(random.Random(1).randbytes(4000), KEY))
+    arrays = (keys, np.arange(100), np.zeros(100, bool), np.ones(100, int), np.ones(100, int))
+    coarse, fine = _run_rows(4, 0, arrays), _run_rows(16, 0, arrays)
+    parts = zip(fine.column(0).to_pylist(), fine.column(2).to_pylist())
+    below = defaultdict(bytes)
+    for number, held in parts:
+        below[number // 4] += held
+    assert dict(below) == dict(zip(coarse.column(0).to_pylist(), coarse.column(2).to_pylist()))
+
+
 def materialize_path(frame):
     from linewarden.session import scratch_path
 
