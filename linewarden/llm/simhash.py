@@ -207,42 +207,59 @@ def _bits(mask: Column) -> Column:
 
 
 def shards(prints: DataFrame, radius: int, shard_rows: int, depth: int) -> DataFrame:
-    """path, value, print: every distinct fingerprint in the shards that it belongs to.
+    """level, path, value, pair, print: every distinct fingerprint in its shards.
 
     Shards of more than ``shard_rows`` are dealt again, ``depth`` times at most; any two
-    fingerprints within the radius still share a shard at every depth.
+    fingerprints within the radius still share a shard at every depth. One that is larger even
+    then is cut into blocks, and every two blocks make a shard: no task holds more than about
+    twice ``shard_rows`` of one shard.
     """
     blocks = radius + 1
     rows, masks = _dealt(prints.select("print", F.lit(0).alias("path")), [0], blocks)
-    done = None
-    for _ in range(depth - 1):
+    done, columns = None, ("level", "path", "value", "pair", "print")
+    for number in range(depth):
         rows = materialize(rows, "simhash_shards")
         large = materialize(
-            rows.groupBy("path", "value").count().filter(F.col("count") > shard_rows).drop("count"),
+            rows.groupBy("path", "value").count().filter(F.col("count") > shard_rows),
             "simhash_large",
         )
-        if large.isEmpty():
-            break
-        small = rows.join(large, ["path", "value"], "left_anti").select("path", "value", "print")
         # A path number is unique within its depth; the level keeps depths apart.
-        small = small.withColumn("level", F.lit(len(masks)))
+        level, whole = F.lit(len(masks)).alias("level"), F.lit(0).cast("long").alias("pair")
+        if large.isEmpty():
+            rows = rows.select("*", level, whole).select(*columns)
+            return rows if done is None else done.unionByName(rows)
+        small = rows.join(large, ["path", "value"], "left_anti")
+        small = small.select("*", level, whole).select(*columns)
         done = small if done is None else done.unionByName(small)
-        rows, masks = _dealt(rows.join(large, ["path", "value"], "left_semi"), masks, blocks)
-    rows = rows.withColumn("level", F.lit(len(masks)))
-    return rows if done is None else done.unionByName(rows)
+        rest = rows.join(large, ["path", "value"])
+        if number < depth - 1:
+            rows, masks = _dealt(rest.drop("count"), masks, blocks)
+    return done.unionByName(_block_pairs(rest, shard_rows).select("*", level).select(*columns))
+
+
+def _block_pairs(rows: DataFrame, shard_rows: int) -> DataFrame:
+    """Each row of a shard of ``count`` rows once per other block of it, with the pair's number."""
+    blocks = F.ceil(F.col("count") / shard_rows)
+    rows = rows.withColumn("blocks", blocks)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("print"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    first, second = F.least("own", "other"), F.greatest("own", "other")
+    return rows.filter(F.col("own") != F.col("other")).select(
+        "path", "value", "print", (first * F.col("blocks") + second).alias("pair")
+    )
 
 
 def _links_of(radius: int, block_rows: int):
     """Links within each shard of a partition that is sorted by shard."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((0, 4), np.int64)
+        held = np.empty((0, 5), np.int64)
         for batch in batches:
             new = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
             held = np.concatenate([held, new.astype(np.int64)])
             if len(held) < block_rows:
                 continue
-            last = np.flatnonzero((held[1:, :3] != held[:-1, :3]).any(axis=1))
+            last = np.flatnonzero((held[1:, :4] != held[:-1, :4]).any(axis=1))
             if len(last):
                 yield links(held[: last[-1] + 1])
                 held = held[last[-1] + 1 :]
@@ -250,9 +267,9 @@ def _links_of(radius: int, block_rows: int):
 
     def links(rows: np.ndarray) -> pa.RecordBatch:
         new = np.zeros(len(rows), np.int64)
-        new[1:] = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
+        new[1:] = (rows[1:, :4] != rows[:-1, :4]).any(axis=1)
         a, b = spanning_links(
-            np.ascontiguousarray(rows[:, 3]).view(np.uint64), np.cumsum(new), radius
+            np.ascontiguousarray(rows[:, 4]).view(np.uint64), np.cumsum(new), radius
         )
         return pa.RecordBatch.from_arrays(
             [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["u", "v"]
@@ -265,8 +282,8 @@ def near_links(
     prints: DataFrame, radius: int = 3, shard_rows: int = 4096, depth: int = 3
 ) -> DataFrame:
     """u, v: links that connect distinct fingerprints within ``radius`` bits of each other."""
-    dealt = shards(prints, radius, shard_rows, depth).select("level", "path", "value", "print")
-    key = ("level", "path", "value")
+    dealt = shards(prints, radius, shard_rows, depth)
+    key = ("level", "path", "value", "pair")
     sorted_shards = dealt.repartition(*key).sortWithinPartitions(*key, "print")
     return sorted_shards.mapInArrow(_links_of(radius, 100_000), "u long, v long")
 

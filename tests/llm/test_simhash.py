@@ -78,7 +78,7 @@ def test_trees_find_every_link(seed):
     assert set(zip(a.tolist(), b.tolist())) == expected
 
 
-@pytest.mark.parametrize("shard_rows,depth", [(10**6, 1), (4, 2), (4, 3)])
+@pytest.mark.parametrize("shard_rows,depth", [(10**6, 1), (4, 1), (4, 2), (4, 3), (50, 1)])
 def test_shards_lose_no_link(spark, shard_rows, depth):
     prints = clustered(11, 1500)
     signed = [(p - (1 << 64) if p >> 63 else p, i) for i, p in enumerate(prints)]
@@ -94,6 +94,16 @@ def test_shards_lose_no_link(spark, shard_rows, depth):
     assert {i: least[roots.get(p, p)] for p, i in ids.items()} == expected
 
 
+def test_dense_shard_is_cut_into_blocks(spark):
+    """Fingerprints that agree on all blocks but one stay together at every depth."""
+    frame = spark.range(900).selectExpr("id * 8 AS print")
+    rows = simhash.shards(frame, 3, 100, 2)
+    sizes = rows.groupBy("level", "path", "value", "pair").count().agg({"count": "max"}).first()[0]
+    assert sizes < 300
+    links = simhash.near_links(frame, 3, 100, 2)
+    assert {r["root"] for r in components(links).collect()} == {0}
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.range(400).selectExpr("id AS u", "id + 1 AS v").repartition(5)
     rows = components(links).collect()
