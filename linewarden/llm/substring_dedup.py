@@ -8,7 +8,8 @@ words alone. So equal windows agree on it wherever they stand, and only these ch
 windows are shuffled. No window is lost: if a full window is repeated, its chosen half window
 is repeated as well.
 
-Documents are dealt into chunks by id and windows into buckets by hash. A chunk sends each
+Documents are dealt into chunks by id and text, so that rows without an id or of a frequent
+one are spread, and windows into buckets by hash. A chunk sends each
 distinct hash once, and a bucket answers per chunk, so a passage in a third of all documents
 costs one entry per chunk and not one per document. All three passes over the text read the
 same shuffle.
@@ -25,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linewarden.llm.words import ROLL_A, ROLL_B, buckets_of, split_at, utf8, window_hashes
-from linewarden.llm.words import word_hashes
+from linewarden.llm.words import ROLL_A, ROLL_B, buckets_of, utf8, window_hashes, word_hashes
 
 HALF_SCHEMA = "bucket long, chunk long, hashes binary"
-FULL_SCHEMA = "bucket long, chunk long, hashes binary, checks binary, ids binary, places binary"
+FULL_SCHEMA = (
+    "bucket long, chunk long, hashes binary, checks binary, ids binary, starts binary, "
+    "places binary"
+)
 RESULT_SCHEMA = (
     "doc_id long, n_words long, n_removed long, kept_sha256 string, "
     "removed array<struct<start:long,end:long>>"
@@ -109,12 +112,12 @@ def _by_bucket(chunk: int, buckets: int, hashes: np.ndarray, *more: np.ndarray)
     """One row per bucket that gets something; the order within a bucket is kept."""
     number = buckets_of(hashes, buckets)
     by = np.argsort(number, kind="stable")
-    bounds = split_at(number[by], buckets)
+    full, starts = np.unique(number[by], return_index=True)
+    bounds = [*starts.tolist(), len(by)]
     arrays = [a[by] for a in (hashes, *more)]
     return [
-        (b, chunk, *(a[bounds[b] : bounds[b + 1]].tobytes() for a in arrays))
-        for b in range(buckets)
-        if bounds[b] < bounds[b + 1]
+        (b, chunk, *(a[start:end].tobytes() for a in arrays))
+        for b, start, end in zip(full.tolist(), bounds, bounds[1:])
     ]
 
 
@@ -173,7 +176,7 @@ def _found(table: pa.Table, kind: type) -> np.ndarray:
 
 def _full_level(window: int, buckets: int):
     def run(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-        names = ["bucket", "chunk", "hashes", "checks", "ids", "places"]
+        names = ["bucket", "chunk", "hashes", "checks", "ids", "starts", "places"]
         if not table.num_rows:
             return _table([], names)
         chunk = Chunk(table, window)
@@ -185,9 +188,16 @@ def _full_level(window: int, buckets: int):
         places = places[own]
         no_id = np.iinfo(np.int64).min
         ids = np.array([no_id if i is None else i for i in chunk.ids], np.int64)
-        ids = ids[chunk.row[places]]
+        row = chunk.row[places]
+        starts = (places - chunk.begins[row]).astype(np.uint32)
         rows = _by_bucket(
-            key[0].as_py(), buckets, first[own], check[own], ids, places.astype(np.uint32)
+            key[0].as_py(),
+            buckets,
+            first[own],
+            check[own],
+            ids[row],
+            starts,
+            places.astype(np.uint32),
         )
         return _table(rows, names)
 
@@ -195,15 +205,17 @@ def _full_level(window: int, buckets: int):
 
 
 def _later_windows(table: pa.Table) -> pa.Table:
-    """Per chunk the places of its first windows that a document of a smaller id has too."""
-    chunks, (first, check, ids, places) = _loaded(
+    """Per chunk the places of its first windows that start earlier in another chunk."""
+    chunks, (first, check, ids, starts, places) = _loaded(
         table,
         ("hashes", np.uint64),
         ("checks", np.uint32),
         ("ids", np.int64),
+        ("starts", np.uint32),
         ("places", np.uint32),
     )
-    later = np.flatnonzero(_has_earlier(first, check, ids))
+    rank = np.unique(ids, return_inverse=True)[1]
+    later = np.flatnonzero(_has_earlier(first, check, (rank << 32) + starts))
     return _answers(chunks[later], places[later])
 
 
@@ -285,7 +297,7 @@ def remove_repeated_windows(
     buckets = max(1, math.ceil((total or 0) / bucket_bytes))
     doc_id = F.col(f"`{id_column}`").cast("long")
     chunked = documents.select(
-        F.pmod(F.xxhash64(doc_id), F.lit(chunks)).alias("chunk"),
+        F.pmod(F.xxhash64(doc_id, utf8(text_column)), F.lit(chunks)).alias("chunk"),
         doc_id.alias("doc_id"),
         utf8(text_column).alias("text"),
     )

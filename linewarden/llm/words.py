@@ -77,8 +77,3 @@ def window_hashes(hashes: np.ndarray, length: int, base: int) -> np.ndarray:
 def buckets_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of each 64-bit hash: equal ranges of its upper half."""
     return (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-
-
-def split_at(keys: np.ndarray, count: int) -> np.ndarray:
-    """Bounds of the runs 0 .. count-1 in a sorted array of run numbers."""
-    return np.searchsorted(keys, np.arange(count + 1))

@@ -56,6 +56,18 @@ def test_passages_that_repeat(make, window, seed):
     assert found(make(rows), window, chunk_bytes=300, bucket_bytes=3000) == brute(rows, window)
 
 
+def test_frequent_id_is_spread_over_chunks(make):
+    """Rows of one id, or of none, with different texts: all in order of their starts."""
+    draw = random.Random(7)
+    passages = [[f"p{k}x{i}" for i in range(9)] for k in range(4)]
+    rows = []
+    for i in range(120):
+        words = draw.choices(["a", "b", "c", "d", "e", "f"], k=draw.randint(0, 6))
+        words += draw.choice(passages) + [f"own{i}"]
+        rows.append((None if i % 3 == 0 else 5 if i % 3 == 1 else i, " ".join(words)))
+    assert found(make(rows), 6, chunk_bytes=400, bucket_bytes=2000) == brute(rows, 6)
+
+
 def test_one_word_over_and_over(make):
     rows = [(i, "same " * n) for i, n in enumerate([0, 5, 19, 20, 21, 60, 300])]
     assert found(make(rows), 20) == brute(rows, 20)
