@@ -10,7 +10,7 @@ they have their share of the training counts. With weights of zero the model is
 
 Counts cover every training token. Weights are trained in rounds over disjoint slices of the
 training documents: each task makes gradient updates on its part from the same weights, and
-the changes are averaged row by row, in two steps, weighted by the updates behind them. Texts
+the changes are averaged row by row, in a tree, weighted by the updates behind them. Texts
 are scored in batches of numpy rows. Words outside the dictionary of frequent words, whose
 size is bounded, get their counts from a shuffle join.
 """
@@ -48,6 +48,7 @@ CLASS_ROWS = SKIPS * HISTORY + PAIR_ROWS
 WORD_ROWS = 1 << 15
 BLOCK_ROWS = 1024
 TASK_TOKENS = 4_000_000  # of all rounds; smaller parts of a table are trained together
+AVERAGED = 64  # changes of a block that one group averages
 RUN = 16  # values of a run that are summed place by place
 CACHED = 1024  # rows of 64 numbers that stay in the cache
 
@@ -405,13 +406,17 @@ def _averaged(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_update_batch([(*first, mean.tobytes(), weight.tobytes())])])
 
 
-def _trained(model: Model, texts: DataFrame, rate: float, batch: int) -> Model:
-    """The model after one round on these texts."""
+def _trained(model: Model, texts: DataFrame, tasks: int, rate: float, batch: int) -> Model:
+    """The model after one round on these texts, which have at most ``tasks`` partitions.
+
+    Each step of the averaging takes ``AVERAGED`` changes of a block into one, down to one.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(model)
     updates = texts.mapInArrow(_gradient_pass(sent, rate, batch), UPDATE)
-    updates = updates.withColumn("task", F.floor(F.col("task") / 64))
-    updates = updates.groupBy("task", "block").applyInArrow(_averaged, UPDATE)
-    updates = updates.groupBy("block").applyInArrow(_averaged, UPDATE)
+    while tasks > 1:
+        updates = updates.withColumn("task", F.floor(F.col("task") / AVERAGED))
+        updates = updates.groupBy("task", "block").applyInArrow(_averaged, UPDATE)
+        tasks = -(-tasks // AVERAGED)
     tables = [model.class_weights.copy(), model.word_weights.copy()]
     # One row per block of the weight tables, whose size is fixed.
     for r in updates.select("block", "change").collect():
@@ -467,7 +472,7 @@ def train(
     )
     for number in range(rounds if model.tokens else 0):
         part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(rounds)) == number
-        model = _trained(model, texts.filter(part).select("text").coalesce(tasks), rate, batch)
+        model = _trained(model, texts.filter(part).select("text").coalesce(tasks), tasks, rate, batch)
     return model
 
 
