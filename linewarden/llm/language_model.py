@@ -43,12 +43,13 @@ ENDINGS = 1024
 HISTORY = MODEL_WORDS + ENDINGS + 1
 START = HISTORY - 1
 SKIPS = 3
-PAIR_ROWS = 4096
+PAIR_ROWS = 1 << 12
 CLASS_ROWS = SKIPS * HISTORY + PAIR_ROWS
 WORD_ROWS = 1 << 15
 BLOCK_ROWS = 1024
 TASK_TOKENS = 4_000_000  # of all rounds; smaller parts of a table are trained together
 AVERAGED = 64  # changes of a block that one group averages
+LARGE, SMALL = 80.0, 1e-20  # exponentials of float32 stay well within their range
 RUN = 16  # values of a run that are summed place by place
 CACHED = 1024  # rows of 64 numbers that stay in the cache
 
@@ -147,24 +148,44 @@ class Model:
     word_weights: np.ndarray  # WORD_ROWS x CLASS_WORDS
 
 
+@dataclass
+class Places:
+    """Where each code is in the model: found once, and sent to the tasks in small numbers."""
+
+    history: np.ndarray  # the word's place among the model's words or its ending behind them
+    classes: np.ndarray
+    paths: list[tuple[np.ndarray, np.ndarray]]
+    bias: np.ndarray
+    log_rest: np.ndarray
+
+
+def places_of(model: Model) -> Places:
+    words = model.words.split(b" ") if model.words else []
+    endings = np.fromiter(map(ending, words), np.int64, len(words))
+    history = np.concatenate([MODEL_WORDS + endings, MODEL_WORDS + np.arange(ENDINGS)])
+    classes = WORD_CLASSES + (history - MODEL_WORDS) % ENDING_CLASSES
+    head = np.arange(min(len(words), MODEL_WORDS))
+    history[head] = head
+    classes[head] = head // CLASS_WORDS
+    paths, bias, log_rest = _trees(model, classes)
+    paths = [(node.astype(np.int32), choice.astype(np.int8)) for node, choice in paths]
+    return Places(history.astype(np.int16), classes.astype(np.int8), paths, bias, log_rest)
+
+
 class Lexicon(dict):
     """Word to code: its place in the dictionary, or the dictionary's size and its ending."""
 
-    def __init__(self, model: Model, kept: int = 300_000):
+    def __init__(self, model: Model, places: Places | None = None, kept: int = 300_000):
         words = model.words.split(b" ") if model.words else []
         super().__init__(zip(words, range(len(words))))
         self.size, self.kept, self.unknown = len(words), kept, {}
-        endings = np.fromiter(map(ending, words), np.int64, len(words))
-        # By code: the word's place among the model's words or its ending behind them.
-        self.history = np.concatenate([MODEL_WORDS + endings, MODEL_WORDS + np.arange(ENDINGS)])
-        self.classes = WORD_CLASSES + (self.history - MODEL_WORDS) % ENDING_CLASSES
-        head = np.arange(min(len(words), MODEL_WORDS))
-        self.history[head] = head
-        self.classes[head] = head // CLASS_WORDS
+        places = places or places_of(model)
+        self.history, self.classes = places.history.astype(np.int64), places.classes.astype(np.int64)
+        self.paths = [tuple(x.astype(np.int64) for x in level) for level in places.paths]
+        self.bias, self.log_rest = places.bias, places.log_rest
         counts = np.concatenate([model.counts, np.zeros(ENDINGS)])
         self.log_count = np.log10(counts + 0.5)
         self.log_count[self.size :] = 0  # added by the join
-        self.paths, self.bias, self.log_rest = _trees(model, self.classes)
 
     def __missing__(self, word: bytes) -> int:
         code = self.unknown.get(word)
@@ -240,13 +261,13 @@ def _histories(history: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
 
 
 def _class_rows(back: list[np.ndarray]) -> list[np.ndarray]:
-    pair = (back[0] * 1_000_003 + back[1] * 7919) % PAIR_ROWS
+    pair = (back[0] * 1_000_003 + back[1] * 7919) & (PAIR_ROWS - 1)
     return [*(skip * HISTORY + h for skip, h in enumerate(back)), SKIPS * HISTORY + pair]
 
 
 def _word_rows(back: list[np.ndarray], nodes: np.ndarray) -> list[np.ndarray]:
     return [
-        (((h * 1_000_003 + nodes) * 2_654_435_761 + skip * 40_503) >> 16) % WORD_ROWS
+        (((h * 1_000_003 + nodes) * 2_654_435_761 + skip * 40_503) >> 16) & (WORD_ROWS - 1)
         for skip, h in enumerate(back[:2])
     ]
 
@@ -259,24 +280,38 @@ def _logits(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np
     return total
 
 
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """Exponentials of the logits less a shift by row; their sums by row; the shifts.
+
+    Rows are shifted, by their largest value, only where the values' range asks for it.
+    """
+    if logits.max(initial=0.0) < LARGE:
+        found = np.exp(logits)
+        spread = np.einsum("ij->i", found)
+        if spread.min(initial=1.0) > SMALL:
+            return found, spread, 0.0
+    top = logits.max(axis=1)
+    logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return logits, np.einsum("ij->i", logits), top
+
+
 def _error(weights, bias, rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
     """Probabilities less the targets, in parts that stay in the cache."""
     error = np.empty((len(target), weights.shape[1]), np.float32)
     for start in range(0, len(target), CACHED):
         part = slice(start, start + CACHED)
         own = _logits(weights, bias if bias.ndim == 1 else bias[part], [r[part] for r in rows])
-        own -= own.max(axis=1)[:, None]
-        np.exp(own, out=own)
-        own /= own.sum(axis=1)[:, None]
-        own[np.arange(len(own)), target[part]] -= 1
-        error[part] = own
+        own, spread, _ = _exponentials(own)
+        np.multiply(own, (1 / spread)[:, None], out=error[part])
+    error[np.arange(len(target)), target] -= 1
     return error
 
 
 def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1)
-    spread = np.exp(logits - top[:, None]).sum(axis=1)
-    return logits[np.arange(len(at)), at] - top - np.log(spread)
+    chosen = logits[np.arange(len(at)), at]
+    _, spread, top = _exponentials(logits)
+    return chosen - top - np.log(spread)
 
 
 def _batches_of_tokens(rows: Iterator[tuple], lexicon: Lexicon, size: int):
@@ -328,8 +363,10 @@ def _row_updates(weights, squares, touched, rows, error, rate) -> None:
     starts, sizes = starts[largest], sizes[largest]
     own = rows[starts]
     slope = _sums(error, by, starts, sizes)
-    squares[own] += (slope * slope).mean(axis=1)
-    weights[own] -= slope * (rate / np.sqrt(squares[own] + 1e-3))[:, None]
+    seen = squares[own] + np.einsum("ij,ij->i", slope, slope) / slope.shape[1]
+    squares[own] = seen
+    slope *= (rate / np.sqrt(seen + 1e-3))[:, None]
+    weights[own] = np.subtract(weights.take(own, axis=0), slope, out=slope)
     touched[own] += sizes
 
 
@@ -337,8 +374,8 @@ def _gradient_pass(sent, rate: float, batch: int):
     """Updates on one slice: every token is an example."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = sent.value
-        lexicon = Lexicon(model)
+        model, places = sent.value
+        lexicon = Lexicon(model, places)
         tables = (model.class_weights.copy(), model.word_weights.copy())
         squares = [np.zeros(len(t), np.float32) for t in tables]
         touched = [np.zeros(len(t), np.int64) for t in tables]
@@ -355,7 +392,8 @@ def _gradient_pass(sent, rate: float, batch: int):
                     own = nodes[codes[at]]
                     rows = _word_rows([h[at] for h in back], own)
                     within = choices[codes[at]]
-                    _step(tables[1], squares[1], touched[1], rows, lexicon.bias[own], within, rate)
+                    bias = lexicon.bias.take(own, axis=0)
+                    _step(tables[1], squares[1], touched[1], rows, bias, within, rate)
         task = TaskContext.get().partitionId()
         rows_out = []
         for number, (new, old, n) in enumerate(
@@ -406,12 +444,14 @@ def _averaged(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_update_batch([(*first, mean.tobytes(), weight.tobytes())])])
 
 
-def _trained(model: Model, texts: DataFrame, tasks: int, rate: float, batch: int) -> Model:
+def _trained(
+    model: Model, places: Places, texts: DataFrame, tasks: int, rate: float, batch: int
+) -> Model:
     """The model after one round on these texts, which have at most ``tasks`` partitions.
 
     Each step of the averaging takes ``AVERAGED`` changes of a block into one, down to one.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(model)
+    sent = texts.sparkSession.sparkContext.broadcast((model, places))
     updates = texts.mapInArrow(_gradient_pass(sent, rate, batch), UPDATE)
     while tasks > 1:
         updates = updates.withColumn("task", F.floor(F.col("task") / AVERAGED))
@@ -466,13 +506,15 @@ def train(
     the corpus. The dictionary has at most ``dictionary`` words.
     """
     model = untrained(counts, dictionary)
+    places = places_of(model)
     # Each task sends its changed weights, so their number follows the tokens.
     tasks = max(
         texts.sparkSession.sparkContext.defaultParallelism, -(-model.tokens // TASK_TOKENS)
     )
     for number in range(rounds if model.tokens else 0):
         part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(rounds)) == number
-        model = _trained(model, texts.filter(part).select("text").coalesce(tasks), tasks, rate, batch)
+        own = texts.filter(part).select("text").coalesce(tasks)
+        model = _trained(model, places, own, tasks, rate, batch)
     return model
 
 
@@ -512,7 +554,8 @@ def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int
             if len(at):
                 way = codes[part][at]
                 rows = _word_rows([h[at] for h in own_back], nodes[way])
-                logits = _logits(model.word_weights, lexicon.bias[nodes[way]], rows)
+                bias = lexicon.bias.take(nodes[way], axis=0)
+                logits = _logits(model.word_weights, bias, rows)
                 found[at] += _log_softmax_at(logits, choices[way]) / np.log(10)
         unknown = codes[part] >= lexicon.size
         found[unknown] -= lexicon.log_rest[own[unknown]]
@@ -522,8 +565,8 @@ def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int
 
 def _partial_scores(sent, batch: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = sent.value
-        lexicon = Lexicon(model)
+        model, places = sent.value
+        lexicon = Lexicon(model, places)
         log_all = np.log10(model.tokens + 0.5 * (model.distinct + 1))
         rows = rows_of(batches, "doc_id", "held_out", "text")
         for held, tokens, codes, sizes, place in _batches_of_tokens(rows, lexicon, 100_000):
@@ -572,7 +615,7 @@ def score_documents(
     alone. A null id reads as the empty text for ``held_out``. Repeated rows score alike and
     stay separate. An empty table gives an empty result. Other columns are not read.
     """
-    sent = documents.sparkSession.sparkContext.broadcast(model)
+    sent = documents.sparkSession.sparkContext.broadcast((model, places_of(model)))
     own = F.col(f"`{id_column}`").cast("long")
     rows = documents.select(
         own.alias("doc_id"), held_out(own).alias("held_out"), utf8(text_column).alias("text")
