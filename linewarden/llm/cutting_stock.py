@@ -1,7 +1,7 @@
 """Packing as a cutting-stock problem: column generation over a histogram of lengths.
 
-Documents are cut into pieces of at most one sequence. The pieces' lengths, in classes a few
-tokens wide, are counted; a linear program over patterns (how many pieces of each class share
+Documents are cut into pieces of at most one sequence. The pieces' lengths are counted, in
+classes a few tokens wide and of one length where many pieces would lose places; a linear program over patterns (how many pieces of each class share
 a sequence) is solved on the counts, where a knapsack over the classes prices the columns.
 Whole parts of the solution are used as they are, the rest is packed best fit decreasing.
 Every piece then finds its place by its rank within its class. Only the counts, whose number
@@ -31,29 +31,32 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The best value of a pattern and how many of each class it takes."""
+    """The best value of a pattern and how many of each class it takes.
+
+    Classes are tried one after the other, each in any number and in all rooms at once. One
+    that is worth no more than a smaller one is never needed.
+    """
+    by = np.lexsort((-values, sizes))
+    so_far = np.maximum.accumulate(np.append(0.0, values[by]))
+    needed = by[values[by] > so_far[:-1]]
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1)
-    by = np.argsort(sizes, kind="stable")
-    sizes_up, values_up = sizes[by], values[by]
-    fitting = np.searchsorted(sizes_up, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
-        best[room] = best[room - 1]
-        n = fitting[room]
-        if n:
-            gain = values_up[:n] + best[room - sizes_up[:n]]
-            at = int(gain.argmax())
-            if gain[at] > best[room]:
-                best[room], choice[room] = gain[at], at
+    for at in needed:
+        size, value = int(sizes[at]), float(values[at])
+        times = -(-(capacity + 1) // size)
+        rooms = np.full(times * size, -np.inf)
+        rooms[: capacity + 1] = best
+        gain = (np.arange(times) * value)[:, None]
+        filled = np.maximum.accumulate(rooms.reshape(times, size) - gain, axis=0) + gain
+        filled = filled.ravel()[: capacity + 1]
+        better = filled > best + 1e-12
+        best[better], choice[better] = filled[better], at
     pattern = np.zeros(len(sizes))
     room = capacity
-    while room > 0:
-        if choice[room] < 0:
-            room -= 1
-        else:
-            pattern[by[choice[room]]] += 1
-            room -= sizes_up[choice[room]]
-    return float(best[capacity]), pattern
+    while choice[room] >= 0:
+        pattern[choice[room]] += 1
+        room -= int(sizes[choice[room]])
+    return float((pattern * values).sum()), pattern
 
 
 def inverted(matrix: np.ndarray) -> np.ndarray:
@@ -131,18 +134,37 @@ def best_fit(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list[np.nd
     return patterns
 
 
+def class_tops(counts: dict[int, int], unit: int, exact: int, loss: float = 0.0002) -> np.ndarray:
+    """The largest length of each class, rising: the multiples of ``unit``, and the ``exact``
+    lengths that would lose the most places if they were rounded up to those, where that is a
+    share of at least ``loss`` of all places.
+
+    ``counts`` gives the pieces of each length; classes without a piece are left out.
+    """
+    lengths = np.array(sorted(counts), np.int64)
+    pieces = np.array([counts[n] for n in lengths], np.int64)
+    rounded = -(-lengths // unit) * unit
+    lost = (rounded - lengths) * pieces
+    most = np.lexsort((lengths, -lost))[:exact]
+    own = np.zeros(len(lengths), bool)
+    own[most] = lost[most] > loss * (rounded * pieces).sum()
+    return np.unique(np.where(own, lengths, rounded))
+
+
 def layout(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int]]:
     """Where the pieces of each class go: (class, first rank, first sequence, per sequence).
 
-    ``counts`` gives the pieces of each class; a class is its size in units of which a
-    sequence holds ``capacity``. From ``first rank`` on, pieces go ``per sequence`` at a time
+    ``counts`` gives the pieces of each class, which is named by its largest length. From ``first rank`` on, pieces go ``per sequence`` at a time
     to ``first sequence`` and the following ones, up to the next entry of the class. Every
     class is covered for all its pieces.
     """
-    sizes = np.array(sorted(counts), np.int64)
-    if not len(sizes):
+    tops = np.array(sorted(counts), np.int64)
+    if not len(tops):
         return []
-    demand = np.array([counts[s] for s in sizes], np.int64)
+    demand = np.array([counts[s] for s in tops], np.int64)
+    # In the largest steps that all lengths and the capacity are multiples of.
+    step = int(np.gcd.reduce(np.append(tops, capacity)))
+    sizes, capacity = tops // step, capacity // step
     basis, amounts = column_generation(sizes, demand.astype(float), capacity)
     left = demand.copy()
     used: list[tuple[np.ndarray, int]] = []
@@ -157,7 +179,7 @@ def layout(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, i
         taken = False
         for at in np.flatnonzero(pattern):
             if rank[at] < demand[at]:
-                entries.append((int(sizes[at]), int(rank[at]), sequence, int(pattern[at])))
+                entries.append((int(tops[at]), int(rank[at]), sequence, int(pattern[at])))
                 rank[at] += pattern[at] * times
                 taken = True
         sequence += times if taken else 0
@@ -207,6 +229,7 @@ def pack_documents(
     capacity: int = 4096,
     end_id: int = 2,
     unit: int = 16,
+    exact: int = 64,
     id_column: str = "doc_id",
     text_column: str = "text",
     rows_per_group: int = 200_000,
@@ -218,8 +241,9 @@ def pack_documents(
     piece's ids as little-endian unsigned 32-bit numbers. Pieces fill the sequences from
     offset 0 without gaps. Null and empty texts are one end id. Repeated rows are packed as
     often as they occur; a null id stays null. An empty table gives an empty result. Other
-    columns are not read. A length that many pieces share is ranked in groups of a bounded
-    size, whose totals are summed first.
+    columns are not read. For the program, lengths are rounded up to ``unit``, but for up to
+    ``exact`` ones that would lose many places. A class that many pieces share is ranked in
+    groups of a bounded size, whose totals are summed first.
     """
     if capacity % unit:
         raise ValueError("the capacity must be a multiple of the unit")
@@ -229,17 +253,18 @@ def pack_documents(
     )
     cut = rows.mapInArrow(_pieces(vocabulary, capacity, end_id), PIECES)
     pieces = materialize(
-        cut.withColumns(
-            {
-                "size": F.ceil(F.col("length") / unit).cast("long"),
-                "piece": F.monotonically_increasing_id(),
-            }
-        ),
-        "pieces",
+        cut.withColumn("piece", F.monotonically_increasing_id()), "pieces"
     )
-    # At most capacity / unit classes.
-    counts = {r["size"]: r["count"] for r in pieces.groupBy("size").count().collect()}
-    entries = layout(counts, capacity // unit)
+    # At most ``capacity`` lengths.
+    counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    tops = class_tops(counts, unit, exact)
+    number = {length: int(np.searchsorted(tops, length)) for length in counts}
+    classes = dict.fromkeys(tops.tolist(), 0)
+    for length, n in counts.items():
+        classes[int(tops[number[length]])] += n
+    entries = [
+        (int(np.searchsorted(tops, top)), *place) for top, *place in layout(classes, capacity)
+    ]
     if not entries:
         return pieces.select(
             *PIECES.replace(" long", "").split(", "),
@@ -248,7 +273,10 @@ def pack_documents(
         )
 
     groups = 1 + sum(counts.values()) // rows_per_group
-    grouped = pieces.withColumn("group", F.pmod(F.xxhash64("piece"), F.lit(groups)))
+    sizes = documents.sparkSession.createDataFrame(sorted(number.items()), "length long, size long")
+    # One row per length.
+    sized = pieces.join(F.broadcast(sizes), "length")
+    grouped = sized.withColumn("group", F.pmod(F.xxhash64("piece"), F.lit(groups)))
     before = Window.partitionBy("size").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         grouped.groupBy("size", "group")

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from linewarden.llm import binary_output, cutting_stock, encoding, token_counts
-from linewarden.llm.cutting_stock import best_fit, column_generation, knapsack, layout
+from linewarden.llm.cutting_stock import best_fit, class_tops, column_generation, knapsack, layout
 
 
 @pytest.fixture(scope="module")
@@ -170,6 +170,21 @@ def test_best_fit_of_left_overs():
     assert [p.tolist() for p in patterns] == [[1, 0, 1], [1, 1, 0]]
 
 
+def test_lengths_of_many_pieces_are_classes_of_their_own():
+    assert class_tops({65: 1000, 100: 1, 101: 1}, 16, 64).tolist() == [65, 112]
+    assert class_tops({1: 9, 17: 9, 33: 9}, 16, 2).tolist() == [1, 17, 48]
+    assert class_tops({}, 16, 64).tolist() == []
+
+
+def test_short_texts_are_packed_with_little_padding(make):
+    """Texts of one id and of a few: rounding up to 16 would leave most places empty."""
+    rows = make([(i, "" if i % 2 else "w " * (i % 5)) for i in range(3000)])
+    rows = cutting_stock.pack_documents(rows, encoding.public_path(), capacity=256).collect()
+    parts, sequences = check_packing(rows, 256)
+    assert len(parts) == 3000
+    assert sequences <= 1.02 * sum(r["length"] for r in rows) / 256 + 1
+
+
 def check_packing(rows, capacity):
     sequences, documents = defaultdict(list), defaultdict(list)
     for r in rows:
