@@ -24,6 +24,8 @@ Key = tuple[str, ...]
 
 # Rows of a clash component that one task settles row by row.
 MOST_IN_TASK = 1000
+# Types whose equal values are identical, unlike 0.0 and -0.0.
+EXACT = (T.IntegralType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 class MissingParent(ValueError):
@@ -52,24 +54,17 @@ def insert_or_ignore(
     if len(keys) == 1:
         return _first_per_key(rows, keys[0], arrival)
 
-    # Only rows that share a key with another row need their order looked at.
     rows = materialize(rows, "insert_rows")
-    clashes = [
-        materialize(quality.repeated_keys(rows, key).drop("held_by"), "insert_clashes")
-        for key in keys
-    ]
-    if all(clash.isEmpty() for clash in clashes):
-        return rows
-    free, marked = rows, rows
-    for number, (key, clash) in enumerate(zip(keys, clashes)):
-        free = free.join(clash, list(key), "left_anti")
-        marked = marked.join(
-            clash.withColumn(f"clash_{number}", F.lit(True)), list(key), "left"
-        )
-    contested = marked.filter(
-        F.coalesce(*[F.col(f"clash_{number}") for number in range(len(keys))], F.lit(False))
-    ).select(*rows.columns)
-    return free.select(*rows.columns).unionByName(_first_per_keys(contested, keys, arrival))
+    won = materialize(_leading_rows(rows, keys, arrival), "insert_round")
+    if won.count() == rows.count():
+        return won
+    # A row that shares a key with a winner has won itself or lost; rows without a key have won.
+    undecided = rows.filter(reduce(lambda a, b: a | b, [_has(key) for key in keys]))
+    for key in keys:
+        taken = _complete(won, key).select(*key)
+        undecided = undecided.join(taken, list(key), "left_anti")
+    undecided = undecided.select(*rows.columns)
+    return won.unionByName(_first_per_keys(undecided, keys, arrival))
 
 
 def _valid(rows: DataFrame, rules: list[quality.RowRule]) -> DataFrame:
@@ -90,18 +85,37 @@ def _complete(rows: DataFrame, key: Key) -> DataFrame:
 def _first_per_key(rows: DataFrame, key: Key, arrival: list[str]) -> DataFrame:
     """The first row of each key value; rows without a key all stay.
 
-    The minimum is taken before the shuffle, so a hot key sends one row per task.
+    The minimum is taken before the shuffle, so a hot key sends one row per task. Columns of the
+    key are alike in all its rows and are not sent a second time, if equal means identical.
     """
-    others = [c for c in rows.columns if c not in arrival]
+    exact = [c for c in key if isinstance(rows.schema[c].dataType, EXACT)]
+    ordering = [c for c in (*arrival, *rows.columns) if c not in exact]
+    carried = list(dict.fromkeys(ordering)) or exact
     first = (
         _complete(rows, key)
         .groupBy(*key)
-        .agg(F.min(F.struct(*arrival, *others)).alias("first"))
-        .select(*[F.col(f"first.{c}").alias(c) for c in rows.columns])
+        .agg(F.min(F.struct(*carried)).alias("first"))
+        .select(*[F.col(f"first.{c}" if c in carried else c).alias(c) for c in rows.columns])
     )
     return rows.filter(~_has(key)).unionByName(first)
 
 
+def _leading_rows(rows: DataFrame, keys: list[Key], arrival: list[str]) -> DataFrame:
+    """The rows that come first under every key they claim; rows without a key all do.
+
+    Under each further key the rows that led so far stand before their equals among all rows,
+    so the first row of a key tells by its mark whether it has led.
+    """
+    ordering = [*arrival, *[c for c in rows.columns if c not in arrival], "behind"]
+    found = _first_per_key(rows, keys[0], arrival)
+    for key in keys[1:]:
+        marked = rows.withColumn("behind", F.lit(True)).unionByName(
+            found.withColumn("behind", F.lit(False))
+        )
+        found = _first_per_key(marked, key, ordering).filter(~F.col("behind")).drop("behind")
+    return found
+
+
 def _numbered(rows: DataFrame, keys: list[Key], arrival: list[str]) -> DataFrame:
     """The rows with ``turn``, a number that grows in arrival order, and ``claims``, how
     many of their keys are complete.
@@ -247,28 +261,27 @@ def _first_per_keys(
 ) -> DataFrame:
     """The rows a one-by-one insert under several unique keys would keep.
 
-    A first round accepts every row that comes first under all its keys and rejects the rows
-    that clash with an accepted one; a row that lost only to a row that was itself rejected
-    stays open. Open rows that share keys, directly or through others, form components. One
-    of at most ``most`` rows is settled by a task, row after row. The rows of larger ones go
-    through further rounds, half as many as their longest chain has rows. All this carries keys
-    and turns only, not the rows, and each step is written once.
+    Rows that share keys, directly or through others, form components. One of at most ``most``
+    rows is settled by a task, row after row. The rows of larger ones go through rounds: each
+    accepts the rows that come first under all their keys and rejects the rows that clash with
+    an accepted one; a row that lost only to a row that was itself rejected stays open. There
+    are half as many rounds as the longest chain has rows. All this carries keys and turns only,
+    not the rows, and each step is written once.
     """
     numbered = _numbered(rows, keys, arrival)
+    if numbered.isEmpty():
+        return numbered.select(*rows.columns)
     key_columns = list(dict.fromkeys(c for key in keys for c in key))
-    judged = _judged(numbered.select("turn", "claims", *key_columns), keys)
-    accepted = [judged.filter(F.col("state") == "won").select("turn")]
-    undecided = judged.filter(F.col("state") == "open").drop("state")
-    if not undecided.isEmpty():
-        members = undecided.join(components(undecided, keys), "turn")
-        large = members.groupBy("component").count().filter(F.col("count") > most)
-        large = materialize(large.select("component"), "insert_large")
-        accepted.append(_one_by_one(members.join(large, "component", "left_anti"), keys))
-        undecided = members.join(large, "component", "left_semi").drop("component")
-        while not undecided.isEmpty():
-            judged = _judged(undecided, keys)
-            accepted.append(judged.filter(F.col("state") == "won").select("turn"))
-            undecided = judged.filter(F.col("state") == "open").drop("state")
+    undecided = numbered.select("turn", "claims", *key_columns)
+    members = undecided.join(components(undecided, keys), "turn")
+    large = members.groupBy("component").count().filter(F.col("count") > most)
+    large = materialize(large.select("component"), "insert_large")
+    accepted = [_one_by_one(members.join(large, "component", "left_anti"), keys)]
+    undecided = members.join(large, "component", "left_semi").drop("component")
+    while not undecided.isEmpty():
+        judged = _judged(undecided, keys)
+        accepted.append(judged.filter(F.col("state") == "won").select("turn"))
+        undecided = judged.filter(F.col("state") == "open").drop("state")
     kept = numbered.join(reduce(DataFrame.unionByName, accepted), "turn", "left_semi")
     return kept.select(*rows.columns)
 

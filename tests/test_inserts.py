@@ -90,6 +90,32 @@ def test_large_batch_of_short_chains_takes_few_jobs(spark, monkeypatch):
     assert len(resolving) < 10 and resolving.count("insert_round") == 1, written
 
 
+def test_settled_rows_are_written_once(spark, monkeypatch):
+    """Pairs that clash are settled by the first row; no step after it sees their rows again."""
+    rows = [{"n": i, "a": i // 2, "b": i, "c": 0, "v": 0} for i in range(400)]
+    rows += [{"n": i, "a": i, "b": i // 2, "c": 0, "v": 0} for i in range(1000, 1400)]
+    written = []
+    real = inserts.materialize
+
+    def counted(df, name):
+        stored = real(df, name)
+        written.append((name, stored.count()))
+        return stored
+
+    monkeypatch.setattr(inserts, "materialize", counted)
+    keys = [("a",), ("b",)]
+    accepted = inserts.insert_or_ignore(frame(spark, []), frame(spark, rows), keys, ["n"])
+    assert sorted(repr(tuple(r)) for r in accepted.collect()) == one_by_one([], rows, keys)
+    assert sum(n for _, n in written) <= len(rows) + accepted.count(), written
+
+
+def test_values_of_equal_keys_stay_as_they_came(spark):
+    """0.0 and -0.0 are one key, and the row that stays keeps its own."""
+    rows = spark.createDataFrame([(2, 0.0, 1), (1, -0.0, 2)], "n int, x double, y int")
+    accepted = inserts.insert_or_ignore(rows.limit(0), rows, [("x",)], ["n"]).collect()
+    assert [(r.n, str(r.x), r.y) for r in accepted] == [(1, "-0.0", 2)]
+
+
 def test_rejected_row_does_not_block_a_later_one(spark):
     rows = [
         {"n": 1, "a": 1, "b": 1, "c": 0, "v": 0},
