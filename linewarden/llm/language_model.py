@@ -49,7 +49,7 @@ WORD_ROWS = 1 << 15
 BLOCK_ROWS = 1024
 TASK_TOKENS = 4_000_000  # of all rounds; smaller parts of a table are trained together
 AVERAGED = 64  # changes of a block that one group averages
-LARGE, SMALL = 80.0, 1e-20  # exponentials of float32 stay well within their range
+LARGE, SMALL = 1e35, 1e-20  # sums of exponentials, well within the range of float32
 RUN = 16  # values of a run that are summed place by place
 CACHED = 1024  # rows of 64 numbers that stay in the cache
 
@@ -285,11 +285,11 @@ def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
     Rows are shifted, by their largest value, only where the values' range asks for it.
     """
-    if logits.max(initial=0.0) < LARGE:
+    with np.errstate(over="ignore"):
         found = np.exp(logits)
-        spread = np.einsum("ij->i", found)
-        if spread.min(initial=1.0) > SMALL:
-            return found, spread, 0.0
+    spread = np.einsum("ij->i", found)
+    if spread.min(initial=1.0) > SMALL and spread.max(initial=1.0) < LARGE:
+        return found, spread, 0.0
     top = logits.max(axis=1)
     logits -= top[:, None]
     np.exp(logits, out=logits)
@@ -304,7 +304,7 @@ def _error(weights, bias, rows: list[np.ndarray], target: np.ndarray) -> np.ndar
         own = _logits(weights, bias if bias.ndim == 1 else bias[part], [r[part] for r in rows])
         own, spread, _ = _exponentials(own)
         np.multiply(own, (1 / spread)[:, None], out=error[part])
-    error[np.arange(len(target)), target] -= 1
+    error.reshape(-1)[np.arange(len(target)) * error.shape[1] + target] -= 1
     return error
 
 
@@ -347,12 +347,20 @@ def _sums(values, by: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
     for place in range(1, RUN):
         runs = np.searchsorted(-sizes[:runs], -place)
         total[:runs] += values.take(by[starts[:runs] + place], axis=0)
-    for run in range(np.searchsorted(-sizes[:runs], -RUN)):
-        rest = by[starts[run] + RUN : starts[run] + sizes[run]]
-        total[run] += values.take(rest, axis=0).sum(axis=0)
+    runs = np.searchsorted(-sizes[:runs], -RUN)
+    if runs:
+        rest = sizes[:runs] - RUN
+        first = np.cumsum(rest) - rest
+        at = np.repeat(starts[:runs] + RUN - first, rest) + np.arange(rest.sum())
+        total[:runs] += np.add.reduceat(values.take(by[at], axis=0), first, axis=0)
     return total
 
 
+def _whole_rows(table: np.ndarray) -> np.ndarray:
+    """A table's rows as single values, which are put in place faster than rows of numbers."""
+    return table.view(np.dtype((np.void, table.strides[0]))).reshape(-1)
+
+
 def _row_updates(weights, squares, touched, rows, error, rate) -> None:
     """One step on the rows: gradients of a row are summed, its rate falls with their size."""
     by = np.argsort(rows.astype(np.uint16), kind="stable")
@@ -366,7 +374,8 @@ def _row_updates(weights, squares, touched, rows, error, rate) -> None:
     seen = squares[own] + np.einsum("ij,ij->i", slope, slope) / slope.shape[1]
     squares[own] = seen
     slope *= (rate / np.sqrt(seen + 1e-3))[:, None]
-    weights[own] = np.subtract(weights.take(own, axis=0), slope, out=slope)
+    np.subtract(weights.take(own, axis=0), slope, out=slope)
+    _whole_rows(weights)[own] = _whole_rows(slope)
     touched[own] += sizes
 
 
@@ -544,22 +553,25 @@ def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int
     history, classes = lexicon.history[codes], lexicon.classes[codes]
     back = _histories(history, place)
     scores = np.empty(len(codes))
+    rows = _class_rows(back)
     for start in range(0, len(codes), batch):
         part = slice(start, start + batch)
-        own, own_back = classes[part], [h[part] for h in back]
-        logits = _logits(model.class_weights, class_bias, _class_rows(own_back))
-        found = _log_softmax_at(logits, own) / np.log(10)
-        for nodes, choices in lexicon.paths:
-            at = np.flatnonzero(nodes[codes[part]] >= 0)
-            if len(at):
-                way = codes[part][at]
-                rows = _word_rows([h[at] for h in own_back], nodes[way])
-                bias = lexicon.bias.take(nodes[way], axis=0)
-                logits = _logits(model.word_weights, bias, rows)
-                found[at] += _log_softmax_at(logits, choices[way]) / np.log(10)
-        unknown = codes[part] >= lexicon.size
-        found[unknown] -= lexicon.log_rest[own[unknown]]
-        scores[part] = found
+        logits = _logits(model.class_weights, class_bias, [r[part] for r in rows])
+        scores[part] = _log_softmax_at(logits, classes[part])
+    # Each depth's tokens are gathered first, so that the parts are full.
+    for nodes, choices in lexicon.paths:
+        own = nodes[codes]
+        at = np.flatnonzero(own >= 0)
+        own, within = own[at], choices[codes[at]]
+        rows = _word_rows([h[at] for h in back[:2]], own)
+        for start in range(0, len(at), batch):
+            part = slice(start, start + batch)
+            bias = lexicon.bias.take(own[part], axis=0)
+            logits = _logits(model.word_weights, bias, [r[part] for r in rows])
+            scores[at[part]] += _log_softmax_at(logits, within[part])
+    scores /= np.log(10)
+    unknown = codes >= lexicon.size
+    scores[unknown] -= lexicon.log_rest[classes[unknown]]
     return scores
 
 

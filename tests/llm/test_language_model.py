@@ -186,3 +186,40 @@ def test_large_ending_classes():
     assert len(np.unique(ways, axis=0)) == len(names)
     scores = lm.log10_probabilities(model, lexicon, codes, codes)
     assert np.abs(scores - np.log10((counts + 0.5) / mass.sum())).max() < 1e-4
+
+
+def test_scoring_fills_its_parts(monkeypatch):
+    """The tokens of a depth are scored in full parts, not in what each part of the text has."""
+    rng = np.random.default_rng(13)
+    model = small_model(rng)
+    lexicon, codes = lm.Lexicon(model), rng.integers(0, 1500, 1000)
+    sizes, real = [], lm._log_softmax_at
+    monkeypatch.setattr(lm, "_log_softmax_at", lambda x, at: sizes.append(len(at)) or real(x, at))
+    parts = lm.log10_probabilities(model, lexicon, codes, np.arange(1000), batch=100)
+    depths = [int((nodes[codes] >= 0).sum()) for nodes, _ in lexicon.paths]
+    assert len(sizes) == sum(-(-n // 100) for n in [1000, *depths])
+    whole = lm.log10_probabilities(model, lexicon, codes, np.arange(1000), batch=1000)
+    assert np.abs(parts - whole).max() < 1e-4
+
+
+def test_sums_of_runs_of_any_length():
+    rng = np.random.default_rng(17)
+    rows = np.sort(np.concatenate([np.full(700, 3), np.full(33, 5), rng.integers(6, 60, 200)]))
+    values, by = rng.normal(size=(len(rows), 4)), rng.permutation(len(rows))
+    starts = np.flatnonzero(np.diff(rows, prepend=-1))
+    sizes = np.diff(np.append(starts, len(rows)))
+    largest = np.argsort(-sizes)
+    found = lm._sums(values, by, starts[largest], sizes[largest])
+    for total, start, size in zip(found, starts[largest], sizes[largest]):
+        assert np.allclose(total, values[by[start : start + size]].sum(axis=0))
+
+
+def test_exponentials_of_any_range():
+    rng = np.random.default_rng(19)
+    for shift in (0, 85, 1000, -200):
+        logits = rng.normal(shift, 3, (50, 64)).astype(np.float32)
+        own = logits.astype(float)
+        top = own.max(axis=1)
+        exact = own[:, 7] - top - np.log(np.exp(own - top[:, None]).sum(axis=1))
+        found = lm._log_softmax_at(logits.copy(), np.full(50, 7))
+        assert np.abs(found - exact).max() < 1e-3
