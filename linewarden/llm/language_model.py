@@ -347,12 +347,9 @@ def _sums(values, by: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
     for place in range(1, RUN):
         runs = np.searchsorted(-sizes[:runs], -place)
         total[:runs] += values.take(by[starts[:runs] + place], axis=0)
-    runs = np.searchsorted(-sizes[:runs], -RUN)
-    if runs:
-        rest = sizes[:runs] - RUN
-        first = np.cumsum(rest) - rest
-        at = np.repeat(starts[:runs] + RUN - first, rest) + np.arange(rest.sum())
-        total[:runs] += np.add.reduceat(values.take(by[at], axis=0), first, axis=0)
+    for run in range(np.searchsorted(-sizes[:runs], -RUN)):
+        rest = by[starts[run] + RUN : starts[run] + sizes[run]]
+        total[run] += np.add.reduce(values.take(rest, axis=0), axis=0)
     return total
 
 
@@ -557,7 +554,7 @@ def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int
     for start in range(0, len(codes), batch):
         part = slice(start, start + batch)
         logits = _logits(model.class_weights, class_bias, [r[part] for r in rows])
-        scores[part] = _log_softmax_at(logits, classes[part])
+        scores[part] = _log_softmax_at(logits, classes[part]) / np.log(10)
     # Each depth's tokens are gathered first, so that the parts are full.
     for nodes, choices in lexicon.paths:
         own = nodes[codes]
@@ -568,8 +565,7 @@ def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int
             part = slice(start, start + batch)
             bias = lexicon.bias.take(own[part], axis=0)
             logits = _logits(model.word_weights, bias, [r[part] for r in rows])
-            scores[at[part]] += _log_softmax_at(logits, within[part])
-    scores /= np.log(10)
+            scores[at[part]] += _log_softmax_at(logits, within[part]) / np.log(10)
     unknown = codes >= lexicon.size
     scores[unknown] -= lexicon.log_rest[classes[unknown]]
     return scores
