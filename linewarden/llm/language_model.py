@@ -17,12 +17,12 @@ size is bounded, get their counts from a shuffle join.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -52,6 +52,9 @@ AVERAGED = 64  # changes of a block that one group averages
 LARGE, SMALL = 1e35, 1e-20  # sums of exponentials, well within the range of float32
 RUN = 16  # values of a run that are summed place by place
 CACHED = 1024  # rows of 64 numbers that stay in the cache
+KEPT_ROWS = 1 << 14  # rows of the largest arrays whose memory is used again
+TEXT_BYTES = 1 << 21  # of texts whose tokens are looked up at once
+COUNTED = 500_000  # counts that a task holds before it passes them on
 
 
 def held_out(id_column: Column, parts: int = 5, part: int = 1) -> Column:
@@ -59,11 +62,39 @@ def held_out(id_column: Column, parts: int = 5, part: int = 1) -> Column:
     return crc % parts == part
 
 
-def tokens_of(text: bytes) -> list[bytes]:
-    """Words after lower-casing A-Z, and one end."""
-    tokens = text.lower().split()
-    tokens.append(END)
-    return tokens
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in turn after lower-casing A-Z; each text's number of tokens,
+    which are its words and one end.
+
+    Arrow's functions for ASCII read bytes: they change A-Z and cut at ``[\\x20\\x09-\\x0D]``.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(_as(texts, pa.string())))
+    offsets = parts.offsets.to_numpy().astype(np.int64)
+    words = _as(parts.flatten(), pa.binary())
+    offsets -= offsets[0]
+    # White space at either end of a text leaves an empty part there.
+    full = pc.binary_length(words).to_numpy() > 0
+    if not full.all():
+        words = words.filter(pa.array(full))
+        offsets = np.append(0, np.cumsum(full))[offsets]
+    return words, np.diff(offsets) + 1
+
+
+def _as(texts: pa.Array, kind: pa.DataType) -> pa.Array:
+    """The same bytes as strings or as binary values."""
+    return pa.Array.from_buffers(kind, len(texts), texts.buffers(), offset=texts.offset)
+
+
+def _text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts have about ``TEXT_BYTES`` bytes, or one row."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        ends, start = np.cumsum(sizes, dtype=np.int64), 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, before + TEXT_BYTES)) + 1
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def ending(word: bytes) -> int:
@@ -75,22 +106,28 @@ def ending(word: bytes) -> int:
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-
-    def flushed() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-            ["word", "n"],
-        )
-        counts.clear()
-        return batch
-
-    for (text,) in rows_of(batches, "text"):
-        counts.update(tokens_of(text))
-        if len(counts) > 500_000:
-            yield flushed()
-    if counts:
-        yield flushed()
+    held, rows = [], 0
+
+    def summed() -> list[pa.RecordBatch]:
+        table = pa.concat_tables(held).group_by("word", use_threads=False)
+        table = table.aggregate([("n", "sum")]).select(["word", "n_sum"])
+        return table.rename_columns(["word", "n"]).combine_chunks().to_batches()
+
+    for part in _text_slices(batches):
+        words, sizes = tokens_of(part.column("text"))
+        counts = pc.value_counts(words)
+        held.append(pa.table([counts.field(0), counts.field(1)], ["word", "n"]))
+        ends = [pa.array([END], pa.binary()), pa.array([len(sizes)], pa.int64())]
+        held.append(pa.table(ends, ["word", "n"]))
+        rows += len(counts) + 1
+        if rows > 2 * COUNTED:
+            held = [pa.Table.from_batches(summed())]
+            rows = held[0].num_rows
+            if rows > COUNTED:
+                yield from held[0].to_batches()
+                held, rows = [], 0
+    if held:
+        yield from summed()
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -172,28 +209,31 @@ def places_of(model: Model) -> Places:
     return Places(history.astype(np.int16), classes.astype(np.int8), paths, bias, log_rest)
 
 
-class Lexicon(dict):
+class Lexicon:
     """Word to code: its place in the dictionary, or the dictionary's size and its ending."""
 
-    def __init__(self, model: Model, places: Places | None = None, kept: int = 300_000):
-        words = model.words.split(b" ") if model.words else []
-        super().__init__(zip(words, range(len(words))))
-        self.size, self.kept, self.unknown = len(words), kept, {}
+    def __init__(self, model: Model, places: Places | None = None):
+        self.words = pa.array(model.words.split(b" ") if model.words else [], pa.binary())
+        self.size = len(self.words)
         places = places or places_of(model)
-        self.history, self.classes = places.history.astype(np.int64), places.classes.astype(np.int64)
-        self.paths = [tuple(x.astype(np.int64) for x in level) for level in places.paths]
+        self.history, self.classes, self.paths = places.history, places.classes, places.paths
         self.bias, self.log_rest = places.bias, places.log_rest
         counts = np.concatenate([model.counts, np.zeros(ENDINGS)])
         self.log_count = np.log10(counts + 0.5)
         self.log_count[self.size :] = 0  # added by the join
+        self.end = self[END]
 
-    def __missing__(self, word: bytes) -> int:
-        code = self.unknown.get(word)
-        if code is None:
-            if len(self.unknown) >= self.kept:
-                self.unknown.clear()
-            code = self.unknown[word] = self.size + ending(word)
-        return code
+    def __getitem__(self, word: bytes) -> int:
+        return int(self.codes(pa.array([word], pa.binary()))[0])
+
+    def codes(self, words: pa.Array) -> np.ndarray:
+        """The codes of many words; Arrow hashes the dictionary anew for each call."""
+        found = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+        codes = found.astype(np.int64)
+        unknown = np.flatnonzero(codes < 0)
+        others = words.take(pa.array(unknown)).to_pylist()
+        codes[unknown] = self.size + np.fromiter(map(ending, others), np.int64, len(others))
+        return codes
 
 
 def _starting_class_bias(model: Model) -> np.ndarray:
@@ -272,11 +312,31 @@ def _word_rows(back: list[np.ndarray], nodes: np.ndarray) -> list[np.ndarray]:
     ]
 
 
-def _logits(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    total = weights.take(rows[0], axis=0)
+_kept: dict[str, np.ndarray] = {}
+
+
+def _space(name: str, rows: int, like: np.ndarray) -> np.ndarray:
+    """Rows to write to, of the memory that the last call of this name wrote to: new memory
+    costs more than what is done with it."""
+    if rows > KEPT_ROWS:
+        return np.empty((rows, like.shape[1]), like.dtype)
+    kept = _kept.get(name)
+    if kept is None or kept.shape[1] != like.shape[1] or kept.dtype != like.dtype:
+        kept = _kept[name] = np.empty((KEPT_ROWS, like.shape[1]), like.dtype)
+    return kept[:rows]
+
+
+def _rows(name: str, table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of a table, valid until the next call of this name; the places are all in it."""
+    return table.take(at, axis=0, out=_space(name, len(at), table), mode="clip")
+
+
+def _logits(weights, bias, rows: list[np.ndarray], nodes: np.ndarray | None = None) -> np.ndarray:
+    """The sums of the rows' weights and the bias, which is a row per node if these are given."""
+    total = _rows("logits", weights, rows[0])
     for r in rows[1:]:
-        total += weights.take(r, axis=0)
-    total += bias
+        total += _rows("term", weights, r)
+    total += bias if nodes is None else _rows("term", bias, nodes)
     return total
 
 
@@ -286,7 +346,7 @@ def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     Rows are shifted, by their largest value, only where the values' range asks for it.
     """
     with np.errstate(over="ignore"):
-        found = np.exp(logits)
+        found = np.exp(logits, out=_space("exponentials", len(logits), logits))
     spread = np.einsum("ij->i", found)
     if spread.min(initial=1.0) > SMALL and spread.max(initial=1.0) < LARGE:
         return found, spread, 0.0
@@ -296,13 +356,13 @@ def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return logits, np.einsum("ij->i", logits), top
 
 
-def _error(weights, bias, rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
+def _error(weights, bias, rows: list[np.ndarray], target: np.ndarray, nodes=None) -> np.ndarray:
     """Probabilities less the targets, in parts that stay in the cache."""
-    error = np.empty((len(target), weights.shape[1]), np.float32)
+    error = _space("error", len(target), weights)
     for start in range(0, len(target), CACHED):
         part = slice(start, start + CACHED)
-        own = _logits(weights, bias if bias.ndim == 1 else bias[part], [r[part] for r in rows])
-        own, spread, _ = _exponentials(own)
+        own = None if nodes is None else nodes[part]
+        own, spread, _ = _exponentials(_logits(weights, bias, [r[part] for r in rows], own))
         np.multiply(own, (1 / spread)[:, None], out=error[part])
     error.reshape(-1)[np.arange(len(target)) * error.shape[1] + target] -= 1
     return error
@@ -314,42 +374,70 @@ def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return chosen - top - np.log(spread)
 
 
-def _batches_of_tokens(rows: Iterator[tuple], lexicon: Lexicon, size: int):
-    """Documents in groups of about ``size`` tokens: (rows, tokens, codes, ends)."""
-    held, tokens, lengths = [], [], []
-    for row in rows:
-        own = tokens_of(row[-1])
-        held.append(row)
-        tokens += own
-        lengths.append(len(own))
-        if len(tokens) >= size:
-            yield _coded(held, tokens, lengths, lexicon)
-            held, tokens, lengths = [], [], []
-    if held:
-        yield _coded(held, tokens, lengths, lexicon)
+def _coded(
+    batches: Iterator[pa.RecordBatch], lexicon: Lexicon
+) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray]]:
+    """Rows, their words, the codes of their tokens and each text's number of tokens."""
+    for part in _text_slices(batches):
+        words, sizes = tokens_of(part.column("text"))
+        codes = np.full(sizes.sum(), lexicon.end)
+        own = np.ones(len(codes), bool)
+        own[np.cumsum(sizes) - 1] = False
+        codes[own] = lexicon.codes(words)
+        yield part, words, codes, sizes
+
+
+def _places(sizes: np.ndarray) -> np.ndarray:
+    """The place of each token in its text."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def _coded(held: list, tokens: list[bytes], lengths: list[int], lexicon: Lexicon):
-    codes = np.fromiter(map(lexicon.__getitem__, tokens), np.int64, len(tokens))
-    sizes = np.array(lengths)
-    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return held, tokens, codes, sizes, place
+def _batches_of_tokens(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, size: int):
+    """Codes and lengths of texts in turn, in groups that end with the first text that brings
+    them to ``size`` tokens."""
+    codes, sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+    for _, _, more_codes, more_sizes in _coded(batches, lexicon):
+        codes, sizes = np.append(codes, more_codes), np.append(sizes, more_sizes)
+        ends, first, start = np.cumsum(sizes), 0, 0
+        while len(codes) - start >= size:
+            behind = int(np.searchsorted(ends, start + size)) + 1
+            stop = _before(ends, behind)
+            yield codes[start:stop], sizes[first:behind]
+            first, start = behind, stop
+        codes, sizes = codes[start:], sizes[first:]
+    if len(sizes):
+        yield codes, sizes
+
+
+def _before(ends: np.ndarray, text: int) -> int:
+    """The tokens before a text, or all of them where there is no such text."""
+    return int(ends[min(text, len(ends)) - 1]) if text else 0
 
 
 # --- training -----------------------------------------------------------------------------
 
 
 def _sums(values, by: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The sums of values[by] over runs, which come largest first; first the runs' first
-    values, then their second and so on, what is behind of long runs at once."""
-    total = values.take(by[starts], axis=0)
-    runs = len(starts)
+    """The sums of values[by] over runs, those beyond ``RUN`` first, then largest first; first
+    the runs' first values, then their second and so on, what is behind of long runs at once."""
+    total = _rows("sums", values, by[starts])
+    runs, smallest = len(starts), -sizes
     for place in range(1, RUN):
-        runs = np.searchsorted(-sizes[:runs], -place)
-        total[:runs] += values.take(by[starts[:runs] + place], axis=0)
-    for run in range(np.searchsorted(-sizes[:runs], -RUN)):
-        rest = by[starts[run] + RUN : starts[run] + sizes[run]]
-        total[run] += np.add.reduce(values.take(rest, axis=0), axis=0)
+        runs = np.searchsorted(smallest[:runs], -place)
+        if not runs:
+            return total
+        total[:runs] += _rows("term", values, by[starts[:runs] + place])
+    runs = np.searchsorted(smallest[:runs], -RUN)
+    if not runs:
+        return total
+    starts, rests = starts[:runs], sizes[:runs] - RUN
+    ends = np.cumsum(rests)
+    behind = np.arange(ends[-1]) + np.repeat(starts + RUN - (ends - rests), rests)
+    behind = _rows("term", values, by[behind])
+    rest = np.empty((runs, values.shape[1]), values.dtype)
+    for own, start, end in zip(rest, (ends - rests).tolist(), ends.tolist()):
+        np.add.reduce(behind[start:end], axis=0, out=own)
+    total[:runs] += rest
     return total
 
 
@@ -360,18 +448,20 @@ def _whole_rows(table: np.ndarray) -> np.ndarray:
 
 def _row_updates(weights, squares, touched, rows, error, rate) -> None:
     """One step on the rows: gradients of a row are summed, its rate falls with their size."""
-    by = np.argsort(rows.astype(np.uint16), kind="stable")
+    rows = rows.astype(np.uint16)
+    by = np.argsort(rows, kind="stable")
     rows = rows[by]
-    starts = np.flatnonzero(np.diff(rows, prepend=-1))
-    sizes = np.diff(np.append(starts, len(rows)))
-    largest = np.argsort(-sizes)
+    starts = np.append(0, np.flatnonzero(rows[1:] != rows[:-1]) + 1)
+    sizes = np.diff(starts, append=len(rows))
+    # Small integers are sorted by radix.
+    largest = np.argsort(RUN + 1 - np.minimum(sizes, RUN + 1).astype(np.int8), kind="stable")
     starts, sizes = starts[largest], sizes[largest]
     own = rows[starts]
     slope = _sums(error, by, starts, sizes)
     seen = squares[own] + np.einsum("ij,ij->i", slope, slope) / slope.shape[1]
     squares[own] = seen
     slope *= (rate / np.sqrt(seen + 1e-3))[:, None]
-    np.subtract(weights.take(own, axis=0), slope, out=slope)
+    np.subtract(_rows("term", weights, own), slope, out=slope)
     _whole_rows(weights)[own] = _whole_rows(slope)
     touched[own] += sizes
 
@@ -386,11 +476,9 @@ def _gradient_pass(sent, rate: float, batch: int):
         squares = [np.zeros(len(t), np.float32) for t in tables]
         touched = [np.zeros(len(t), np.int64) for t in tables]
         class_bias = _starting_class_bias(model)
-        for _, _, codes, _, place in _batches_of_tokens(
-            rows_of(batches, "text"), lexicon, batch
-        ):
+        for codes, sizes in _batches_of_tokens(batches, lexicon, batch):
             history, classes = lexicon.history[codes], lexicon.classes[codes]
-            back = _histories(history, place)
+            back = _histories(history, _places(sizes))
             _step(tables[0], squares[0], touched[0], _class_rows(back), class_bias, classes, rate)
             for nodes, choices in lexicon.paths:
                 at = np.flatnonzero(nodes[codes] >= 0)
@@ -398,8 +486,8 @@ def _gradient_pass(sent, rate: float, batch: int):
                     own = nodes[codes[at]]
                     rows = _word_rows([h[at] for h in back], own)
                     within = choices[codes[at]]
-                    bias = lexicon.bias.take(own, axis=0)
-                    _step(tables[1], squares[1], touched[1], rows, bias, within, rate)
+                    table = (tables[1], squares[1], touched[1])
+                    _step(*table, rows, lexicon.bias, within, rate, own)
         task = TaskContext.get().partitionId()
         rows_out = []
         for number, (new, old, n) in enumerate(
@@ -418,8 +506,8 @@ def _gradient_pass(sent, rate: float, batch: int):
     return run
 
 
-def _step(weights, squares, touched, rows, bias, target, rate) -> None:
-    error = _error(weights, bias, rows, target)
+def _step(weights, squares, touched, rows, bias, target, rate, nodes=None) -> None:
+    error = _error(weights, bias, rows, target, nodes)
     for r in rows:
         _row_updates(weights, squares, touched, r, error, rate)
 
@@ -563,8 +651,7 @@ def log10_probabilities(model: Model, lexicon: Lexicon, codes, place, batch: int
         rows = _word_rows([h[at] for h in back[:2]], own)
         for start in range(0, len(at), batch):
             part = slice(start, start + batch)
-            bias = lexicon.bias.take(own[part], axis=0)
-            logits = _logits(model.word_weights, bias, [r[part] for r in rows])
+            logits = _logits(model.word_weights, lexicon.bias, [r[part] for r in rows], own[part])
             scores[at[part]] += _log_softmax_at(logits, within[part]) / np.log(10)
     unknown = codes >= lexicon.size
     scores[unknown] -= lexicon.log_rest[classes[unknown]]
@@ -576,31 +663,31 @@ def _partial_scores(sent, batch: int):
         model, places = sent.value
         lexicon = Lexicon(model, places)
         log_all = np.log10(model.tokens + 0.5 * (model.distinct + 1))
-        rows = rows_of(batches, "doc_id", "held_out", "text")
-        for held, tokens, codes, sizes, place in _batches_of_tokens(rows, lexicon, 100_000):
-            scores = log10_probabilities(model, lexicon, codes, place, batch)
+        for rows, words, codes, sizes in _coded(batches, lexicon):
+            ends = np.cumsum(sizes)
+            scores = np.empty(len(codes))
+            first = 0
+            # Whole texts of about 100,000 tokens at a time.
+            while first < len(ends):
+                start = _before(ends, first)
+                behind = int(np.searchsorted(ends, start + 100_000)) + 1
+                own, place = codes[start : _before(ends, behind)], _places(sizes[first:behind])
+                scores[start : start + len(own)] = log10_probabilities(
+                    model, lexicon, own, place, batch
+                )
+                first = behind
             known = codes < lexicon.size
             base = lexicon.log_count[codes] - log_all
-            starts = np.cumsum(sizes) - sizes
-            columns = [
-                sizes,
-                np.add.reduceat(known.astype(np.int64), starts),
-                np.add.reduceat(base, starts),
-                np.add.reduceat(scores, starts),
-            ]
-            rare: list[Counter] = [Counter() for _ in held]
-            document = np.repeat(np.arange(len(sizes)), sizes)
-            for at in np.flatnonzero(~known).tolist():
-                rare[document[at]][tokens[at]] += 1
+            starts = ends - sizes
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([row[0] for row in held], pa.int64()),
-                    pa.array([row[1] for row in held], pa.bool_()),
-                    *(pa.array(c) for c in columns),
-                    pa.array(
-                        [[{"word": w, "n": n} for w, n in r.items()] for r in rare],
-                        _PARTIAL.field("rare").type,
-                    ),
+                    rows.column("doc_id"),
+                    rows.column("held_out"),
+                    pa.array(sizes),
+                    pa.array(np.add.reduceat(known.astype(np.int64), starts)),
+                    pa.array(np.add.reduceat(base, starts)),
+                    pa.array(np.add.reduceat(scores, starts)),
+                    _rare_words(words, sizes, np.flatnonzero(~known)),
                 ],
                 schema=_PARTIAL,
             )
@@ -608,6 +695,23 @@ def _partial_scores(sent, batch: int):
     return run
 
 
+def _rare_words(words: pa.Array, sizes: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Per text, the words of the tokens at these places and how often each is there."""
+    ends = np.cumsum(sizes)
+    text = np.searchsorted(ends, at, side="right")
+    # The words have no ends among them.
+    is_end = at == ends[text] - 1
+    found = words.take(pa.array(at - text, mask=is_end)).fill_null(END)
+    table = pa.table({"text": text, "word": found, "at": at}).group_by(["text", "word"])
+    # In the order of the tokens, so by text.
+    table = table.aggregate([("at", "min"), ([], "count_all")])
+    table = table.take(pa.array(np.argsort(table.column("at_min").to_numpy())))
+    offsets = np.searchsorted(table.column("text").to_numpy(), np.arange(len(sizes) + 1))
+    word, n = (table.column(c).combine_chunks() for c in ("word", "count_all"))
+    pairs = pa.StructArray.from_arrays([word, n], ["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
+
+
 def score_documents(
     documents: DataFrame,
     model: Model,

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from linewarden.llm import language_model as lm
@@ -223,3 +224,91 @@ def test_exponentials_of_any_range():
         exact = own[:, 7] - top - np.log(np.exp(own - top[:, None]).sum(axis=1))
         found = lm._log_softmax_at(logits.copy(), np.full(50, 7))
         assert np.abs(found - exact).max() < 1e-3
+
+
+def batches_of(texts, rows=7):
+    for start in range(0, len(texts), rows):
+        own = pa.array(texts[start : start + rows], pa.binary())
+        yield pa.RecordBatch.from_arrays([own], ["text"])
+
+
+def odd_texts(rng, n=60):
+    every = [b"A" + bytes([b]) + b"z" + bytes([b, b]) + b"Q" for b in range(256)]
+    blank = [b"", b" ", b"\t\n ", b" lead", b"trail ", b"\x0b both \x1c\x85\r"]
+    long = [b" ".join(b"w%d" % i for i in rng.integers(0, 99, size)) for size in (1, 400, n)]
+    return [*every, *blank, *long, *(b"%d X%d" % (i % 5, i) for i in range(n))]
+
+
+def test_tokens_are_found_for_many_texts_at_once():
+    """Any byte, and white space at either end; slices of an array as well."""
+    texts = odd_texts(np.random.default_rng(23))
+    for part in (pa.array(texts, pa.binary()), pa.array([b"x", *texts], pa.binary())[1:]):
+        words, sizes = lm.tokens_of(part)
+        assert words.to_pylist() == [w for t in texts for w in t.lower().split()]
+        assert sizes.tolist() == [len(t.split()) + 1 for t in texts]
+
+
+def test_groups_and_counts_do_not_depend_on_slices(monkeypatch):
+    texts = odd_texts(np.random.default_rng(29))
+    lexicon = lm.Lexicon(small_model(np.random.default_rng(31)))
+    expected, held = [], []
+    for t in texts:
+        held.append([*(lexicon[w] for w in t.lower().split()), lexicon[b"\n"]])
+        if sum(map(len, held)) >= 50:
+            expected.append((sum(held, []), [len(h) for h in held]))
+            held = []
+    expected += [(sum(held, []), [len(h) for h in held])] if held else []
+    counts = Counter(w for t in texts for w in [*t.lower().split(), b"\n"])
+    monkeypatch.setattr(lm, "COUNTED", 40)
+    for limit in (1, 64, 1 << 20):
+        monkeypatch.setattr(lm, "TEXT_BYTES", limit)
+        groups = lm._batches_of_tokens(batches_of(texts), lexicon, 50)
+        assert [(c.tolist(), s.tolist()) for c, s in groups] == expected
+        found = Counter()
+        for batch in lm._token_counts(batches_of(texts)):
+            for r in batch.to_pylist():
+                found[r["word"]] += r["n"]
+        assert found == counts
+    assert list(lm._batches_of_tokens(iter([]), lexicon, 50)) == []
+    assert list(lm._token_counts(batches_of([b""], 1)))[0].to_pylist() == [{"word": b"\n", "n": 1}]
+
+
+def test_rare_words_of_each_text():
+    """Repeats are counted, the order is the text's, and an end may be rare as well."""
+    rng = np.random.default_rng(37)
+    texts = [rng.integers(0, 300, n).tolist() for n in (0, 1, 5000, 0, 40_000, 3)]
+    words = pa.array([b"w%d" % w for t in texts for w in t], pa.binary())
+    tokens = [[*(b"w%d" % w for w in t), b"\n"] for t in texts]
+    flat = [w for t in tokens for w in t]
+    sizes = np.array([len(t) for t in tokens])
+    for rare in ({b"\n"}, {b"w%d" % w for w in range(0, 300, 3)}, set(flat), set()):
+        at = np.flatnonzero([w in rare for w in flat])
+        found = lm._rare_words(words, sizes, at).to_pylist()
+        expected = [list(Counter(w for w in t if w in rare).items()) for t in tokens]
+        assert [[(r["word"], r["n"]) for r in f] for f in found] == expected
+
+
+def test_a_step_writes_to_memory_it_has():
+    """Gathered rows, errors and sums go to the same memory in each step, whatever its size."""
+    rng = np.random.default_rng(41)
+    weights = rng.normal(0, 1, (500, 64)).astype(np.float32)
+    bias = rng.normal(0, 1, (9, 64)).astype(np.float32)
+
+    def step(n):
+        rows, nodes = [rng.integers(0, 500, n) for _ in range(2)], rng.integers(0, 9, n)
+        target = rng.integers(0, 64, n)
+        logits = lm._logits(weights, bias, rows, nodes)
+        exact = weights[rows[0]] + weights[rows[1]] + bias[nodes]
+        assert np.array_equal(logits, exact)
+        error = lm._error(weights, bias, rows, target, nodes)
+        odds = np.exp(exact) / np.exp(exact).sum(axis=1)[:, None]
+        assert np.abs(error - (odds - np.eye(64)[target])).max() < 1e-5
+        by = np.argsort(rows[0], kind="stable")
+        starts = np.flatnonzero(np.diff(rows[0][by], prepend=-1))
+        sums = lm._sums(error, by, starts[:1], np.array([1]))
+        return logits, error, sums
+
+    for first, second in zip(step(3000), step(2500)):
+        assert np.shares_memory(first, second)
+    large = step(lm.KEPT_ROWS + 1)
+    assert not np.shares_memory(large[1], step(10)[1])
