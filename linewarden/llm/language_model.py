@@ -53,7 +53,7 @@ LARGE, SMALL = 1e35, 1e-20  # sums of exponentials, well within the range of flo
 RUN = 16  # values of a run that are summed place by place
 CACHED = 1024  # rows of 64 numbers that stay in the cache
 KEPT_ROWS = 1 << 14  # rows of the largest arrays whose memory is used again
-TEXT_BYTES = 1 << 21  # of texts whose tokens are looked up at once
+TEXT_BYTES = 1 << 22  # of texts whose tokens are looked up at once
 COUNTED = 500_000  # counts that a task holds before it passes them on
 
 
@@ -702,9 +702,10 @@ def _rare_words(words: pa.Array, sizes: np.ndarray, at: np.ndarray) -> pa.Array:
     # The words have no ends among them.
     is_end = at == ends[text] - 1
     found = words.take(pa.array(at - text, mask=is_end)).fill_null(END)
-    table = pa.table({"text": text, "word": found, "at": at}).group_by(["text", "word"])
-    # In the order of the tokens, so by text.
+    table = pa.table({"text": text, "word": found, "at": at})
+    table = table.group_by(["text", "word"], use_threads=False)
     table = table.aggregate([("at", "min"), ([], "count_all")])
+    # In the order of the tokens, so by text.
     table = table.take(pa.array(np.argsort(table.column("at_min").to_numpy())))
     offsets = np.searchsorted(table.column("text").to_numpy(), np.arange(len(sizes) + 1))
     word, n = (table.column(c).combine_chunks() for c in ("word", "count_all"))
